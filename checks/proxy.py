@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from variantloom.schemas import ANNOTATION_KEYS, GNOMAD_AF_COLUMNS, LOFTEE_COLUMNS, PLUGINS, annotation_columns
+from variantloom.schemas import ANNOTATION_KEYS, PLUGINS, annotation_columns
 from variantloom.operators.annotations import reshape_annotation
 from variantloom.operators.integrate import integrate
 
@@ -22,12 +22,22 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df, key):
+    """Rows over all cores when the files have fewer splits than the session has cores.
+
+    Such a table is at most cores times the split size. A larger one is left as it is scanned.
+    """
+    context = df.sparkSession.sparkContext
+    few = df.select(key).rdd.getNumPartitions() < context.defaultParallelism
+    return df.repartition(key) if few else df
+
+
 def calls(spark, sf_dir, helper=False):
     """Calls from order lines: sample = customer, variant = part and supplier. ``helper`` keeps ``pk``."""
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
-    lines = lines.withColumn("d0", F.expr("CAST(l_quantity AS INT) + 10")).withColumn(
-        "a0", F.expr("d0 * CAST(round(l_discount * 100) AS INT)"))
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
+        table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")
+    ).selectExpr("l_partkey", "l_suppkey", "l_linenumber", "o_custkey", "CAST(l_quantity AS INT) + 10 AS d0",
+                 "d0 * CAST(round(l_discount * 100) AS INT) AS a0")
     out = lines.selectExpr(
         "concat('S', CAST(o_custkey AS STRING)) AS SampleID",
         CHROM.format(k="l_partkey") + " AS CHROM",
@@ -83,17 +93,21 @@ def vep(spark, sf_dir):
     )
 
 
-def annotator_rows(spark, sf_dir, plugin):
+def annotator_rows(spark, sf_dir, plugin, base=None):
     """Raw rows of one plugin's tab file; the frequency columns the view lacks are missing throughout."""
-    base = vep(spark, sf_dir).withColumnRenamed("ID", "Uploaded_variation")
-    for name in GNOMAD_AF_COLUMNS + LOFTEE_COLUMNS:
-        if name not in base.columns:
-            base = base.withColumn(name, F.lit(None).cast("string"))
-    return base.select(*annotation_columns(plugin), "Chr")
+    base = base or vep(spark, sf_dir)
+
+    def column(name):
+        if name == ANNOTATION_KEYS[0]:
+            return F.col("ID").alias(name)
+        return F.col(name) if name in base.columns else F.lit(None).cast("string").alias(name)
+
+    return base.select(*[column(c) for c in annotation_columns(plugin)], "Chr")
 
 
 def annotation_tables(spark, sf_dir):
-    return {p: reshape_annotation(annotator_rows(spark, sf_dir, p), p) for p in ["default", *PLUGINS]}
+    base = vep(spark, sf_dir)
+    return {p: reshape_annotation(annotator_rows(spark, sf_dir, p, base), p) for p in ["default", *PLUGINS]}
 
 
 def annotations(spark, sf_dir):
@@ -119,22 +133,24 @@ GVCF_FIELDS = {
 
 
 def gvcf_fields(spark, sf_dir):
-    out = calls(spark, sf_dir, helper=True)
-    for name, text in GVCF_FIELDS.items():
-        out = out.withColumn(name, F.expr(text))
-    return out
+    # a select may use the aliases before it
+    return calls(spark, sf_dir, helper=True).selectExpr("*", *[f"{text} AS {name}" for name, text in GVCF_FIELDS.items()])
 
 
 def gvcf_lines(spark, sf_dir):
-    """gVCF text with the sample beside it; FORMAT order varies and GQ is sometimes cut off."""
+    """gVCF text with the sample beside it; FORMAT order varies and GQ is sometimes cut off.
+
+    A line leaves as the output of a generator, so the parser's filters work on finished text as they
+    do over a file, instead of being rewritten in terms of the pieces the line is made of.
+    """
     fields = gvcf_fields(spark, sf_dir)
     layout = F.expr(
         "CASE WHEN pk % 3 = 0 THEN concat_ws('\t', 'GT:GQ:DP:AD', concat_ws(':', f_gt, CAST(GQ AS STRING), f_dp, f_ad)) "
         "WHEN sk % 19 = 0 THEN concat_ws('\t', 'GT:DP:AD:GQ', concat_ws(':', f_gt, f_dp, f_ad)) "
         "ELSE concat_ws('\t', 'GT:AD:DP:GQ', concat_ws(':', f_gt, f_ad, f_dp, CAST(GQ AS STRING))) END")
-    return fields.select("SampleID", F.concat_ws(
-        "\t", "f_contig", F.col("POS").cast("string"), F.lit("."), "f_ref", "f_alts", F.lit("."), F.lit("PASS"),
-        F.lit("."), layout).alias("value"))
+    line = F.concat_ws("\t", "f_contig", F.col("POS").cast("string"), F.lit("."), "f_ref", "f_alts", F.lit("."),
+                       F.lit("PASS"), F.lit("."), layout)
+    return fields.select("SampleID", F.explode(F.array(line)).alias("value"))
 
 
 def manifest(spark, sf_dir):

@@ -56,14 +56,19 @@ def genotype_for_allele(gt, allele_number):
 
     Phase separators and missing alleles stay as they are, so ``2/3`` gives ``1/0`` for ALT 2.
     """
-    tokens = F.regexp_extract_all(gt, F.lit(r"([0-9.]+[/|]?)"), F.lit(1))
+    number = allele_number.cast("string")
+
+    def recode(allele):
+        return F.when(allele == ".", ".").when(allele == number, "1").otherwise("0")
 
-    def recode(token):
-        allele = F.regexp_extract(token, r"^[0-9.]+", 0)
-        new = F.when(allele == ".", ".").when(allele == allele_number.cast("string"), "1").otherwise("0")
-        return F.concat(new, F.regexp_extract(token, r"[/|]$", 0))
+    def recode_token(token):
+        return F.concat(recode(F.regexp_extract(token, r"^[0-9.]+", 0)), F.regexp_extract(token, r"[/|]$", 0))
 
-    return F.array_join(F.transform(tokens, recode), "")
+    # two one-character alleles are nearly all genotypes; other ploidies and long numbers are taken apart
+    plain = F.concat(recode(F.substring(gt, 1, 1)), F.substring(gt, 2, 1), recode(F.substring(gt, 3, 1)))
+    tokens = F.regexp_extract_all(gt, F.lit(r"([0-9.]+[/|]?)"), F.lit(1))
+    return F.when(gt.rlike(r"^[0-9.][/|][0-9.]$"), plain).otherwise(
+        F.array_join(F.transform(tokens, recode_token), ""))
 
 
 def any_present(columns):

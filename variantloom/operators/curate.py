@@ -142,39 +142,48 @@ def _stage_rows(unfiltered, max_af, **qc):
     return unfiltered.withColumns({"_qc": ok.cast("int"), "_rare_outside": outside.cast("int")})
 
 
-def variant_type_counts(unfiltered, column="Variant_Type", damaging_only=False, max_af=MAX_AF,
-                        min_samples=MIN_SAMPLES, denominator="chromosome", contigs=None, frequencies=None,
-                        keep=None, **thresholds):
-    """Rows per chromosome and class (or consequence) after the rare filter, before or after the impact filter.
+def _inside(max_af, min_samples):
+    return (F.col("n_samples") < min_samples) | (F.col("dataset_AF") <= max_af)
+
+
+def _rows_per_class(unfiltered, frequencies, column, max_af, min_samples, keep=None, **thresholds):
+    """Rare rows per chromosome and class, before and after the impact filter.
 
     Rows are counted per variant and class first; the cohort frequency then joins one row per variant.
     """
-    unfiltered = on_contigs(unfiltered, contigs)
-    qc = qc_filter(unfiltered, **_pick(thresholds, _QC))
-    if frequencies is None:
-        frequencies = variant_frequencies(qc, sample_counts(unfiltered, denominator), contigs)
-    rows = classify(qc.filter(F.col("gnomAD_max_AF") <= max_af))
+    qc = qc_filter(unfiltered, **_pick(thresholds, _QC)).filter(F.col("gnomAD_max_AF") <= max_af)
+    rows = classify(qc).withColumn("Max_DS_SpliceAI", max_splice_delta())
     if keep is not None:
         rows = rows.filter(keep)
-    if damaging_only:
-        rows = impact_filter(rows, **_pick(thresholds, _IMPACT))
-    per_variant = rows.groupBy(*VARIANT_COLUMNS, column).agg(F.count("*").alias("n"))
-    inside = (F.col("n_samples") < min_samples) | (F.col("dataset_AF") <= max_af)
+    per_variant = rows.groupBy(*VARIANT_COLUMNS, column).agg(
+        F.count("*").alias("before"), F.count_if(is_damaging(**_pick(thresholds, _IMPACT))).alias("after"))
     return (
-        attach_frequencies(per_variant, frequencies).filter(inside)
-        .groupBy("CHROM", column).agg(F.sum("n").alias("n"))
+        attach_frequencies(per_variant, frequencies).filter(_inside(max_af, min_samples))
+        .groupBy("CHROM", column).agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
     )
 
 
-def other_consequences(unfiltered, **options):
-    """Consequences inside class ``Other``, most frequent first within a chromosome."""
-    return variant_type_counts(
-        unfiltered, column="Consequence", keep=F.col("Variant_Type") == "Other", **options,
-    ).orderBy("CHROM", F.desc("n"), "Consequence")
+def _class_counts(unfiltered, column, max_af, min_samples, denominator, contigs, keep=None, **thresholds):
+    unfiltered = on_contigs(unfiltered, contigs)
+    qc = qc_filter(unfiltered, **_pick(thresholds, _QC))
+    frequencies = variant_frequencies(qc, sample_counts(unfiltered, denominator), contigs)
+    return _rows_per_class(unfiltered, frequencies, column, max_af, min_samples, keep, **thresholds)
 
 
-BEFORE_IMPACT = "variant types before impact filter"
-AFTER_IMPACT = "variant types after impact filter"
+def variant_type_counts(unfiltered, damaging_only=False, max_af=MAX_AF, min_samples=MIN_SAMPLES,
+                        denominator="chromosome", contigs=None, **thresholds):
+    """``CHROM, Variant_Type, n``: rows after the rare filter, or after the impact filter as well."""
+    counts = _class_counts(unfiltered, "Variant_Type", max_af, min_samples, denominator, contigs, **thresholds)
+    n = F.col("after" if damaging_only else "before")
+    return counts.select("CHROM", "Variant_Type", n.alias("n")).filter(F.col("n") > 0)
+
+
+def other_consequences(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chromosome", contigs=None,
+                       **thresholds):
+    """Consequences inside class ``Other``, most frequent first within a chromosome."""
+    counts = _class_counts(unfiltered, "Consequence", max_af, min_samples, denominator, contigs,
+                           keep=F.col("Variant_Type") == "Other", **thresholds)
+    return counts.select("CHROM", "Consequence", F.col("before").alias("n")).orderBy("CHROM", F.desc("n"), "Consequence")
 
 
 def stage_counts(samples, totals):
@@ -189,6 +198,15 @@ def stage_counts(samples, totals):
     ]
 
 
+def type_stages(types):
+    """Class counts before and after the impact filter as funnel rows; empty classes are left out."""
+    stages = F.array(
+        F.struct(F.lit(4).alias("step"), F.lit("variant types before impact filter").alias("stage"), F.col("before").alias("value")),
+        F.struct(F.lit(5).alias("step"), F.lit("variant types after impact filter").alias("stage"), F.col("after").alias("value")))
+    rows = types.select("CHROM", F.col("Variant_Type").alias("metric"), F.inline(stages)).filter(F.col("value") > 0)
+    return [rows.select("CHROM", "step", "stage", "metric", "value")]
+
+
 def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chromosome", contigs=None,
                     **thresholds):
     """``CHROM, step, stage, metric, value`` for every stage of the curation.
@@ -207,20 +225,12 @@ def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denomina
         F.count("*").alias("pairs"), F.sum("_qc").alias("pairs_qc"), F.sum("_rare_outside").alias("pairs_outside"))
     counted = _with_counts(per_variant, counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("pairs_qc"), F.lit(2) * F.col("n_samples")))
-    inside = (F.col("n_samples") < min_samples) | (F.col("dataset_AF") <= max_af)
     frequencies = counted.select(*VARIANT_COLUMNS, "n_samples", "dataset_AF")
+    inside = _inside(max_af, min_samples)
     totals = counted.groupBy("CHROM").agg(
-        F.count("*").alias("variants"), F.sum("pairs").alias("pairs"),
-        F.sum("pairs_qc").alias("pairs_after_qc"),
+        F.count("*").alias("variants"), F.sum("pairs").alias("pairs"), F.sum("pairs_qc").alias("pairs_after_qc"),
         F.sum(F.when(inside, F.col("pairs_outside")).otherwise(0)).alias("pairs_after_rare"),
         F.max(F.col("n_samples") >= min_samples).alias("_inside_applied"),
     )
-    shared = dict(max_af=max_af, min_samples=min_samples, frequencies=frequencies, **thresholds)
-
-    def types(step, stage, damaging_only):
-        table = variant_type_counts(unfiltered, damaging_only=damaging_only, **shared)
-        return table.select("CHROM", F.lit(step).alias("step"), F.lit(stage).alias("stage"),
-                            F.col("Variant_Type").alias("metric"), F.col("n").alias("value"))
-
-    parts = stage_counts(samples, totals) + [types(4, BEFORE_IMPACT, False), types(5, AFTER_IMPACT, True)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    types = _rows_per_class(unfiltered, frequencies, "Variant_Type", max_af, min_samples, **thresholds)
+    return reduce(lambda a, b: a.unionByName(b), stage_counts(samples, totals) + type_stages(types))

@@ -81,11 +81,4 @@ def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES
         F.sum(F.col("rows_qc") * F.col("before")).alias("before"),
         F.sum(F.col("rows_qc") * F.col("after")).alias("after"))
 
-    def type_rows(step, stage, column):
-        return types.filter(F.col(column) > 0).select(
-            "CHROM", F.lit(step).alias("step"), F.lit(stage).alias("stage"), F.col("Variant_Type").alias("metric"),
-            F.col(column).alias("value"))
-
-    parts = C.stage_counts(samples, totals) + [
-        type_rows(4, C.BEFORE_IMPACT, "before"), type_rows(5, C.AFTER_IMPACT, "after")]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), C.stage_counts(samples, totals) + C.type_stages(types))
