@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from variantloom.functions.variant import allele_ratio, is_damaging, max_splice_delta, variant_type
+from variantloom.operators.joins import splittable_join
 from variantloom.schemas import CURATED_COLUMNS, VARIANT_COLUMNS
 
 MAX_AF = 0.001
@@ -66,7 +67,7 @@ def variant_frequencies(qc, counts, contigs=None):
 
 def attach_frequencies(qc, frequencies):
     """Row-level ``dataset_AF`` (and ``n_samples``); one frequency row per variant on the right side."""
-    return qc.join(frequencies, VARIANT_COLUMNS, "left")
+    return splittable_join(qc, frequencies, VARIANT_COLUMNS, "left")
 
 
 def is_rare(max_af=MAX_AF, min_samples=MIN_SAMPLES):

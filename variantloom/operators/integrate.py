@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from variantloom.operators.annotations import primary_transcripts
+from variantloom.operators.joins import splittable_join
 
 _SHARED = ["ID", "Chr", "Location", "Allele", "Gene", "Feature"]
 
@@ -30,17 +31,16 @@ def annotate_calls(calls, annotations):
     carried by most samples is a hot key on the call side only; adaptive execution splits it and
     repeats the few annotation rows.
     """
-    joined = calls.join(annotations.withColumnRenamed("ID", "_ID"),
-                        (F.col("CHROM") == F.col("Chr")) & (F.col("ID") == F.col("_ID")), "inner")
-    rest = [c for c in calls.columns if c != "ID"]
     payload = [c for c in annotations.columns if c not in ("ID", "ID_variant_gene", "Chr", "Location", "Allele")]
-    return joined.select("ID", *rest, *payload)
+    known = annotations.select(F.col("Chr").alias("CHROM"), "ID", *payload)
+    rest = [c for c in calls.columns if c != "ID"]
+    return splittable_join(calls, known, ["CHROM", "ID"]).select("ID", *rest, *payload)
 
 
 def annotated_calls(calls, annotations):
     """Calls whose variant has at least one annotation, without the annotation columns."""
     known = annotations.select(F.col("Chr").alias("CHROM"), "ID")
-    return calls.join(known, ["CHROM", "ID"], "left_semi")
+    return splittable_join(calls, known, ["CHROM", "ID"], "left_semi")
 
 
 def id_coverage(calls, annotations):

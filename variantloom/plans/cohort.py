@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from variantloom.functions.variant import is_damaging, max_splice_delta, variant_type
+from variantloom.functions.variant import is_damaging, max_splice_delta, variant_id, variant_type
 from variantloom.operators import curate as C
 from variantloom.operators.integrate import annotate_calls, annotated_calls, integrate
-from variantloom.schemas import CURATED_COLUMNS, PLUGINS
+from variantloom.operators.joins import splittable_join
+from variantloom.schemas import CURATED_COLUMNS, PLUGINS, VARIANT_COLUMNS
 
 
 def unfiltered(calls, tables, strict_key=False):
@@ -29,7 +30,8 @@ def curated_cohort(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLE
     annotations = C.on_contigs(annotations, contigs, "Chr")
     qc = C.qc_filter(calls, **C._pick(thresholds, C._QC))
     counts = C.sample_counts(annotated_calls(calls, annotations), denominator)
-    carriers = qc.groupBy("CHROM", "ID").agg(F.count_distinct("SampleID").alias("_carriers"))
+    carriers = qc.groupBy(*VARIANT_COLUMNS).agg(F.count_distinct("SampleID").alias("_carriers")).withColumn(
+        "ID", variant_id())
     wanted = (
         annotations.filter(F.col("gnomAD_max_AF") <= max_af)
         .withColumns({"Variant_Type": variant_type(), "Max_DS_SpliceAI": max_splice_delta()})
@@ -41,7 +43,7 @@ def curated_cohort(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLE
     ).filter(C.is_rare(max_af, min_samples))
     payload = ["Gene", "Feature", "CANONICAL", "MANE", "dataset_AF", "gnomAD_max_AF", "MAX_AF", "MAX_AF_POPS",
                "Variant_Type", "am_pathogenicity", "Max_DS_SpliceAI"]
-    return qc.join(rare.select("CHROM", "ID", *payload), ["CHROM", "ID"]).select(*CURATED_COLUMNS)
+    return splittable_join(qc, rare.select(*VARIANT_COLUMNS, *payload), VARIANT_COLUMNS).select(*CURATED_COLUMNS)
 
 
 def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES, denominator="chromosome",
