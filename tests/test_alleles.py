@@ -1,0 +1,71 @@
+import random
+
+from helpers import records
+from variantloom.operators.alleles import left_align
+
+SCHEMA = "CHROM string, POS int, REF string, ALT string"
+
+
+def _blocks(spark, sequences, size, overlap):
+    rows = []
+    for contig, seq in sequences.items():
+        for b in range((len(seq) + size - 1) // size):
+            start = max(1, b * size + 1 - overlap)
+            rows.append((contig, b, start, seq[start - 1:(b + 1) * size]))
+    return spark.createDataFrame(rows, "CHROM string, block bigint, start int, seq string")
+
+
+def _brute(seq, pos, ref, alt):
+    """One base at a time: drop equal last bases, extend left when an allele runs empty, then trim left."""
+    while True:
+        if ref and alt and ref[-1] == alt[-1] and (len(ref) > 1 and len(alt) > 1 or pos > 1):
+            ref, alt = ref[:-1], alt[:-1]
+            if not ref or not alt:
+                pos -= 1
+                ref, alt = seq[pos - 1] + ref, seq[pos - 1] + alt
+        else:
+            break
+    while len(ref) > 1 and len(alt) > 1 and ref[0] == alt[0]:
+        pos, ref, alt = pos + 1, ref[1:], alt[1:]
+    return pos, ref, alt
+
+
+def _variants(rng, contig, seq, n):
+    out = set()
+    while len(out) < n:
+        pos = rng.randint(2, len(seq) - 12)
+        size = rng.randint(1, 6)
+        pad = rng.choice([0, 0, 1, 3])
+        if rng.random() < 0.5:
+            ref, alt = seq[pos - 1:pos + size], seq[pos - 1]
+        else:
+            unit = rng.choice([seq[pos:pos + size], "".join(rng.choice("AC") for _ in range(size))])
+            ref, alt = seq[pos - 1], seq[pos - 1] + unit
+        tail = seq[pos - 1 + len(ref):pos - 1 + len(ref) + pad]
+        out.add((contig, pos, ref + tail, alt + tail))
+    return sorted(out)
+
+
+def test_matches_one_base_moves_with_small_blocks(spark):
+    rng = random.Random(3)
+    sequences = {
+        "chr1": "".join(rng.choice("AC") for _ in range(300)), "chr2": "AG" * 150, "chr3": "A" * 200,
+        "chr4": "".join(rng.choice("ACGT") for _ in range(300))}
+    rows = [v for c, s in sequences.items() for v in _variants(rng, c, s, 60)]
+    for overlap in (0, 30):
+        out = left_align(spark.createDataFrame(rows, SCHEMA), _blocks(spark, sequences, 20, overlap), block_bp=20)
+        got = {tuple(r[:4]): tuple(r[4:]) for r in out.collect()}
+        assert len(got) == len(rows)
+        for row in rows:
+            assert got[row] == _brute(sequences[row[0]], *row[1:]), row
+
+
+def test_snvs_padding_and_gaps(spark):
+    blocks = _blocks(spark, {"chr1": "C" + "A" * 39}, 20, 0).filter("block = 1")
+    rows = [("chr1", 5, "A", "G"), ("chr1", 5, "AT", "GT"), ("chr1", 5, "CAT", "CGT"), ("chr1", 30, "AA", "A"), ("chr1", 10, "A", "AA"),
+            ("chr9", 5, "AA", "A"), ("chr1", 6, "AT", "GC")]
+    out = left_align(spark.createDataFrame(rows, SCHEMA), blocks, block_bp=20)
+    got = {tuple(r[:4]): tuple(r[4:]) for r in out.collect()}
+    assert got == {
+        rows[0]: (5, "A", "G"), rows[1]: (5, "A", "G"), rows[2]: (6, "A", "G"), rows[3]: (21, "AA", "A"),
+        rows[4]: (10, "A", "AA"), rows[5]: (5, "AA", "A"), rows[6]: (6, "AT", "GC")}
