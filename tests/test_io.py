@@ -6,11 +6,11 @@ from helpers import call, calls, raw_annotation, records
 from pyspark.sql import functions as F
 from variantloom import jobs
 from variantloom.operators.calls import normalize_calls
-from variantloom.schemas import ENTRIES, VCF_HEADER, annotation_columns
+from variantloom.schemas import ENTRIES, UNFILTERED, VCF_HEADER, annotation_columns
 from variantloom.sinks import tables as W
 from variantloom.sinks.text import write_call_tsvs, write_sites
 from variantloom.sources.annotations import header_columns, read_annotation_tsvs
-from variantloom.sources.calls import read_call_tsvs, read_calls
+from variantloom.sources.calls import read_call_tsvs, read_calls, read_unfiltered
 from variantloom.sources.scores import read_alphamissense_scores, read_spliceai_scores
 from variantloom.streaming.ingest import append_new_call_files
 
@@ -123,9 +123,10 @@ def test_whole_flow_from_files(spark, tmp_path):
         key = {"Uploaded_variation": "chr1_5_A_G", "Location": "chr1:5", "Allele": "G", "Gene": "G1", "Feature": "T1", **payload}
         path = _gz(f"{d}/vep/{plugin}/chr1.tsv.gz", "#" + "\t".join(columns) + "\n" + "\t".join(key.get(c, "-") for c in columns) + "\n")
         jobs.main(["convert", plugin, f"{d}/vep/{plugin}", f"{d}/{plugin}", "--header-file", path], spark)
-    jobs.main(["integrate", f"{d}/calls", f"{d}/default", f"{d}/spliceai,{d}/alphamissense,{d}/loftee", f"{d}/unfiltered",
+    jobs.main(["integrate", f"{d}/calls", f"{d}/default", f"spliceai={d}/spliceai,alphamissense={d}/alphamissense,loftee={d}/loftee", f"{d}/unfiltered",
                "--coverage", f"{d}/coverage"], spark)
-    table = spark.read.parquet(f"{d}/unfiltered")
+    table = read_unfiltered(spark, f"{d}/unfiltered")
+    assert sorted(table.columns) == sorted(UNFILTERED.fieldNames()) and dict(table.dtypes) == dict(spark.read.parquet(f"{d}/unfiltered").dtypes)
     assert len(table.columns) == 34 and table.count() == 2
     assert records(spark.read.parquet(f"{d}/coverage"), "CHROM", "shared", "calls_only", "annotation_only") == [("chr1", 1, 1, 0)]
     jobs.main(["curate", f"{d}/unfiltered", f"{d}/report", f"{d}/curated", "--others", f"{d}/others"], spark)
@@ -134,7 +135,7 @@ def test_whole_flow_from_files(spark, tmp_path):
         ("A", 0.5, "Missense", 0.9, 0.1), ("B", 0.5, "Missense", 0.9, 0.1)]
     report = [r["value"] for r in spark.read.text(f"{d}/report").collect()]
     assert report[0] == "chr1\tinput\tpairs\t2" and "chr1\tvariant types after impact filter\tMissense\t2" in report
-    jobs.main(["profile", f"{d}/curated", f"{d}/profile"], spark)
+    jobs.main(["profile", f"{d}/curated", f"{d}/profile", "--table", "curated"], spark)
     assert spark.read.parquet(f"{d}/profile/histogram").count() > 0
 
 

@@ -4,7 +4,7 @@
     python -m variantloom.jobs merge <batch,batch,...> <out>
     python -m variantloom.jobs sites <calls> <out folder>
     python -m variantloom.jobs convert <plugin> <annotator folder> <out>
-    python -m variantloom.jobs integrate <calls> <default> <plugin,plugin,...> <out>
+    python -m variantloom.jobs integrate <calls> <default> <plugin=path,plugin=path,...> <out>
     python -m variantloom.jobs curate <unfiltered> <report> <out>
     python -m variantloom.jobs profile <table> <out>
 """
@@ -24,7 +24,7 @@ from variantloom.session import session
 from variantloom.sinks import tables as W
 from variantloom.sinks.text import write_call_tsvs, write_sites
 from variantloom.sources.annotations import header_columns, read_annotation_table, read_annotation_tsvs
-from variantloom.sources.calls import read_call_tsvs, read_calls, read_unfiltered
+from variantloom.sources.calls import read_call_tsvs, read_calls, read_curated, read_unfiltered
 from variantloom.sources.gvcf import attach_samples, parse_gvcf, read_gvcf_lines
 from variantloom.sources.manifest import read_manifest
 from variantloom.sources.matrix import read_entries
@@ -73,8 +73,9 @@ def convert(spark, plugin, source, out, header_file=None):
 
 def unfiltered(spark, calls_path, default, plugins, out, coverage=None, strict_key=False):
     table = read_calls(spark, calls_path)
-    annotations = integrate(read_annotation_table(spark, default),
-                            [read_annotation_table(spark, p) for p in plugins.split(",")], strict_key)
+    named = dict(p.split("=", 1) for p in plugins.split(","))
+    annotations = integrate(read_annotation_table(spark, default, "default"),
+                            [read_annotation_table(spark, path, name) for name, path in named.items()], strict_key)
     W.write_by_chromosome(annotate_calls(table, annotations), out)
     if coverage:
         W.write_plain(id_coverage(table, annotations), coverage)
@@ -89,8 +90,10 @@ def curate(spark, source, report, out, others=None, contigs=None, **thresholds):
         W.write_plain(C.other_consequences(table, contigs=contigs, **thresholds), others)
 
 
-def profile(spark, source, out):
-    table = spark.read.parquet(source)
+def profile(spark, source, out, table=None):
+    """Histograms and most frequent values; ``--table`` (unfiltered, curated) fixes the schema."""
+    readers = {"unfiltered": read_unfiltered, "curated": read_curated}
+    table = readers[table](spark, source) if table else spark.read.parquet(source)
     W.write_plain(histogram(table), f"{out}/histogram")
     W.write_plain(top_values(table), f"{out}/top_values")
 
@@ -124,7 +127,7 @@ def parser():
     stage("integrate", unfiltered, "calls_path", "default", "plugins", "out", coverage=None, strict_key=False)
     stage("curate", curate, "source", "report", "out", others=None, denominator="chromosome", max_af=0.001,
           min_samples=5000, min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8, min_splice=0.8, min_am=0.564)
-    stage("profile", profile, "source", "out")
+    stage("profile", profile, "source", "out", table=None)
     return p
 
 

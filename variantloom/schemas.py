@@ -43,8 +43,9 @@ VCF_HEADER = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINF
 
 PLUGINS = ["spliceai", "alphamissense", "loftee"]
 
-_NUMERIC = {"POS": T.IntegerType(), "DP": T.IntegerType(), "GQ": T.IntegerType(), "REF_AD": T.IntegerType(),
-            "ALT_AD": T.IntegerType(), "MAX_AF": T.DoubleType(), "am_pathogenicity": T.DoubleType()}
+_INTEGERS = ["POS", "DP", "GQ", "REF_AD", "ALT_AD"]
+_DOUBLES = ["MAX_AF", "gnomAD_max_AF", "am_pathogenicity", "AC_ratio", "dataset_AF", "Max_DS_SpliceAI"]
+_NUMERIC = {**{c: T.IntegerType() for c in _INTEGERS}, **{c: T.DoubleType() for c in _DOUBLES}}
 
 
 def _struct(names):
@@ -77,6 +78,24 @@ def annotation_columns(plugin):
     return ANNOTATION_KEYS + ANNOTATION_PAYLOAD[plugin]
 
 
+TABLE_PAYLOAD = {
+    "default": ["Consequence", "CANONICAL", "MANE", "MAX_AF", "MAX_AF_POPS", "gnomAD_max_AF"],
+    "loftee": LOFTEE_COLUMNS,
+    "alphamissense": ALPHAMISSENSE_COLUMNS,
+    "spliceai": SPLICEAI_PARTS,
+}
+
+
+def annotation_table_schema(plugin):
+    """Schema of a converted annotation table; with it, a table without any row still reads."""
+    return _struct(["ID", "Location", "Allele", "Gene", "Feature", *TABLE_PAYLOAD[plugin], "ID_variant_gene", "Chr"])
+
+
+UNFILTERED = _struct(["ID", *[c for c in CALL_COLUMNS if c != "ID"], "Gene", "Feature",
+                      *[c for p in ["default", *PLUGINS] for c in TABLE_PAYLOAD[p]]])
+
+CURATED = _struct(CURATED_COLUMNS)
+
 ENTRIES = T.StructType([
     T.StructField("locus", T.StructType([T.StructField("contig", T.StringType()),
                                          T.StructField("position", T.IntegerType())])),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from variantloom.functions.text import decoded_path
-from variantloom.schemas import CALL_TSV
+from variantloom.schemas import CALL_TSV, CALLS, CURATED, UNFILTERED
 
 SAMPLE_FROM_FILE = r"([^/]+)\.tsv\.gz$"
 SAMPLE_FROM_FOLDER = r"/SampleID=([^/]+)/[^/]*$"
@@ -35,8 +35,12 @@ def read_call_tsvs(spark, path):
 
 def read_calls(spark, *paths):
     """Calls tables (one or more batch folders) as one DataFrame."""
-    return spark.read.parquet(*paths)
+    return spark.read.schema(CALLS).parquet(*paths)
 
 
 def read_unfiltered(spark, path):
-    return spark.read.parquet(path)
+    return spark.read.schema(UNFILTERED).parquet(path)
+
+
+def read_curated(spark, path):
+    return spark.read.schema(CURATED).parquet(path)
