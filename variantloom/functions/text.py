@@ -4,24 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-# Prefix lengths are found by halving steps, so strings up to 2**25 - 1 characters are exact.
-_STEPS = [1 << bit for bit in range(24, -1, -1)]
-
-
 def common_prefix_length(a, b):
     """Length of the longest common prefix of two string columns.
 
-    "Equal up to n characters" is monotone in n, so the answer is built bit by bit with one
-    substring comparison per step.
+    "Equal up to n characters" is monotone in n, so the answer is built bit by bit, one substring
+    comparison per binary digit of the shorter length.
     """
     limit = F.least(F.length(a), F.length(b))
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in _STEPS]),
-        F.lit(0),
-        lambda n, step: F.when(
-            (n + step <= limit) & (F.substring(a, n + 1, step) == F.substring(b, n + 1, step)), n + step
-        ).otherwise(n),
-    )
+    powers = F.sequence(F.length(F.bin(limit)) - 1, F.lit(0), F.lit(-1))
+
+    def extend(n, power):
+        step = F.call_function("shiftleft", F.lit(1), power)
+        equal = (n + step <= limit) & (F.substring(a, n + 1, step) == F.substring(b, n + 1, step))
+        return F.when(equal, n + step).otherwise(n)
+
+    return F.aggregate(powers, F.lit(0), extend)
 
 
 def common_suffix_length(a, b):

@@ -20,10 +20,13 @@ BLOCK_BP = 1000
 def _trim(variants):
     """Event form: ``_e`` last base before the event, ``_u`` the bases gained or lost, ``_ins`` which of both."""
     ref, alt = F.upper("REF"), F.upper("ALT")
-    longer = F.greatest(F.length(ref), F.length(alt))
-    with_prefix = variants.withColumn("_p", common_prefix_length(ref, alt))
+    longer, shorter = F.greatest(F.length(ref), F.length(alt)), F.least(F.length(ref), F.length(alt))
+    # the usual written form starts with all of the shorter allele
+    anchored = F.startswith(ref, alt) | F.startswith(alt, ref)
+    with_prefix = variants.withColumn("_p", F.when(anchored, shorter).otherwise(common_prefix_length(ref, alt)))
     # the suffix may not reach back into the prefix
-    suffix = F.least(common_suffix_length(ref, alt), F.least(F.length(ref), F.length(alt)) - F.col("_p"))
+    left = shorter - F.col("_p")
+    suffix = F.when(left == 0, 0).otherwise(F.least(common_suffix_length(ref, alt), left))
     shorter_first = F.length(alt) > F.length(ref)
     unit = F.when(shorter_first, alt).otherwise(ref)
     return (
@@ -41,20 +44,18 @@ def _shift(state, blocks, block_bp):
     b = blocks.select(F.col("CHROM").alias("_chrom"), F.col("block").alias("_b"), F.col("start").alias("_start"),
                       F.col("seq").alias("_seq"))
     found = keyed.join(b, (F.col("CHROM") == F.col("_chrom")) & (F.col("_block") == F.col("_b")), "inner")
-    offset = F.col("_e") - F.col("_start") + 1
-    size = F.length("_u")
-    upstream = F.reverse(F.substring(F.col("_seq"), F.lit(1), F.col("_off")))
-    # only as much of the endless repeat as the upstream part can match
-    endless = F.repeat(F.reverse("_u"), (F.col("_off") / F.col("_size")).cast("int") + 1)
-    matched = common_prefix_length(upstream, endless)
     at_edge = F.col("_m") == F.col("_off")
     contig_start = F.col("_start") == 1
     # a move must leave one base before the event: at the contig's first base it stops one earlier
     step = F.when(at_edge & contig_start, F.col("_m") - 1).otherwise(F.col("_m"))
     turn = F.col("_k") % F.col("_size")
     return (
-        found.withColumn("_off", offset).withColumn("_size", size)
-        .withColumn("_m", matched)
+        found.withColumns({"_off": F.col("_e") - F.col("_start") + 1, "_size": F.length("_u")})
+        # columns of their own, so that the comparison steps below do not rebuild them; of the endless
+        # repeat only as much as the upstream part can match
+        .withColumns({"_up": F.reverse(F.substring(F.col("_seq"), F.lit(1), F.col("_off"))),
+                      "_endless": F.repeat(F.reverse("_u"), (F.col("_off") / F.col("_size")).cast("int") + 1)})
+        .withColumn("_m", common_prefix_length(F.col("_up"), F.col("_endless")))
         .withColumn("_k", step)
         .withColumn("_open", at_edge & ~contig_start)
         .withColumn("_u", F.concat(F.substring(F.col("_u"), F.col("_size") - turn + 1, turn),
@@ -98,22 +99,25 @@ def left_align(variants, blocks, block_bp=BLOCK_BP):
     Each round is checkpointed, which keeps the plan short and survives lost executors. Where the
     reference has a gap, events stop at it.
     """
-    trimmed = _trim(variants.select(*VARIANT_COLUMNS))
+    ensure_checkpoint_dir(variants.sparkSession)
+    variants = variants.select(*VARIANT_COLUMNS)
+    single = (F.length("REF") == 1) & (F.length("ALT") == 1)
+    done = _unmoved(variants.filter(single))
+    trimmed = _trim(variants.filter(~single)).checkpoint()
     is_indel = (F.length("REF") != F.length("ALT")) & (
         F.col("_p") + F.col("_s") == F.least(F.length("REF"), F.length("ALT")))
     movable = is_indel & (F.col("_e") >= 1)
     padded = (F.length("REF") == F.length("ALT")) & (F.col("_changed") > 0)
-    done = trimmed.filter(~movable).select(
+    done = done.unionByName(trimmed.filter(~movable).select(
         *VARIANT_COLUMNS,
         F.when(padded, F.col("POS") + F.col("_p")).otherwise(F.col("POS")).alias("new_POS"),
         *[F.when(padded, F.substring(F.col(c), F.col("_p") + 1, F.col("_changed"))).otherwise(F.col(c))
           .alias(f"new_{c}") for c in ("REF", "ALT")],
-    )
+    ))
     blocks = blocks.select("CHROM", "block", "start", F.upper("seq").alias("seq"))
     known = blocks.select("CHROM", F.col("block").alias("_block"))
     state = trimmed.filter(movable).select(*VARIANT_COLUMNS, "_ins", "_e", "_u")
     leave = _unmoved
-    ensure_checkpoint_dir(variants.sparkSession)
     while True:
         keyed = state.withColumn("_block", F.floor((F.col("_e") - 1) / F.lit(block_bp)))
         done = done.unionByName(leave(keyed.join(known, ["CHROM", "_block"], "left_anti")))
