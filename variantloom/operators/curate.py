@@ -112,10 +112,13 @@ def curate(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chro
     return rare_filter(attach_frequencies(candidates, frequencies), max_af, min_samples).select(*CURATED_COLUMNS)
 
 
-def _long(df, step, stage, metrics):
-    """Wide per-chromosome counts to ``CHROM, step, stage, metric, value``."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("bigint").alias("value")) for m in metrics])
-    return df.select("CHROM", F.lit(step).alias("step"), stage.alias("stage"), F.inline(pairs))
+def _rows_per_count(df, rows):
+    """One row per chromosome and count. ``rows`` lists ``step, stage, metric, count`` (text or columns)."""
+    made = F.array(*[
+        F.struct(F.lit(step).alias("step"), F.lit(stage).alias("stage"), F.lit(metric).alias("metric"),
+                 count.cast("bigint").alias("value"))
+        for step, stage, metric, count in rows])
+    return df.select("CHROM", F.inline(made))
 
 
 def cohort_counts(df):
@@ -187,25 +190,23 @@ def other_consequences(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denom
     return counts.select("CHROM", "Consequence", F.col("before").alias("n")).orderBy("CHROM", F.desc("n"), "Consequence")
 
 
-def stage_counts(samples, totals):
-    """Sample, variant and pair counts per stage; the rare stage names the filters that ran on the chromosome."""
+def funnel_rows(samples, totals, types):
+    """Funnel in long format from its three aggregates.
+
+    The rare stage names the filters that ran on the chromosome. Classes without rows are left out.
+    """
     rare = F.when(F.col("_inside_applied"), "rare: gnomAD_max_AF and dataset_AF").otherwise("rare: gnomAD_max_AF")
-    after = totals.drop("pairs")
-    return [
-        _long(samples.withColumnRenamed("n_samples", "samples"), 1, F.lit("input"), ["samples"]),
-        _long(totals, 1, F.lit("input"), ["variants", "pairs"]),
-        _long(after.withColumnRenamed("pairs_after_qc", "pairs"), 2, F.lit("qc"), ["pairs"]),
-        _long(after.withColumnRenamed("pairs_after_rare", "pairs"), 3, rare, ["pairs"]),
+    kind = F.col("Variant_Type")
+    parts = [
+        _rows_per_count(samples, [(1, "input", "samples", F.col("n_samples"))]),
+        _rows_per_count(totals, [
+            (1, "input", "variants", F.col("variants")), (1, "input", "pairs", F.col("pairs")),
+            (2, "qc", "pairs", F.col("pairs_after_qc")), (3, rare, "pairs", F.col("pairs_after_rare"))]),
+        _rows_per_count(types, [
+            (4, "variant types before impact filter", kind, F.col("before")),
+            (5, "variant types after impact filter", kind, F.col("after"))]).filter(F.col("value") > 0),
     ]
-
-
-def type_stages(types):
-    """Class counts before and after the impact filter as funnel rows; empty classes are left out."""
-    stages = F.array(
-        F.struct(F.lit(4).alias("step"), F.lit("variant types before impact filter").alias("stage"), F.col("before").alias("value")),
-        F.struct(F.lit(5).alias("step"), F.lit("variant types after impact filter").alias("stage"), F.col("after").alias("value")))
-    rows = types.select("CHROM", F.col("Variant_Type").alias("metric"), F.inline(stages)).filter(F.col("value") > 0)
-    return [rows.select("CHROM", "step", "stage", "metric", "value")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chromosome", contigs=None,
@@ -234,4 +235,4 @@ def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denomina
         F.max(F.col("n_samples") >= min_samples).alias("_inside_applied"),
     )
     types = _rows_per_class(unfiltered, frequencies, "Variant_Type", max_af, min_samples, **thresholds)
-    return reduce(lambda a, b: a.unionByName(b), stage_counts(samples, totals) + type_stages(types))
+    return funnel_rows(samples, totals, types)

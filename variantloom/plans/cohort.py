@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from variantloom.functions.variant import is_damaging, max_splice_delta, variant_id, variant_type
@@ -83,4 +81,4 @@ def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES
         F.sum(F.col("rows_qc") * F.col("before")).alias("before"),
         F.sum(F.col("rows_qc") * F.col("after")).alias("after"))
 
-    return reduce(lambda a, b: a.unionByName(b), C.stage_counts(samples, totals) + C.type_stages(types))
+    return C.funnel_rows(samples, totals, types)
