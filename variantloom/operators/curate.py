@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from variantloom.functions.variant import allele_ratio, is_damaging, max_splice_delta, variant_type
 from variantloom.operators.joins import splittable_join
-from variantloom.schemas import CURATED_COLUMNS, VARIANT_COLUMNS
+from variantloom.schemas import CURATED_COLUMNS, VARIANT_COLUMNS, VARIANT_TYPES
 
 MAX_AF = 0.001
 MIN_SAMPLES = 5000
@@ -190,22 +190,26 @@ def other_consequences(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denom
     return counts.select("CHROM", "Consequence", F.col("before").alias("n")).orderBy("CHROM", F.desc("n"), "Consequence")
 
 
-def funnel_rows(samples, totals, types):
-    """Funnel in long format from its three aggregates.
+def funnel_rows(samples, totals, types=None):
+    """Funnel in long format from its aggregates.
 
-    The rare stage names the filters that ran on the chromosome. Classes without rows are left out.
+    Class counts come as ``types`` (one row per chromosome and class) or as columns ``before_<class>``
+    and ``after_<class>`` of ``totals``. Classes without rows are left out. The rare stage names the
+    filters that ran on the chromosome.
     """
     rare = F.when(F.col("_inside_applied"), "rare: gnomAD_max_AF and dataset_AF").otherwise("rare: gnomAD_max_AF")
-    kind = F.col("Variant_Type")
-    parts = [
-        _rows_per_count(samples, [(1, "input", "samples", F.col("n_samples"))]),
-        _rows_per_count(totals, [
-            (1, "input", "variants", F.col("variants")), (1, "input", "pairs", F.col("pairs")),
-            (2, "qc", "pairs", F.col("pairs_after_qc")), (3, rare, "pairs", F.col("pairs_after_rare"))]),
-        _rows_per_count(types, [
-            (4, "variant types before impact filter", kind, F.col("before")),
-            (5, "variant types after impact filter", kind, F.col("after"))]).filter(F.col("value") > 0),
-    ]
+    stages = [(4, "variant types before impact filter", "before"), (5, "variant types after impact filter", "after")]
+    counts = [
+        (1, "input", "variants", F.col("variants")), (1, "input", "pairs", F.col("pairs")),
+        (2, "qc", "pairs", F.col("pairs_after_qc")), (3, rare, "pairs", F.col("pairs_after_rare"))]
+    if types is None:
+        counts += [(n, stage, t, F.nullif(F.col(f"{side}_{t}"), F.lit(0))) for n, stage, side in stages for t in VARIANT_TYPES]
+    parts = [_rows_per_count(samples, [(1, "input", "samples", F.col("n_samples"))]),
+             _rows_per_count(totals, counts).filter(F.col("value").isNotNull())]
+    if types is not None:
+        parts.append(_rows_per_count(types, [
+            (n, stage, F.col("Variant_Type"), F.nullif(F.col(side), F.lit(0))) for n, stage, side in stages
+        ]).filter(F.col("value").isNotNull()))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -8,7 +8,7 @@ from variantloom.functions.variant import is_damaging, max_splice_delta, variant
 from variantloom.operators import curate as C
 from variantloom.operators.integrate import annotate_calls, annotated_calls, integrate
 from variantloom.operators.joins import splittable_join
-from variantloom.schemas import CURATED_COLUMNS, PLUGINS, VARIANT_COLUMNS
+from variantloom.schemas import CURATED_COLUMNS, PLUGINS, VARIANT_COLUMNS, VARIANT_TYPES
 
 
 def unfiltered(calls, tables, strict_key=False):
@@ -59,26 +59,27 @@ def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES
     per_variant = per_pair.groupBy("CHROM", "ID").agg(
         F.count("SampleID").alias("pairs"), F.sum("rows_qc").alias("rows_qc"),
         F.count_if((F.col("rows_qc") > 0) & F.col("SampleID").isNotNull()).alias("pairs_qc"))
-    outside = F.col("gnomAD_max_AF") <= max_af
+    # one row per annotated variant: how many of its annotation rows fall in each class
+    outside = F.coalesce(F.col("gnomAD_max_AF") <= max_af, F.lit(False))
     typed = annotations.withColumns({"Variant_Type": variant_type(), "Max_DS_SpliceAI": max_splice_delta()})
     damaging = F.coalesce(is_damaging(**C._pick(thresholds, C._IMPACT)), F.lit(False))
-    per_annotation = typed.groupBy(F.col("Chr").alias("CHROM"), "ID", "Variant_Type").agg(
-        F.count_if(outside).alias("before"), F.count_if(outside & damaging).alias("after"))
+    of_class = [(t, F.col("Variant_Type") == t) for t in VARIANT_TYPES]
+    per_annotation = typed.groupBy(F.col("Chr").alias("CHROM"), "ID").agg(
+        *[F.count_if(outside & is_class).alias(f"before_{t}") for t, is_class in of_class],
+        *[F.count_if(outside & damaging & is_class).alias(f"after_{t}") for t, is_class in of_class],
+        F.max(outside).alias("_outside"))
     counts = C.sample_counts(annotated_calls(calls, annotations), denominator)
     samples = counts if denominator == "chromosome" else C.sample_counts(annotated_calls(calls, annotations))
     joined = C._with_counts(per_annotation.join(per_variant, ["CHROM", "ID"]), counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("pairs_qc"), F.lit(2) * F.col("n_samples")))
-    inside = (F.col("n_samples") < min_samples) | (F.col("dataset_AF") <= max_af)
-    per_class = joined.withColumn("_in", inside)
-    # one row per variant again: a variant may have several classes
-    variants = per_class.groupBy("CHROM", "ID", "pairs", "pairs_qc", "n_samples", "_in").agg(
-        (F.sum("before") > 0).alias("_outside"))
-    totals = variants.groupBy("CHROM").agg(
-        F.count("*").alias("variants"), F.sum("pairs").alias("pairs"), F.sum("pairs_qc").alias("pairs_after_qc"),
-        F.sum(F.when(F.col("_in") & F.col("_outside"), F.col("pairs_qc")).otherwise(0)).alias("pairs_after_rare"),
-        F.max(F.col("n_samples") >= min_samples).alias("_inside_applied"))
-    types = per_class.filter("_in").groupBy("CHROM", "Variant_Type").agg(
-        F.sum(F.col("rows_qc") * F.col("before")).alias("before"),
-        F.sum(F.col("rows_qc") * F.col("after")).alias("after"))
+    inside = C._inside(max_af, min_samples)
+
+    def rows(column):
+        return F.sum(F.when(inside, F.col("rows_qc") * F.col(column)).otherwise(0)).alias(column)
 
-    return C.funnel_rows(samples, totals, types)
+    totals = joined.groupBy("CHROM").agg(
+        F.count("*").alias("variants"), F.sum("pairs").alias("pairs"), F.sum("pairs_qc").alias("pairs_after_qc"),
+        F.sum(F.when(inside & F.col("_outside"), F.col("pairs_qc")).otherwise(0)).alias("pairs_after_rare"),
+        F.max(F.col("n_samples") >= min_samples).alias("_inside_applied"),
+        *[rows(f"{side}_{t}") for side in ("before", "after") for t in VARIANT_TYPES])
+    return C.funnel_rows(samples, totals)

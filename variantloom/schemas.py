@@ -31,6 +31,8 @@ CALL_COLUMNS = ["SampleID", "CHROM", "POS", "REF", "ALT", "GT", "DP", "GQ", "REF
 CALL_TSV_COLUMNS = ["CHROM", "POS", "REF", "ALT", "GT", "DP", "AD", "GQ"]
 VARIANT_COLUMNS = ["CHROM", "POS", "REF", "ALT"]
 
+VARIANT_TYPES = ["Synonymous", "Stop_Gained", "Frameshift", "Splice_variants", "Missense", "Other"]
+
 CURATED_COLUMNS = [
     "SampleID", "CHROM", "POS", "REF", "ALT", "GT", "DP", "GQ", "REF_AD", "ALT_AD", "AC_ratio", "Gene",
     "Feature", "CANONICAL", "MANE", "dataset_AF", "gnomAD_max_AF", "MAX_AF", "MAX_AF_POPS", "Variant_Type",
