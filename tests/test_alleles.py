@@ -1,7 +1,9 @@
 import random
 
 from helpers import records
-from variantloom.operators.alleles import left_align
+from variantloom.operators import manifest as M
+from variantloom.operators.alleles import align_records, left_align
+from variantloom.sources import reference as R
 
 SCHEMA = "CHROM string, POS int, REF string, ALT string"
 
@@ -69,3 +71,28 @@ def test_snvs_padding_and_gaps(spark):
     assert got == {
         rows[0]: (5, "A", "G"), rows[1]: (5, "A", "G"), rows[2]: (6, "A", "G"), rows[3]: (21, "AA", "A"),
         rows[4]: (10, "A", "AA"), rows[5]: (5, "AA", "A"), rows[6]: (6, "AT", "GC")}
+
+
+def test_fasta_blocks_and_record_alignment(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "_BUCKET", 7)
+    monkeypatch.setattr(R, "_CHUNK", 5)
+    rng = random.Random(4)
+    sequences = {"chr1": "".join(rng.choice("acgT") for _ in range(95)), "tiny": "ACG", "chr2": "AG" * 60}
+    text, index = "", ""
+    for name, seq in sequences.items():
+        text += f">{name} note\n"
+        index += f"{name}\t{len(seq)}\t{len(text)}\t10\t11\n"
+        text += "".join(seq[i:i + 10] + "\n" for i in range(0, len(seq), 10))
+    (tmp_path / "g.fa").write_text(text)
+    (tmp_path / "g.fa.fai").write_text(index)
+    blocks = R.read_reference_blocks(spark, str(tmp_path / "g.fa"), str(tmp_path / "g.fa.fai"), 20, 10).cache()
+    for r in blocks.collect():
+        seq = sequences[r["CHROM"]]
+        assert r["start"] == max(1, (r["block"] - 1) * 20 + 1)
+        assert r["seq"] == seq[r["start"] - 1:(r["block"] + 1) * 20]
+    wanted = {(c, b) for c, s in sequences.items() for b in range((len(s) + 19) // 20)}
+    assert wanted <= {(r["CHROM"], r["block"]) for r in blocks.collect()}
+    records_ = spark.createDataFrame([("S1", "chr2", 90, "GAG", "G"), ("S2", "chr2", 90, "GAG", "G"), ("S1", "chr1", 5, "A", "C")],
+                                     "SampleID string, CHROM string, POS int, REF string, ALT string")
+    assert records(align_records(records_, blocks, 20)) == [
+        ("S1", "chr1", 5, "A", "C"), ("S1", "chr2", 1, "AGA", "A"), ("S2", "chr2", 1, "AGA", "A")]

@@ -84,3 +84,7 @@ def test_unique_variants_and_counts(spark):
     assert S.vcf_rows(df).count() == unique.count()
     row = S.vcf_rows(df).filter("POS = 5").head()
     assert tuple(row) == ("chr1", 5, "chr1_5_A_G", "A", "G", ".", "PASS", ".")
+
+
+def test_sample_count(spark):
+    assert K.sample_count(calls(spark, call(), call(pos=7), call("S2"))).head()[0] == 2

@@ -109,7 +109,14 @@ def test_whole_flow_from_files(spark, tmp_path):
                     "B": [(5, "G", "0/1", "10,20,0:30:60"), (9, "C", "0/1", "15,15,0:30:50")]}.items():
         _gz(f"{d}/gvcf/{s}.gvcf.gz", _gvcf(rows))
     _gz(f"{d}/manifest.tsv.gz", f"sampleID\tPath\nA\t/x/A.gvcf.gz\nB\t/x/B.gvcf.gz\n")
-    jobs.main(["extract", f"{d}/manifest.tsv.gz", f"{d}/gvcf", f"{d}/tsv"], spark)
+    with open(f"{d}/g.fa", "w") as f:
+        f.write(">chr1\n" + "A" * 50 + "\n")
+    with open(f"{d}/g.fa.fai", "w") as f:
+        f.write("chr1\t50\t6\t60\t61\n")
+    jobs.main(["batches", f"{d}/manifest.tsv.gz", f"{d}/batches", "--size", "1"], spark)
+    assert records(spark.read.parquet(f"{d}/batches"), "sampleID", "batch") == [("A", 0), ("B", 1)]
+    jobs.main(["reference", f"{d}/g.fa", f"{d}/g.fa.fai", f"{d}/blocks"], spark)
+    jobs.main(["extract", f"{d}/manifest.tsv.gz", f"{d}/gvcf", f"{d}/tsv", "--blocks", f"{d}/blocks"], spark)
     jobs.main(["shared", f"{d}/tsv", f"{d}/tsv", f"{d}/tsv2"], spark)
     jobs.main(["calls", f"{d}/tsv2", f"{d}/calls"], spark)
     assert records(read_calls(spark, f"{d}/calls"), "SampleID", "ID", "REF_AD") == [

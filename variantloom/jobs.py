@@ -1,7 +1,13 @@
 """Command line: one sub-command per stage, ``spark-submit`` friendly.
 
+    python -m variantloom.jobs batches <manifest> <out>
+    python -m variantloom.jobs reference <fasta> <fasta index> <out>
+    python -m variantloom.jobs extract <manifest> <gvcf folder,...> <out> [--blocks <reference blocks>]
+    python -m variantloom.jobs shared <primary tsv folder> <other tsv folder> <out>
+    python -m variantloom.jobs matrix <entries> <out>
     python -m variantloom.jobs calls <tsv folder> <out>
     python -m variantloom.jobs merge <batch,batch,...> <out>
+    python -m variantloom.jobs genotypes <calls> <out>
     python -m variantloom.jobs sites <calls> <out folder>
     python -m variantloom.jobs convert <plugin> <annotator folder> <out>
     python -m variantloom.jobs integrate <calls> <default> <plugin=path,plugin=path,...> <out>
@@ -14,9 +20,11 @@ from __future__ import annotations
 import argparse
 
 from variantloom.operators import curate as C
+from variantloom.operators.alleles import BLOCK_BP, align_records
 from variantloom.operators.annotations import reshape_annotation
 from variantloom.operators.calls import flatten_entries, genotype_counts, intersect_callers, merge_calls, normalize_calls
 from variantloom.operators.integrate import annotate_calls, id_coverage, integrate
+from variantloom.operators.manifest import assign_batches, split_batches
 from variantloom.operators.profile import histogram, top_values
 from variantloom.operators.sites import extract_calls, unique_variants, variants_per_chrom, vcf_rows
 from variantloom.schemas import CANONICAL_CONTIGS
@@ -28,11 +36,25 @@ from variantloom.sources.calls import read_call_tsvs, read_calls, read_curated,
 from variantloom.sources.gvcf import attach_samples, parse_gvcf, read_gvcf_lines
 from variantloom.sources.manifest import read_manifest
 from variantloom.sources.matrix import read_entries
+from variantloom.sources.reference import read_reference_blocks
 
 
-def extract(spark, manifest, gvcfs, out, contigs=CANONICAL_CONTIGS):
-    """gVCF files of a batch to per-sample call TSVs."""
-    records = extract_calls(parse_gvcf(read_gvcf_lines(spark, *gvcfs.split(","))), contigs)
+def batches(spark, manifest, out, size=64, count=0, start=0, max_batches=-1):
+    """Manifest rows with a batch number: fixed ``--size``, or ``--count`` near-equal batches."""
+    rows = read_manifest(spark, manifest)
+    W.write_plain(split_batches(rows, count, start) if count else assign_batches(rows, size, max_batches=max_batches), out)
+
+
+def reference(spark, fasta, index, out, line_bases=60):
+    """FASTA and its index to the reference block table."""
+    W.write_plain(read_reference_blocks(spark, fasta, index, BLOCK_BP // line_bases * line_bases, line_bases), out)
+
+
+def extract(spark, manifest, gvcfs, out, blocks=None, block_bp=BLOCK_BP, all_contigs=False):
+    """gVCF files of a batch to per-sample call TSVs; ``--blocks`` left-aligns against the reference table."""
+    records = extract_calls(parse_gvcf(read_gvcf_lines(spark, *gvcfs.split(","))), None if all_contigs else CANONICAL_CONTIGS)
+    if blocks:
+        records = align_records(records, spark.read.parquet(blocks), block_bp)
     write_call_tsvs(attach_samples(records, read_manifest(spark, manifest)), out)
 
 
@@ -116,7 +138,9 @@ def parser():
                 s.add_argument(flag, type=type(default), default=default)
         s.set_defaults(run=run)
 
-    stage("extract", extract, "manifest", "gvcfs", "out")
+    stage("batches", batches, "manifest", "out", size=64, count=0, start=0, max_batches=-1)
+    stage("reference", reference, "fasta", "index", "out", line_bases=60)
+    stage("extract", extract, "manifest", "gvcfs", "out", blocks=None, block_bp=BLOCK_BP, all_contigs=False)
     stage("shared", shared, "primary", "other", "out")
     stage("calls", calls, "source", "out")
     stage("merge", merge, "batches", "out")

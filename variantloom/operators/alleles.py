@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from variantloom.functions.text import common_prefix_length, common_suffix_length
+from variantloom.operators.joins import splittable_join
 from variantloom.schemas import VARIANT_COLUMNS
 from variantloom.session import ensure_checkpoint_dir
 
-BLOCK_BP = 1000
+BLOCK_BP = 960
 
 
 def _trim(variants):
@@ -127,3 +128,17 @@ def left_align(variants, blocks, block_bp=BLOCK_BP):
         if state.isEmpty():
             return done
         leave = _stopped_at_gap
+
+
+def align_records(records, blocks, block_bp=BLOCK_BP):
+    """Records with POS, REF and ALT in normal form.
+
+    Alleles are aligned once per distinct variant and joined back. Single-base records, nearly all of
+    them, take no part in either.
+    """
+    single = (F.length("REF") == 1) & (F.length("ALT") == 1)
+    longer = records.filter(~single)
+    aligned = left_align(longer.select(*VARIANT_COLUMNS).distinct(), blocks, block_bp)
+    moved = splittable_join(longer, aligned, VARIANT_COLUMNS)
+    new = {c: F.col(f"new_{c}") for c in ("POS", "REF", "ALT")}
+    return records.filter(single).unionByName(moved.withColumns(new).select(*records.columns))
