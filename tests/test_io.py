@@ -151,3 +151,20 @@ def test_matrix_job(spark, tmp_path):
     spark.createDataFrame([row], ENTRIES).write.parquet(f"{tmp_path}/mt")
     jobs.main(["matrix", f"{tmp_path}/mt", f"{tmp_path}/calls"], spark)
     assert records(read_calls(spark, f"{tmp_path}/calls"), "SampleID", "GT", "ID") == [("a", "0/1", "chr1_9_A_G")]
+
+
+def test_rebalanced_writes_cut_a_hot_variant(spark, tmp_path):
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB"}
+    rows = spark.range(0, 40_000, 1, 8).selectExpr(
+        "concat('S', id) AS SampleID", "'chr1' AS CHROM", "5 AS POS", "'A' AS REF", "'G' AS ALT", "'0/1' AS GT", "1 AS DP", "1 AS GQ",
+        "1 AS REF_AD", "1 AS ALT_AD", "'chr1_5_A_G' AS ID")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        W.write_calls(rows, f"{tmp_path}/c")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(glob.glob(f"{tmp_path}/c/CHROM=chr1/*.parquet")) > 1
+    assert read_calls(spark, f"{tmp_path}/c").distinct().count() == 40_000

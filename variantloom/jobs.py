@@ -98,7 +98,7 @@ def unfiltered(spark, calls_path, default, plugins, out, coverage=None, strict_k
     named = dict(p.split("=", 1) for p in plugins.split(","))
     annotations = integrate(read_annotation_table(spark, default, "default"),
                             [read_annotation_table(spark, path, name) for name, path in named.items()], strict_key)
-    W.write_by_chromosome(annotate_calls(table, annotations), out)
+    W.write_unfiltered(annotate_calls(table, annotations), out)
     if coverage:
         W.write_plain(id_coverage(table, annotations), coverage)
 
@@ -106,7 +106,7 @@ def unfiltered(spark, calls_path, default, plugins, out, coverage=None, strict_k
 def curate(spark, source, report, out, others=None, contigs=None, **thresholds):
     """Curated table, funnel report, and the consequences inside class Other when asked for."""
     table = read_unfiltered(spark, source)
-    W.write_by_chromosome(C.curate(table, contigs=contigs, **thresholds), out)
+    W.write_curated(C.curate(table, contigs=contigs, **thresholds), out)
     W.write_report(C.curation_funnel(table, contigs=contigs, **thresholds), report)
     if others:
         W.write_plain(C.other_consequences(table, contigs=contigs, **thresholds), others)

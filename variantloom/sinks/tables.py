@@ -1,22 +1,26 @@
-"""Parquet tables. One write per table, clustered so that tasks and files stay even."""
+"""Parquet tables. One write per table.
+
+Rows are brought together with a rebalance: one shuffle, no sampling pass over the input, and adaptive
+execution cuts partitions that grow too big (one common variant) and joins small ones.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-# A common variant can hold a large share of the rows: sample and transcript break the tie, so range
-# partitioning can cut inside one variant.
-_CLUSTER = ["CHROM", "POS", "REF", "ALT", "SampleID"]
+BIN_BP = 1_000_000
 
 
-def _clustered(df, columns):
-    keys = [c for c in columns if c in df.columns]
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+def _by_coordinate(df, *more):
+    """Rows of the same stretch of a chromosome together and sorted, so row groups can be skipped by POS."""
+    stretch = F.floor(F.col("POS") / BIN_BP)
+    gathered = df.withColumn("_stretch", stretch).hint("rebalance", F.col("CHROM"), F.col("_stretch")).drop("_stretch")
+    return gathered.sortWithinPartitions("CHROM", "POS", "REF", "ALT", "SampleID", *more)
 
 
 def write_calls(calls, path, mode="overwrite"):
-    """Calls table, range-clustered by coordinate so row groups can be skipped by CHROM and POS."""
-    _clustered(calls, _CLUSTER).write.mode(mode).partitionBy("CHROM").parquet(path)
+    """Calls table partitioned by CHROM, clustered by coordinate."""
+    _by_coordinate(calls).write.mode(mode).partitionBy("CHROM").parquet(path)
 
 
 def append_calls(calls, path):
@@ -25,12 +29,24 @@ def append_calls(calls, path):
 
 
 def write_annotation_table(annotation, path, mode="overwrite"):
-    _clustered(annotation, ["Chr", "ID", "Feature"]).write.mode(mode).partitionBy("Chr").parquet(path)
+    """Annotation table partitioned by Chr."""
+    annotation.hint("rebalance", F.col("Chr")).sortWithinPartitions("Chr", "ID", "Feature").write.mode(mode).partitionBy(
+        "Chr").parquet(path)
+
+
+def write_unfiltered(unfiltered, path, mode="overwrite"):
+    """Unfiltered table partitioned by CHROM, written as the join left it: the widest table is not shuffled again.
+
+    The join has brought each variant's rows together; sorting within the task lets the annotation
+    columns, which repeat for every carrier, compress to almost nothing.
+    """
+    unfiltered.sortWithinPartitions("CHROM", "POS", "REF", "ALT", "Feature").write.mode(mode).partitionBy(
+        "CHROM").parquet(path)
 
 
-def write_by_chromosome(df, path, mode="overwrite"):
-    """Unfiltered or curated table partitioned by CHROM."""
-    _clustered(df, _CLUSTER + ["Feature"]).write.mode(mode).partitionBy("CHROM").parquet(path)
+def write_curated(curated, path, mode="overwrite"):
+    """Curated table partitioned by CHROM, clustered by coordinate."""
+    _by_coordinate(curated, "Feature").write.mode(mode).partitionBy("CHROM").parquet(path)
 
 
 def write_plain(df, path, mode="overwrite"):

@@ -40,12 +40,11 @@ def write_sites(sites, path, shard_bp=10_000_000, compression="gzip", mode="over
 def write_call_tsvs(calls, path, mode="overwrite"):
     """Per-sample call TSVs (``SampleID=<sample>`` folders), read back by ``read_call_tsvs``.
 
-    Range partitioning on sample and coordinate cuts a very large sample over several files.
+    A rebalance keeps a sample in one file unless it is very large; the input is read once.
     """
-    keys = ["SampleID", "CHROM", "POS", "REF", "ALT"]
     (
-        calls.select("SampleID", *CALL_TSV_COLUMNS)
-        .repartitionByRange(*keys).sortWithinPartitions(*keys)
+        calls.select("SampleID", *CALL_TSV_COLUMNS).hint("rebalance", F.col("SampleID"))
+        .sortWithinPartitions("SampleID", "CHROM", "POS", "REF", "ALT")
         .write.mode(mode).partitionBy("SampleID")
         .option("sep", "\t").option("header", True).option("nullValue", "-").option("compression", "gzip")
         .csv(path)
