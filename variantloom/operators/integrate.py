@@ -37,10 +37,18 @@ def annotate_calls(calls, annotations):
     return splittable_join(calls, known, ["CHROM", "ID"]).select("ID", *rest, *payload)
 
 
+def annotated_ids(annotations):
+    """Distinct ``CHROM, ID`` of the annotations.
+
+    Under a distinct that reads none of their columns the plugins' left joins change nothing, and the
+    optimizer leaves them out.
+    """
+    return annotations.select(F.col("Chr").alias("CHROM"), "ID").distinct()
+
+
 def annotated_calls(calls, annotations):
     """Calls whose variant has at least one annotation, without the annotation columns."""
-    known = annotations.select(F.col("Chr").alias("CHROM"), "ID")
-    return splittable_join(calls, known, ["CHROM", "ID"], "left_semi")
+    return splittable_join(calls, annotated_ids(annotations), ["CHROM", "ID"], "left_semi")
 
 
 def id_coverage(calls, annotations):
@@ -50,7 +58,7 @@ def id_coverage(calls, annotations):
     without any call are left out.
     """
     tagged = calls.select("CHROM", "ID", F.lit(1).alias("called"), F.lit(0).alias("annotated")).unionByName(
-        annotations.select(F.col("Chr").alias("CHROM"), "ID", F.lit(0).alias("called"), F.lit(1).alias("annotated")))
+        annotated_ids(annotations).withColumns({"called": F.lit(0), "annotated": F.lit(1)}))
     per_id = tagged.groupBy("CHROM", "ID").agg(F.max("called").alias("c"), F.max("annotated").alias("a"))
     return (
         per_id.groupBy("CHROM").agg(
