@@ -28,6 +28,7 @@ def test_call_tsvs(spark, tmp_path):
     _gz(f"{tmp_path}/b1/S 1+x.tsv.gz", HEADER + "chr1\t5\tA\tG\t0/1\t20\t12,8\t50\nchr1\t6\tA\tG\t0/1\t-\t15\tbad\n")
     _gz(f"{tmp_path}/b2/deep/S2.tsv.gz", HEADER + "chr2\t7\tA\tT\t1/1\t9\t0,9\t40\n")
     _gz(f"{tmp_path}/b2/empty.tsv.gz", HEADER)
+    _gz(f"{tmp_path}/b2/other.vcf.gz", "not\ta call file\n")
     got = normalize_calls(read_call_tsvs(spark, str(tmp_path)))
     assert records(got, "SampleID", "POS", "DP", "GQ", "REF_AD", "ALT_AD") == sorted(
         [("S 1+x", 5, 20, 50, 12, 8), ("S 1+x", 6, None, None, 15, None), ("S2", 7, 9, 40, 0, 9)], key=str)
@@ -142,6 +143,8 @@ def test_whole_flow_from_files(spark, tmp_path):
         ("A", 0.5, "Missense", 0.9, 0.1), ("B", 0.5, "Missense", 0.9, 0.1)]
     report = [r["value"] for r in spark.read.text(f"{d}/report").collect()]
     assert report[0] == "chr1\tinput\tpairs\t2" and "chr1\tvariant types after impact filter\tMissense\t2" in report
+    jobs.main(["curate", f"{d}/unfiltered", f"{d}/report2", f"{d}/curated2", "--contigs", "canonical", "--min-dp", "35"], spark)
+    assert records(spark.read.parquet(f"{d}/curated2"), "SampleID") == [("A",)]
     jobs.main(["profile", f"{d}/curated", f"{d}/profile", "--table", "curated"], spark)
     assert spark.read.parquet(f"{d}/profile/histogram").count() > 0
 

@@ -19,6 +19,9 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from variantloom.operators import curate as C
 from variantloom.operators.alleles import BLOCK_BP, align_records
 from variantloom.operators.annotations import reshape_annotation
@@ -93,12 +96,20 @@ def convert(spark, plugin, source, out, header_file=None):
     W.write_annotation_table(reshape_annotation(read_annotation_tsvs(spark, source, plugin, columns), plugin), out)
 
 
+def _contigs(text):
+    """``canonical``, a comma list, or nothing for every contig."""
+    return CANONICAL_CONTIGS if text == "canonical" else text.split(",") if text else None
+
+
 def unfiltered(spark, calls_path, default, plugins, out, coverage=None, strict_key=False):
+    """Calls with annotations; the row count is taken while writing."""
     table = read_calls(spark, calls_path)
     named = dict(p.split("=", 1) for p in plugins.split(","))
     annotations = integrate(read_annotation_table(spark, default, "default"),
                             [read_annotation_table(spark, path, name) for name, path in named.items()], strict_key)
-    W.write_unfiltered(annotate_calls(table, annotations), out)
+    written = Observation("integrate")
+    W.write_unfiltered(annotate_calls(table, annotations).observe(written, F.count(F.lit(1)).alias("rows")), out)
+    print("rows written:", written.get["rows"])
     if coverage:
         W.write_plain(id_coverage(table, annotations), coverage)
 
@@ -106,10 +117,11 @@ def unfiltered(spark, calls_path, default, plugins, out, coverage=None, strict_k
 def curate(spark, source, report, out, others=None, contigs=None, **thresholds):
     """Curated table, funnel report, and the consequences inside class Other when asked for."""
     table = read_unfiltered(spark, source)
-    W.write_curated(C.curate(table, contigs=contigs, **thresholds), out)
-    W.write_report(C.curation_funnel(table, contigs=contigs, **thresholds), report)
+    options = dict(contigs=_contigs(contigs), **thresholds)
+    W.write_curated(C.curate(table, **options), out)
+    W.write_report(C.curation_funnel(table, **options), report)
     if others:
-        W.write_plain(C.other_consequences(table, contigs=contigs, **thresholds), others)
+        W.write_plain(C.other_consequences(table, **options), others)
 
 
 def profile(spark, source, out, table=None):
@@ -149,7 +161,7 @@ def parser():
     stage("sites", sites, "source", "out", counts=None, shard_bp=10_000_000)
     stage("convert", convert, "plugin", "source", "out", header_file=None)
     stage("integrate", unfiltered, "calls_path", "default", "plugins", "out", coverage=None, strict_key=False)
-    stage("curate", curate, "source", "report", "out", others=None, denominator="chromosome", max_af=0.001,
+    stage("curate", curate, "source", "report", "out", others=None, contigs=None, denominator="chromosome", max_af=0.001,
           min_samples=5000, min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8, min_splice=0.8, min_am=0.564)
     stage("profile", profile, "source", "out", table=None)
     return p

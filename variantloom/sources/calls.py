@@ -8,6 +8,7 @@ from variantloom.functions.text import decoded_path
 from variantloom.schemas import CALL_TSV, CALLS, CURATED, UNFILTERED
 
 SAMPLE_FROM_FILE = r"([^/]+)\.tsv\.gz$"
+CALL_FILES = "*.{tsv,csv}.gz"  # our own sink names its parts .csv.gz
 SAMPLE_FROM_FOLDER = r"/SampleID=([^/]+)/[^/]*$"
 
 
@@ -27,7 +28,7 @@ def read_call_tsvs(spark, path):
     return (
         spark.read.schema(CALL_TSV)
         .option("sep", "\t").option("header", True).option("nullValue", "-")
-        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz")
+        .option("recursiveFileLookup", True).option("pathGlobFilter", CALL_FILES)
         .csv(path)
         .withColumn("SampleID", sample_from_path(F.col("_metadata.file_path")))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from variantloom.operators.calls import normalize_calls
 from variantloom.schemas import CALL_TSV
-from variantloom.sources.calls import sample_from_path
+from variantloom.sources.calls import CALL_FILES, sample_from_path
 
 
 def append_new_call_files(spark, source, table, checkpoint, files_per_trigger=10_000):
@@ -18,7 +18,7 @@ def append_new_call_files(spark, source, table, checkpoint, files_per_trigger=10
     raw = (
         spark.readStream.schema(CALL_TSV)
         .option("sep", "\t").option("header", True).option("nullValue", "-")
-        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz")
+        .option("recursiveFileLookup", True).option("pathGlobFilter", CALL_FILES)
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(source)
         .withColumn("SampleID", sample_from_path(F.col("_metadata.file_path")))
