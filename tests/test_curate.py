@@ -38,6 +38,12 @@ def test_dataset_af_counts_carriers_once_over_chromosome_samples(spark):
     assert records(listed, "CHROM", "dataset_AF") == [("chr2", 0.5)]
 
 
+def test_cohort_denominator_ignores_the_contig_slice(spark):
+    table = _four_samples(spark, (call("S9", chrom="chr2"), {}))
+    sliced = C.curate(table, denominator="cohort", contigs=["chr2"])
+    assert records(sliced, "CHROM", "dataset_AF") == [("chr2", 1 / 10)]
+
+
 def test_rare_rule_switches_per_chromosome(spark):
     table = _four_samples(spark, (call("S9", chrom="chr2"), {}), (call("S4", pos=10), {"gnomAD_max_AF": 0.001}),
                           (call("S4", pos=11), {"gnomAD_max_AF": 0.0011}), (call("S4", pos=12), {"gnomAD_max_AF": None}))
@@ -89,7 +95,8 @@ def _cohort(spark):
 
 
 @pytest.mark.parametrize("options", [{}, {"min_samples": 5, "max_af": 0.2}, {"denominator": "cohort"},
-                                     {"contigs": ["chr1", "chrX"], "min_dp": 30}])
+                                     {"contigs": ["chr1", "chrX"], "min_dp": 30},
+                                     {"denominator": "cohort", "contigs": ["chr1"]}])
 def test_fused_plans_equal_stored_ones(spark, options):
     calls, tables = _cohort(spark)
     annotations = I.integrate(tables["default"], [tables[p] for p in PLUGINS])

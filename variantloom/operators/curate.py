@@ -43,6 +43,13 @@ def on_contigs(df, contigs, column="CHROM"):
     return df if contigs is None else df.filter(F.col(column).isin(list(contigs)))
 
 
+def sliced_counts(df, denominator, contigs):
+    """Sample counts for a job on listed contigs; the cohort's size is that of the whole table all the same."""
+    if denominator == "cohort":
+        return on_contigs(sample_counts(df, denominator), contigs)
+    return sample_counts(on_contigs(df, contigs), denominator)
+
+
 def _with_counts(per_variant, counts, contigs):
     """Attach ``n_samples`` to per-variant rows.
 
@@ -104,8 +111,8 @@ def curate(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chro
     rows. Conditions on a row's own columns run before the frequency join, which then sees only
     damaging, externally rare rows.
     """
+    counts = sliced_counts(unfiltered, denominator, contigs)
     unfiltered = on_contigs(unfiltered, contigs)
-    counts = sample_counts(unfiltered, denominator)
     qc = qc_filter(unfiltered, **_pick(thresholds, _QC))
     frequencies = variant_frequencies(qc, counts, contigs)
     candidates = impact_filter(classify(qc.filter(F.col("gnomAD_max_AF") <= max_af)), **_pick(thresholds, _IMPACT))
@@ -168,9 +175,9 @@ def _rows_per_class(unfiltered, frequencies, column, max_af, min_samples, keep=N
 
 
 def _class_counts(unfiltered, column, max_af, min_samples, denominator, contigs, keep=None, **thresholds):
+    counts = sliced_counts(unfiltered, denominator, contigs)
     unfiltered = on_contigs(unfiltered, contigs)
-    qc = qc_filter(unfiltered, **_pick(thresholds, _QC))
-    frequencies = variant_frequencies(qc, sample_counts(unfiltered, denominator), contigs)
+    frequencies = variant_frequencies(qc_filter(unfiltered, **_pick(thresholds, _QC)), counts, contigs)
     return _rows_per_class(unfiltered, frequencies, column, max_af, min_samples, keep, **thresholds)
 
 
@@ -221,8 +228,8 @@ def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denomina
     row per variant; rarity is decided there.
     """
     qc_args = _pick(thresholds, _QC)
+    counts = sliced_counts(unfiltered, denominator, contigs)
     unfiltered = on_contigs(unfiltered, contigs)
-    counts = sample_counts(unfiltered, denominator)
     samples = counts if denominator == "chromosome" else sample_counts(unfiltered)
     flagged = _stage_rows(unfiltered, max_af, **qc_args).filter(F.col("SampleID").isNotNull() & F.col("ID").isNotNull())
     per_pair = flagged.groupBy(*VARIANT_COLUMNS, "ID", "SampleID").agg(

@@ -24,10 +24,10 @@ def curated_cohort(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLE
     So annotations are filtered, given their cohort frequency and filtered again for rarity before
     the calls are joined, once, with the few that are left. Relies on IDs made by ``normalize_calls``.
     """
+    counts = C.sliced_counts(annotated_calls(calls, annotations), denominator, contigs)
     calls = C.on_contigs(calls, contigs)
     annotations = C.on_contigs(annotations, contigs, "Chr")
     qc = C.qc_filter(calls, **C._pick(thresholds, C._QC))
-    counts = C.sample_counts(annotated_calls(calls, annotations), denominator)
     carriers = qc.groupBy(*VARIANT_COLUMNS).agg(F.count_distinct("SampleID").alias("_carriers")).withColumn(
         "ID", variant_id())
     wanted = (
@@ -52,6 +52,7 @@ def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES
     per-variant call count and a per-variant annotation count. Calls are read twice and shuffled as
     partial counts; they never meet the annotation rows.
     """
+    counts = C.sliced_counts(annotated_calls(calls, annotations), denominator, contigs)
     calls = C.on_contigs(calls, contigs)
     annotations = C.on_contigs(annotations, contigs, "Chr")
     qc = C.passes_qc(**C._pick(thresholds, C._QC))
@@ -68,7 +69,6 @@ def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES
         *[F.count_if(outside & is_class).alias(f"before_{t}") for t, is_class in of_class],
         *[F.count_if(outside & damaging & is_class).alias(f"after_{t}") for t, is_class in of_class],
         F.max(outside).alias("_outside"))
-    counts = C.sample_counts(annotated_calls(calls, annotations), denominator)
     samples = counts if denominator == "chromosome" else C.sample_counts(annotated_calls(calls, annotations))
     joined = C._with_counts(per_annotation.join(per_variant, ["CHROM", "ID"]), counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("pairs_qc"), F.lit(2) * F.col("n_samples")))
