@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from variantloom.llm import bpe, embed_dedup, packing, simhash, topk
+from variantloom.llm import bpe, embed_dedup, langid, packing, simhash, topk, toxicity
+from variantloom.llm.common import fold
 
 
 def table(spark, sf_dir, name):
@@ -37,5 +38,23 @@ def op7_simhash(spark, sf_dir):
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
+    model = langid.train(docs.filter("NOT held_out"))
+    return langid.predict(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op9_toxicity(spark, sf_dir):
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def toxicity_model(spark, sf_dir):
+    """Learned from the rows whose fold of three is not 1."""
+    taught = fold("doc_id", 3) != 1
+    return toxicity.train(table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(taught),
+                          table(spark, sf_dir, "documents").select("doc_id", "text").filter(taught))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
