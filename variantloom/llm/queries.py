@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from variantloom.llm import bpe, embed_dedup, langid, packing, simhash, topk, toxicity
+from variantloom.llm import bpe, embed_dedup, html_extract, langid, packing, simhash, topk, toxicity
 from variantloom.llm.common import fold
 
 
@@ -33,6 +33,11 @@ def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_html_extract(spark, sf_dir):
+    texts = html_extract.extract(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_simhash(spark, sf_dir):
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
