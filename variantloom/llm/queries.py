@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from variantloom.llm import bpe, embed_dedup, html_extract, langid, packing, simhash, topk, toxicity
+from variantloom.llm import bpe, embed_dedup, html_extract, langid, line_dedup, packing, simhash, suffix_dedup, topk, toxicity
 from variantloom.llm.common import fold
 
 
@@ -25,6 +25,11 @@ def op2_embed_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    kept = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings")).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -54,6 +59,13 @@ def op9_toxicity(spark, sf_dir):
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op10_line_dedup(spark, sf_dir):
+    """Per document: lines taken out, and the digest and length of the text that is left."""
+    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.col("n_lines_removed").cast("long").alias("n_lines_removed"),
+                       F.char_length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def toxicity_model(spark, sf_dir):
     """Learned from the rows whose fold of three is not 1."""
     taught = fold("doc_id", 3) != 1
