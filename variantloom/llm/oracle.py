@@ -4,8 +4,8 @@ from __future__ import annotations
 
 TOPK = """
 WITH quantized AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM quantized q, quantized c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
@@ -17,8 +17,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 EMBED_DEDUP = """
 WITH RECURSIVE vectors AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a, vectors b
   WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
