@@ -28,6 +28,7 @@ import functools
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import functions as F
 
 from variantloom.llm.common import stored
@@ -161,11 +162,23 @@ def shared_prefix(a, b):
     return n - (differ.bit_length() + 7) // 8
 
 
-RUN_TYPE = "shared array<int>, rest array<binary>, before array<binary>, k1 array<long>, k2 array<int>, at array<long>, whole array<boolean>"
-RUN_FIELDS = [("shared", pa.list_(pa.int32())), ("rest", pa.list_(pa.binary())), ("before", pa.list_(pa.binary())), ("k1", pa.list_(pa.int64())),
+RUN_TYPE = "shared array<int>, rest binary, before binary, k1 array<long>, k2 array<int>, at array<long>, whole array<boolean>"
+RUN_FIELDS = [("shared", pa.list_(pa.int32())), ("rest", pa.binary()), ("before", pa.binary()), ("k1", pa.list_(pa.int64())),
               ("k2", pa.list_(pa.int32())), ("at", pa.list_(pa.int64())), ("whole", pa.list_(pa.bool_()))]
 
 
+def together(parts):
+    """Byte strings with their sizes as one compressed string."""
+    return zstandard.compress(np.array([len(p) for p in parts], "<i4").tobytes() + b"".join(parts), 3)
+
+
+def apart(packed, count):
+    """The ``count`` byte strings of :func:`together`."""
+    data = zstandard.decompress(packed)
+    ends = 4 * count + np.cumsum(np.frombuffer(data[:4 * count], "<i4"), dtype=np.int64)
+    return [data[a:b] for a, b in zip([4 * count, *ends[:-1].tolist()], ends.tolist())]
+
+
 def front_coded(entries):
     """Columns of a run: ``entries`` are ``(suffix, before, k1, k2, at, whole)`` in sorted order."""
     shared, rest, last = [], [], b""
@@ -174,7 +187,8 @@ def front_coded(entries):
         shared.append(same)
         rest.append(entry[0][same:])
         last = entry[0]
-    return [shared, rest, *map(list, zip(*(e[1:] for e in entries)))]
+    before, *others = map(list, zip(*(e[1:] for e in entries)))
+    return [shared, together(rest), together(before), *others]
 
 
 def sorted_runs(contexts, length, gram, samples):
@@ -221,8 +235,9 @@ def dealt_runs(runs, splitters, gram):
     def run(source):
         for batch in source:
             for columns in zip(*(batch.column(i).to_pylist() for i in range(len(RUN_FIELDS)))):
-                suffixes = list(decoded(*columns[:2]))
-                entries = list(zip(suffixes, *columns[2:]))
+                count = len(columns[0])
+                suffixes = list(decoded(columns[0], apart(columns[1], count)))
+                entries = list(zip(suffixes, apart(columns[2], count), *columns[3:]))
                 at = np.searchsorted(splitters, np.array([s[:gram] for s in suffixes], object), side="right") if len(splitters) else np.zeros(len(suffixes), int)
                 cuts = [0, *np.flatnonzero(np.diff(at)) + 1, len(entries)]
                 for a, b in zip(cuts, cuts[1:]):
@@ -284,6 +299,8 @@ def repeated_windows(length, gram):
     def found(pieces):
         names = [name for name, _ in RUN_FIELDS]
         runs = [dict(zip(names, row)) for row in pieces[names].itertuples(index=False)]
+        for r in runs:
+            r["rest"], r["before"] = apart(r["rest"], len(r["shared"])), apart(r["before"], len(r["shared"]))
         out, group, members = [], [], []
 
         def close():
@@ -370,13 +387,21 @@ def counted_windows(contexts, length):
 
 
 def repeated_spans(rows, length=LENGTH, gram=GRAM, crowded=CROWDED):
-    """``k1, k2, start, stop`` of byte intervals that repeat; they may overlap. ``rows``: of :func:`text_keys`."""
+    """``k1, k2, spans`` of rows with repeats: byte intervals ``start, stop``, which may overlap.
+
+    ``rows``: of :func:`text_keys`.
+    """
     anchors = record_rows(rows, length, gram)
-    again = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # stored, so that both sides of the join come from exchanges and a gram with very many records is split
+    again = stored(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"))
     anchors = stored(anchors.join(again, "h"))
     record = F.struct("k1", "k2", "at")
     spans = stored(anchors.groupBy("h", "sp").agg(F.count(F.lit(1)).alias("n"), F.min(record).alias("one")))
-    whole = anchors.join(spans.filter("n > 1").select("h", "sp"), ["h", "sp"])
+    # of the records that are left, those whose span occurs once do not repeat whole; all others do
+    ats = lambda df: df.groupBy("k1", "k2").agg(F.collect_set("at").alias("ats"))
+    single = ats(spans.filter("n = 1").select("one.*")).withColumnRenamed("ats", "single")
+    whole = ats(anchors).join(single, ["k1", "k2"], "left").select("k1", "k2", F.explode(
+        F.array_except("ats", F.coalesce("single", F.array().cast("array<long>")))).alias("at"))
     start, width = F.shiftright("at", 20), F.col("at").bitwiseAND(F.lit(1023))
     sure = whole.select("k1", F.col("k2").cast("long").alias("k2"), start.alias("start"), (start + width + length).alias("stop"))
     several = spans.groupBy("h").agg(F.count(F.lit(1)).alias("spans")).filter("spans > 1")
@@ -401,14 +426,14 @@ def repeated_spans(rows, length=LENGTH, gram=GRAM, crowded=CROWDED):
         parts.append(pieces.groupBy("range").applyInPandas(repeated_windows(length, gram), "k1 long, k2 long, start long, stop long"))
     if sizes.get(True):
         parts.append(counted_windows(contexts(open_records.filter("crowded")), length))
-    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+    intervals = functools.reduce(lambda a, b: a.unionByName(b), parts)
+    return intervals.groupBy("k1", F.col("k2").cast("int").alias("k2")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def without_repeats(docs, length=LENGTH, gram=GRAM, crowded=CROWDED, id_col="doc_id", text_col="text"):
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row."""
     rows = text_keys(docs, id_col, text_col)
-    spans = repeated_spans(rows, length, gram, crowded).groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("start", "stop")).alias("spans")).withColumn("k2", F.col("k2").cast("int"))
+    spans = repeated_spans(rows, length, gram, crowded)
     joined = rows.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
@@ -440,8 +465,7 @@ def cut_repeats(docs, length=LENGTH, gram=GRAM, crowded=CROWDED, id_col="doc_id"
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     text, doc_id = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.col(f"`{id_col}`").cast("long")
     whole = kept.select("row", F.coalesce(doc_id, F.lit(-(1 << 63))).alias("k1"), F.hash(doc_id, text).alias("k2"))
-    spans = repeated_spans(text_keys(docs, id_col, text_col), length, gram, crowded).groupBy("k1", "k2").agg(
-        F.collect_set(F.struct("start", "stop")).alias("spans")).withColumn("k2", F.col("k2").cast("int"))
+    spans = repeated_spans(text_keys(docs, id_col, text_col), length, gram, crowded)
     joined = whole.join(spans, ["k1", "k2"], "left").select("row.*", F.col("spans").alias("_spans"))
     at, schema = docs.columns.index(text_col), docs.schema
 
