@@ -56,8 +56,11 @@ def primary_transcripts(default):
 def score_lookup(variants, scores, match_feature=False):
     """Left-join genome-wide scores on the exact alleles (and on the transcript when asked).
 
-    The score side is the big one and holds few rows per variant, so this is a plain equi-join; stored
-    clustered by coordinate, its scan skips row groups outside the variants' range.
+    The score side is the big one and holds few rows per variant, so this is a plain equi-join. Transcripts match
+    without their versions, which score tables carry and annotators may leave out.
     """
-    keys = VARIANT_COLUMNS + (["Feature"] if match_feature else [])
-    return variants.join(scores, keys, "left")
+    if not match_feature:
+        return variants.join(scores, VARIANT_COLUMNS, "left")
+    unversioned = lambda df: df.withColumn("_transcript", F.regexp_replace("Feature", r"\\.\\d+$", ""))
+    joined = unversioned(variants).join(unversioned(scores).drop("Feature"), [*VARIANT_COLUMNS, "_transcript"], "left")
+    return joined.drop("_transcript")

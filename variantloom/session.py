@@ -29,8 +29,10 @@ def session(app="variantloom", **conf):
 
 
 def ensure_checkpoint_dir(spark):
-    """Use the shared folder named by ``spark.checkpoint.dir``; make a local one only if none is set."""
+    """Use the shared folder named by ``spark.checkpoint.dir``; a local session without one gets a folder of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="variantloom-checkpoint-"))

@@ -19,18 +19,21 @@ def parse_gvcf(lines):
     """Typed records of single-sample gVCF lines.
 
     Header lines and pure reference blocks go first, before any field is taken apart. Metrics stay
-    text so that ``.`` can be told from a number; columns other than ``value`` are carried along.
+    text so that ``.`` can be told from a number; columns other than ``value`` are carried along. A line
+    without its ten columns is no record and is left out.
     """
     fields = F.split("value", "\t")
-    alt, fmt, sample = fields[4], fields[8], fields[9]
+    part = lambda i: F.get(fields, F.lit(i))
+    alt, fmt, sample = part(4), part(8), part(9)
     carried = [c for c in lines.columns if c != "value"]
     return (
         lines.filter(~F.col("value").startswith("#"))
         .filter(~F.coalesce(F.get(fields, F.lit(4)), F.lit(".")).isin(".", "<NON_REF>", "<*>"))
+        .filter(sample.isNotNull())
         .select(
             *carried,
-            fields[0].alias("CHROM"), fields[1].try_cast("int").alias("POS"),
-            fields[3].alias("REF"), alt.alias("ALT"),
+            part(0).alias("CHROM"), part(1).try_cast("int").alias("POS"),
+            part(3).alias("REF"), alt.alias("ALT"),
             *[format_field(fmt, sample, key).alias(key) for key in ("GT", "DP", "AD", "GQ")],
         )
     )
@@ -40,10 +43,23 @@ def base_name(path):
     return F.element_at(F.split(path, "/"), -1)
 
 
+def plain_path(path):
+    """A path without its scheme and escapes, as a manifest lists it."""
+    return F.regexp_replace(decoded_path(path), r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*", "/")
+
+
 def attach_samples(records, manifest):
-    """Add ``SampleID`` by exact base name of the file, keeping only files the manifest lists.
+    """Add ``SampleID`` by the path of the file, keeping only files the manifest lists.
 
-    Call it after the site filter: records of reference blocks never reach the join.
+    A file at another path than listed is found by its base name if the manifest lists that name once.
+    Call it after the site filter: records of reference blocks never reach the joins.
     """
-    files = manifest.select(F.col("sampleID").alias("SampleID"), base_name(F.col("Path")).alias("file")).distinct()
-    return records.withColumn("file", base_name(decoded_path(F.col("path")))).join(files, "file").drop("file", "path")
+    listed = manifest.select(F.col("sampleID").alias("SampleID"), F.col("Path")).distinct()
+    by_path = listed.select(plain_path(F.col("Path")).alias("full"), F.col("SampleID").alias("by_path")).distinct()
+    by_name = (listed.groupBy(base_name(F.col("Path")).alias("file"))
+               .agg(F.max("SampleID").alias("by_name"), F.countDistinct("Path").alias("paths"))
+               .filter("paths = 1").drop("paths"))
+    found = (records.withColumn("full", plain_path(F.col("path"))).withColumn("file", base_name(F.col("full")))
+             .join(by_path, "full", "left").join(by_name, "file", "left"))
+    sample = F.coalesce("by_path", "by_name")
+    return found.withColumn("SampleID", sample).filter("SampleID IS NOT NULL").drop("file", "full", "path", "by_path", "by_name")

@@ -25,10 +25,10 @@ def read_alphamissense_scores(spark, path):
 def read_spliceai_scores(spark, *paths):
     """SNV and indel score VCFs: ``SpliceAI=ALT|SYMBOL|DS...|DP...`` in INFO, one or more genes per line."""
     fields = F.split("value", "\t")
-    entries = F.split(F.regexp_extract(fields[7], r"SpliceAI=([^;]*)", 1), ",")
+    entries = F.split(F.regexp_extract(F.get(fields, F.lit(7)), r"SpliceAI=([^;]*)", 1), ",")
     return (
         spark.read.text(list(paths)).filter(~F.col("value").startswith("#"))
-        .select(fields[0].alias("CHROM"), fields[1].try_cast("int").alias("POS"), fields[3].alias("REF"),
+        .select(F.get(fields, F.lit(0)).alias("CHROM"), F.get(fields, F.lit(1)).try_cast("int").alias("POS"), F.get(fields, F.lit(3)).alias("REF"),
                 F.explode(entries).alias("entry"))
         .select("CHROM", "POS", "REF", item("entry", r"\|", 0).alias("ALT"),
                 *[item("entry", r"\|", i + 1).alias(name) for i, name in enumerate(SPLICEAI_PARTS)])

@@ -9,15 +9,28 @@ from variantloom.schemas import CALL_TSV
 from variantloom.sources.calls import CALL_FILES, sample_from_path
 
 
+def holds_other_data(spark, table):
+    """The folder has files or folders, but no log of a streaming sink."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return False
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    return bool(names) and "_spark_metadata" not in names
+
+
 def append_new_call_files(spark, source, table, checkpoint, files_per_trigger=10_000):
     """Start a run that appends every file not seen before and then ends.
 
     The checkpoint remembers the files, so a run that was cut short or repeated adds each once.
-    Normalising is row by row: no state is kept. Returns the streaming query.
+    Normalising is row by row: no state is kept. Returns the streaming query. The table must be this stream's
+    own: the sink's log hides files that it did not write, so a folder with other data is refused.
     """
+    if holds_other_data(spark, table):
+        raise ValueError(f"{table} holds data that was not written by this stream; stream into a folder of its own")
     raw = (
         spark.readStream.schema(CALL_TSV)
-        .option("sep", "\t").option("header", True).option("nullValue", "-")
+        .option("sep", "\t").option("header", True).option("nullValue", "-").option("enforceSchema", False)
         .option("recursiveFileLookup", True).option("pathGlobFilter", CALL_FILES)
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(source)
