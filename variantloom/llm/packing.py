@@ -18,29 +18,52 @@ from __future__ import annotations
 
 import bisect
 import functools
+import json
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from variantloom.llm.common import batches, partitions, stored, text_rows
-from variantloom.llm.pretokens import SPACED, UNUSUAL, Kept
+from variantloom.llm.pretokens import SPACED, UNUSUAL, Kept, byte_alphabet
 
 KEPT_PIECES = 1 << 20
 
 
 class SpacedTokenizer:
-    """The tokenizers library on one byte-level file, asked once for each distinct piece of text."""
+    """The ids that the tokenizers library gives, looked up once for each distinct piece of text.
+
+    The file's merges are in the order of their ids, so the same vocabulary as ranks serves single pieces. Unusual
+    texts, and files in another order, go through the tokenizers library.
+    """
 
     def __init__(self, path):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.kept = Kept(self._whole, KEPT_PIECES)
+        ranks = self._ranks(path)
+        self.pieces = tiktoken.Encoding("ranks", pat_str=SPACED.pattern, mergeable_ranks=ranks, special_tokens={}) if ranks else None
+        self.kept = Kept(self._piece if ranks else self._whole, KEPT_PIECES)
+
+    @staticmethod
+    def _ranks(path):
+        """Bytes by id, or None if the ids are not in the order of the merges."""
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        pairs = [p if isinstance(p, list) else p.split(" ") for p in model["merges"]]
+        made = [model["vocab"].get(a + b, -1) for a, b in pairs]
+        letters = {c: byte for byte, c in enumerate(byte_alphabet())}
+        if made != sorted(set(made)) or any(model["vocab"].get(c, 1 << 30) > made[0] for c in letters):
+            return None
+        return {bytes(letters[c] for c in token): i for token, i in model["vocab"].items() if set(token) <= letters.keys() and (len(token) == 1 or i >= made[0]) and i <= made[-1]}
+
+    def _piece(self, piece):
+        return np.array(self.pieces.encode_ordinary(piece), "<u4").tobytes()
 
     def _whole(self, text):
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
