@@ -61,6 +61,6 @@ def score_lookup(variants, scores, match_feature=False):
     """
     if not match_feature:
         return variants.join(scores, VARIANT_COLUMNS, "left")
-    unversioned = lambda df: df.withColumn("_transcript", F.regexp_replace("Feature", r"\\.\\d+$", ""))
+    unversioned = lambda df: df.withColumn("_transcript", F.regexp_replace("Feature", r"\.\d+$", ""))
     joined = unversioned(variants).join(unversioned(scores).drop("Feature"), [*VARIANT_COLUMNS, "_transcript"], "left")
     return joined.drop("_transcript")
