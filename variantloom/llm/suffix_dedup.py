@@ -192,32 +192,36 @@ def front_coded(entries):
 
 
 def sorted_runs(contexts, length, gram, samples):
-    """One row per run: its columns, and a regular sample of the grams its suffixes begin with.
+    """One row per run: its columns, a regular sample of the grams its suffixes begin with, and whether they are crowded.
 
-    ``contexts``: ``text`` and ``found``, an array of ``k1, k2, at, whole``.
+    ``contexts``: ``text`` and ``found``, an array of ``k1, k2, at, whole, crowded``. Texts are read once for both kinds.
     """
-    schema = pa.schema([*RUN_FIELDS, ("sample", pa.list_(pa.binary()))])
+    schema = pa.schema([*RUN_FIELDS, ("sample", pa.list_(pa.binary())), ("crowded", pa.bool_())])
 
     def run(source):
-        def put(entries):
+        def put(entries, crowded):
             entries.sort(key=lambda e: (e[0], e[2], e[4]))
             sample = [e[0][:gram] for e in entries[::max(1, len(entries) // samples)]]
-            return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip([*front_coded(entries), sample], schema)], schema=schema)
+            columns = [*front_coded(entries), sample, crowded]
+            return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(columns, schema)], schema=schema)
 
-        held = []
+        held = {False: [], True: []}
         for batch in source:
             for text, found in zip(batch.column(0), batch.column(1)):
                 data = text.as_py().encode()
                 for f in found.as_py():
                     start, before, width = unpack_at(f["at"])
-                    held.append((data[start + before:start + width + length], data[start:start + before], f["k1"], f["k2"], f["at"], f["whole"]))
-            if len(held) >= 4 * RANGE_ROWS:
-                yield put(held)
-                held = []
-        if held:
-            yield put(held)
+                    held[f["crowded"]].append(
+                        (data[start + before:start + width + length], data[start:start + before], f["k1"], f["k2"], f["at"], f["whole"]))
+            for crowded, entries in held.items():
+                if len(entries) >= 4 * RANGE_ROWS:
+                    yield put(entries, crowded)
+                    held[crowded] = []
+        for crowded, entries in held.items():
+            if entries:
+                yield put(entries, crowded)
 
-    return contexts.select("text", "found").mapInArrow(run, f"{RUN_TYPE}, sample array<binary>")
+    return contexts.select("text", "found").mapInArrow(run, f"{RUN_TYPE}, sample array<binary>, crowded boolean")
 
 
 def decoded(shared, rest):
@@ -244,7 +248,7 @@ def dealt_runs(runs, splitters, gram):
                     piece = [int(at[a]), *front_coded(entries[a:b])]
                     yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(piece, schema)], schema=schema)
 
-    return runs.drop("sample").mapInArrow(run, f"range int, {RUN_TYPE}")
+    return runs.drop("sample", "crowded").mapInArrow(run, f"range int, {RUN_TYPE}")
 
 
 def merge(runs):
@@ -364,24 +368,24 @@ def told_apart(members, length):
                          "start": start[who] + offset[begins], "stop": start[who] + offset[ends] + length}).astype(np.int64)
 
 
-def counted_windows(contexts, length):
-    """Intervals of crowded grams: digests of all their windows, counted by Spark."""
+def counted_windows(runs, length):
+    """Intervals of crowded grams: digests of all windows of their suffixes, counted by Spark."""
     schema = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int64())])
 
     def run(source):
         for batch in source:
-            for text, found in zip(batch.column(0), batch.column(1)):
-                data = np.frombuffer(text.as_py().encode(), np.uint8)
-                for f in found.as_py():
-                    start, _, width = unpack_at(f["at"])
-                    part = data[start:start + width + length]
+            for shared, rest, before, k1s, k2s, ats, _ in zip(*(batch.column(i).to_pylist() for i in range(len(RUN_FIELDS)))):
+                count = len(shared)
+                for suffix, head, k1, k2, at in zip(decoded(shared, apart(rest, count)), apart(before, count), k1s, k2s, ats):
+                    start, _, width = unpack_at(at)
+                    part = np.frombuffer(head + suffix, np.uint8)
                     places = np.arange(width + 1)
                     d1 = Hashes(part).of(places, places + length).view(np.int64)
                     d2 = Hashes(part[::-1]).of(width - places, width - places + length).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(d2), pa.array(np.full(width + 1, f["k1"], np.int64)),
-                                                      pa.array(np.full(width + 1, f["k2"], np.int64)), pa.array(places + start)], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(d2), pa.array(np.full(width + 1, k1, np.int64)),
+                                                      pa.array(np.full(width + 1, k2, np.int64)), pa.array(places + start)], schema=schema)
 
-    rows = contexts.select("text", "found").mapInArrow(merged_batches(run), "d1 long, d2 long, k1 long, k2 long, start long")
+    rows = runs.drop("sample", "crowded").mapInArrow(merged_batches(run), "d1 long, d2 long, k1 long, k2 long, start long")
     twice = rows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     return rows.join(twice, ["d1", "d2"]).select("k1", "k2", "start", (F.col("start") + length).alias("stop"))
 
@@ -408,24 +412,22 @@ def repeated_spans(rows, length=LENGTH, gram=GRAM, crowded=CROWDED):
     open_records = stored(spans.join(several, "h").select(
         "one.k1", "one.k2", "one.at", (F.col("n") > 1).alias("whole"), (F.col("spans") > crowded).alias("crowded")))
 
-    def contexts(which):
-        found = which.groupBy("k1", "k2").agg(F.collect_list(F.struct("k1", "k2", "at", "whole")).alias("found"))
-        return rows.select("k1", "k2", "text").join(found, ["k1", "k2"])
-
+    found = open_records.groupBy("k1", "k2").agg(F.collect_list(F.struct("k1", "k2", "at", "whole", "crowded")).alias("found"))
+    runs = stored(sorted_runs(rows.select("k1", "k2", "text").join(found, ["k1", "k2"]), length, gram, SAMPLES))
     sizes = {r["crowded"]: r["n"] for r in open_records.groupBy("crowded").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = [sure]
     if sizes.get(False):
-        runs = stored(sorted_runs(contexts(open_records.filter("NOT crowded")), length, gram, SAMPLES))
+        sparse = runs.filter("NOT crowded")
         ranges = int(min(MOST_RANGES, max(1, sizes[False] // RANGE_ROWS, min(64, sizes[False] // 500))))
         # the sample is bounded by the number of ranges, and so are the splitters
-        sample = runs.select(F.explode("sample").alias("s")).orderBy(F.xxhash64("s")).limit(SAMPLES * ranges).collect()
+        sample = sparse.select(F.explode("sample").alias("s")).orderBy(F.xxhash64("s")).limit(SAMPLES * ranges).collect()
         sample = sorted({bytes(r["s"]) for r in sample})
         splitters = np.empty(min(ranges - 1, max(0, len(sample) - 1)), object)
         splitters[:] = [sample[(i + 1) * len(sample) // (len(splitters) + 1)] for i in range(len(splitters))]
-        pieces = dealt_runs(runs, splitters, gram)
+        pieces = dealt_runs(sparse, splitters, gram)
         parts.append(pieces.groupBy("range").applyInPandas(repeated_windows(length, gram), "k1 long, k2 long, start long, stop long"))
     if sizes.get(True):
-        parts.append(counted_windows(contexts(open_records.filter("crowded")), length))
+        parts.append(counted_windows(runs.filter("crowded"), length))
     intervals = functools.reduce(lambda a, b: a.unionByName(b), parts)
     return intervals.groupBy("k1", F.col("k2").cast("int").alias("k2")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
