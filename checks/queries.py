@@ -14,12 +14,8 @@ from variantloom.operators import profile as R
 from variantloom.operators import sites as S
 from variantloom.operators.alleles import left_align
 from variantloom.plans import cohort
-from variantloom.schemas import CANONICAL_CONTIGS
 from variantloom.sources.gvcf import parse_gvcf
 
-# The stand-in calls, like extracted ones, lie on these contigs only.
-ON = dict(contigs=CANONICAL_CONTIGS)
-
 
 def _unfiltered(spark, d):
     return I.annotate_calls(P.calls(spark, d), P.annotations(spark, d))
@@ -28,7 +24,7 @@ def _unfiltered(spark, d):
 def _with_frequency(spark, d):
     table = _unfiltered(spark, d)
     qc = C.qc_filter(table)
-    return C.attach_frequencies(qc, C.variant_frequencies(qc, C.sample_counts(table), CANONICAL_CONTIGS))
+    return C.attach_frequencies(qc, C.variant_frequencies(qc, C.sample_counts(table)))
 
 
 def _rare(spark, d, min_samples):
@@ -78,8 +74,8 @@ def queries():
         "id_coverage": lambda s, d: I.id_coverage(P.calls(s, d), P.annotations(s, d)),
         "unfiltered_db": _unfiltered,
         "cohort_counts": lambda s, d: C.cohort_counts(_unfiltered(s, d)),
-        "curation_funnel": lambda s, d: C.curation_funnel(_unfiltered(s, d), min_samples=1000, **ON),
-        "cohort_funnel": lambda s, d: cohort.cohort_funnel(P.calls(s, d), P.annotations(s, d), **ON),
+        "curation_funnel": lambda s, d: C.curation_funnel(_unfiltered(s, d), min_samples=1000),
+        "cohort_funnel": lambda s, d: cohort.cohort_funnel(P.calls(s, d), P.annotations(s, d)),
         "qc_filter": lambda s, d: C.qc_filter(_unfiltered(s, d)),
         "dataset_af": lambda s, d: _with_frequency(s, d).select(
             "SampleID", "ID", "Feature", "CHROM", "POS", "REF", "ALT", "n_samples", "dataset_AF"),
@@ -87,12 +83,12 @@ def queries():
         "rare_large": lambda s, d: _rare(s, d, 1000).select(*FREQUENCY_COLUMNS),
         "variant_type": lambda s, d: C.classify(_rare(s, d, 5000)).select(
             "SampleID", "ID", "Feature", "Consequence", "Variant_Type"),
-        "variant_type_counts_before": lambda s, d: C.variant_type_counts(_unfiltered(s, d), **ON),
-        "variant_type_counts_after": lambda s, d: C.variant_type_counts(_unfiltered(s, d), damaging_only=True, **ON),
-        "other_consequences": lambda s, d: C.other_consequences(_unfiltered(s, d), min_samples=1000, **ON),
-        "curated_db": lambda s, d: cohort.curated_cohort(P.calls(s, d), P.annotations(s, d), **ON),
-        "curated_large": lambda s, d: cohort.curated_cohort(P.calls(s, d), P.annotations(s, d), min_samples=1000, **ON),
-        "curated_from_unfiltered": lambda s, d: C.curate(_unfiltered(s, d), **ON),
+        "variant_type_counts_before": lambda s, d: C.variant_type_counts(_unfiltered(s, d)),
+        "variant_type_counts_after": lambda s, d: C.variant_type_counts(_unfiltered(s, d), damaging_only=True),
+        "other_consequences": lambda s, d: C.other_consequences(_unfiltered(s, d), min_samples=1000),
+        "curated_db": lambda s, d: cohort.curated_cohort(P.calls(s, d), P.annotations(s, d)),
+        "curated_large": lambda s, d: cohort.curated_cohort(P.calls(s, d), P.annotations(s, d), min_samples=1000),
+        "curated_from_unfiltered": lambda s, d: C.curate(_unfiltered(s, d)),
         "column_histogram": lambda s, d: R.histogram(_unfiltered(s, d)),
         "column_top_values": lambda s, d: R.top_values(_unfiltered(s, d)),
         "score_lookup": lambda s, d: A.score_lookup(S.unique_variants(P.calls(s, d)), P.scores(s, d)),

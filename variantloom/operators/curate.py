@@ -51,14 +51,12 @@ def sliced_counts(df, denominator, contigs):
 
 
 def _with_counts(per_variant, counts, contigs):
-    """Attach ``n_samples`` to per-variant rows.
+    """Attach ``n_samples`` to per-variant rows, on the listed contigs if there are any.
 
-    When the job is limited to listed contigs, the count table has at most one row for each of them
-    and is broadcast. Otherwise its size is not known ahead and adaptive execution picks the join.
+    The counts, one row per chromosome, are broadcast if adaptive execution finds them small; if not, a
+    chromosome with very many variants is split.
     """
-    if contigs is None:
-        return per_variant.join(counts, "CHROM")
-    return on_contigs(per_variant, contigs).join(F.broadcast(on_contigs(counts, contigs)), "CHROM")
+    return splittable_join(on_contigs(per_variant, contigs), on_contigs(counts, contigs), ["CHROM"])
 
 
 def variant_frequencies(qc, counts, contigs=None):
