@@ -171,3 +171,13 @@ def test_rebalanced_writes_cut_a_hot_variant(spark, tmp_path):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(glob.glob(f"{tmp_path}/c/CHROM=chr1/*.parquet")) > 1
     assert read_calls(spark, f"{tmp_path}/c").distinct().count() == 40_000
+
+
+def test_unfiltered_files_do_not_grow_with_tasks(spark, tmp_path):
+    rows = spark.range(0, 4_800, 1, 16).selectExpr(
+        "concat('chr', 1 + id % 24) AS CHROM", "CAST(1 + id * 500 AS INT) AS POS", "'A' AS REF", "'G' AS ALT",
+        "concat('T', id % 7) AS Feature", "concat('S', id) AS SampleID")
+    W.write_unfiltered(rows, f"{tmp_path}/u")
+    # straight from 16 tasks it would be 16 x 24 files
+    assert len(glob.glob(f"{tmp_path}/u/CHROM=*/*.parquet")) <= 48
+    assert records(spark.read.parquet(f"{tmp_path}/u"), *rows.columns) == records(rows)

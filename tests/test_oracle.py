@@ -1,7 +1,10 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from __spark_entry__ import queries as registered
 from checks.compare import compare, connect
+from checks.oracle import oracle_sql
+from checks.queries import queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,6 +16,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(registered())
 
 
 @pytest.mark.parametrize("name", list(queries()))

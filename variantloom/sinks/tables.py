@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 BIN_BP = 1_000_000
 
 
-def _by_coordinate(df, *more):
+def _by_coordinate(df, *then):
     """Rows of the same stretch of a chromosome together and sorted, so row groups can be skipped by POS."""
     stretch = F.floor(F.col("POS") / BIN_BP)
     gathered = df.withColumn("_stretch", stretch).hint("rebalance", F.col("CHROM"), F.col("_stretch")).drop("_stretch")
-    return gathered.sortWithinPartitions("CHROM", "POS", "REF", "ALT", "SampleID", *more)
+    return gathered.sortWithinPartitions("CHROM", "POS", "REF", "ALT", *then)
 
 
 def write_calls(calls, path, mode="overwrite"):
     """Calls table partitioned by CHROM, clustered by coordinate."""
-    _by_coordinate(calls).write.mode(mode).partitionBy("CHROM").parquet(path)
+    _by_coordinate(calls, "SampleID").write.mode(mode).partitionBy("CHROM").parquet(path)
 
 
 def append_calls(calls, path):
@@ -35,18 +35,18 @@ def write_annotation_table(annotation, path, mode="overwrite"):
 
 
 def write_unfiltered(unfiltered, path, mode="overwrite"):
-    """Unfiltered table partitioned by CHROM, written as the join left it: the widest table is not shuffled again.
+    """Unfiltered table partitioned by CHROM, clustered by coordinate.
 
-    The join has brought each variant's rows together; sorting within the task lets the annotation
-    columns, which repeat for every carrier, compress to almost nothing.
+    Straight from the join every task would write a file for every contig, with positions of the whole contig in each.
+    One more shuffle bounds the files by the size of the data and lets later jobs skip row groups. Rows of a variant
+    and transcript lie together, so the annotation columns, which repeat for every carrier, compress to almost nothing.
     """
-    unfiltered.sortWithinPartitions("CHROM", "POS", "REF", "ALT", "Feature").write.mode(mode).partitionBy(
-        "CHROM").parquet(path)
+    _by_coordinate(unfiltered, "Feature", "SampleID").write.mode(mode).partitionBy("CHROM").parquet(path)
 
 
 def write_curated(curated, path, mode="overwrite"):
     """Curated table partitioned by CHROM, clustered by coordinate."""
-    _by_coordinate(curated, "Feature").write.mode(mode).partitionBy("CHROM").parquet(path)
+    _by_coordinate(curated, "SampleID", "Feature").write.mode(mode).partitionBy("CHROM").parquet(path)
 
 
 def write_plain(df, path, mode="overwrite"):
