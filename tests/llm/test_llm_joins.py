@@ -122,6 +122,24 @@ def test_embedding_links_equal_brute_force(spark, block):
     assert len(got) == len(rows)
 
 
+def test_a_hot_group_of_near_copies_keeps_its_links(spark):
+    g = np.random.default_rng(7)
+    hot = g.normal(size=64) + g.normal(size=(1000, 64)) * 0.17
+    x = np.concatenate([hot, g.normal(size=(2000, 64))]).astype(np.float32)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    linked = int((unit @ unit.T >= 0.95).sum()) - len(x)
+    got = embed_dedup.near_duplicates(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)])).collect()
+    assert linked > 500_000 and 0.99 * linked <= sum(r.n_links for r in got) <= linked
+    assert len({r.component_id for r in got if r.vec_id < 1000}) == 1
+
+
+def test_one_tight_group_has_one_pivot_and_all_links(spark):
+    g = np.random.default_rng(8)
+    x = (g.normal(size=16) + g.normal(size=(300, 16)) * 0.01).astype(np.float32)
+    got = embed_dedup.near_duplicates(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)])).collect()
+    assert [r.n_links for r in got] == [299] * 300
+
+
 def test_topk_equals_brute_force(spark):
     g = np.random.default_rng(2)
     x = np.round(g.normal(size=(230, 16)), 1).astype(np.float32)

@@ -1,6 +1,7 @@
 """Embedding near-duplicates through a pivot-permutation index.
 
-Pivots are vectors of a bounded sample. Each vector is described by its nearest pivots in order, and
+Pivots are vectors of a bounded sample, thinned so that no two lie within the link radius of each other: a
+group of near copies, however large, has one pivot or a few, and its members agree on their nearest ones. Each vector is described by its nearest pivots in order, and
 listed under each of them. Two vectors are candidates if they share at least ``shared`` of these
 pivots, which is counted inside the inverted lists; candidates are verified by their cosine in double
 precision. Lists are met cell by cell, so no list is held whole and no pair of vectors becomes a row. A
@@ -82,7 +83,7 @@ def listed_links(least, shared):
             candidates &= member[part, :lower] @ member[:, :lower].T < 1
             if left != right:
                 candidates &= own[part, None] != own[None, :]
-            linked[part] = candidates & (x[part] @ x.T >= least)
+            linked[part] = candidates & (x[part] @ x.T >= least) if candidates.any() else False
         np.fill_diagonal(linked, False)
         reps = cell["rep"].to_numpy()
         counted = linked @ cell["copies"].to_numpy().astype(np.float64)
@@ -92,17 +93,33 @@ def listed_links(least, shared):
     return links
 
 
-def pivot_sample(reps, count):
-    """The first ``count`` vectors by the hash of their contents: a bounded sample, the same on every run."""
-    rows = reps.orderBy(F.xxhash64("vector"), "rep").limit(count).select("vector").collect()
-    return unit([r["vector"] for r in rows])
+def thinned(candidates, count, apart):
+    """The first ``count`` of the unit vectors whose cosine with every one taken before them is below ``apart``."""
+    taken, held = np.empty((min(count, len(candidates)), candidates.shape[1])), 0
+    for candidate in candidates:
+        if held == len(taken):
+            break
+        if not held or (taken[:held] @ candidate).max() < apart:
+            taken[held] = candidate
+            held += 1
+    return taken[:held]
+
+
+def pivot_sample(reps, count, least):
+    """At most ``count`` pivots out of the first vectors by the hash of their contents, the same on every run.
+
+    Twice the squared distance of a link lies between any two of them at least.
+    """
+    rows = reps.orderBy(F.xxhash64("vector"), "rep").limit(2 * count).select("vector").collect()
+    return thinned(unit([r["vector"] for r in rows]), count, 2 * least - 1)
 
 
 def near_duplicates(vectors, least=0.95, id_col="vec_id", vector_col="embedding", nearest=NEAREST, shared=SHARED,
                     block=BLOCK, pivots=None):
     """``vec_id, n_links, component_id, kept`` of every row; links at a cosine of ``least`` or more.
 
-    ``pivots``: their number; by default it follows from the number of vectors.
+    ``pivots``: their number; by default it follows from the number of vectors. Thinning may leave fewer. If it leaves
+    fewer than ``shared``, all of them have to be shared, and all pairs are candidates.
     """
     spark = vectors.sparkSession
     all_rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
@@ -119,7 +136,8 @@ def near_duplicates(vectors, least=0.95, id_col="vec_id", vector_col="embedding"
     rows = reps.count()
     wanted = pivots or int(min(MOST_PIVOTS, max(LEAST_PIVOTS, 2 * rows ** 0.5)))
     if rows:
-        at = spark.sparkContext.broadcast(pivot_sample(reps, wanted))
+        at = spark.sparkContext.broadcast(pivot_sample(reps, wanted, least))
+        shared = min(shared, len(at.value))
         described = stored(reps.select("rep", "copies", "vector").mapInPandas(
             lambda source: nearest_pivots(at.value, nearest)(source),
             "rep long, copies long, vector array<double>, described array<int>"))
