@@ -97,6 +97,13 @@ def test_line_dedup_keeps_the_first(spark):
     assert got == {None: ("short", "n", 0), 1: (f"{long}\n", "p", 1), 2: ("other\n", "q", 2), 3: (None, None, 0), 4: ("", "", 0)}
 
 
+def test_line_dedup_links_lines_two_edits_apart(spark):
+    dated = "Last changed on 2024-03-{} by the editors of this page"
+    docs = spark.createDataFrame([(1, dated.format("01")), (2, dated.format("28")), (3, dated.format("28") + "!!")], "doc_id long, text string")
+    got = {r.doc_id: r.n_lines_removed for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: 0, 2: 1, 3: 1}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<float>, links int")
 

@@ -9,6 +9,10 @@ from variantloom.llm import bpe, embed_dedup, html_extract, langid, line_dedup,
 from variantloom.llm.common import fold
 
 
+# The edits between near lines in the SQL of op10. The operator and the pipeline take two.
+SQL_EDITS = 1
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,7 +65,7 @@ def op9_toxicity(spark, sf_dir):
 
 def op10_line_dedup(spark, sf_dir):
     """Per document: lines taken out, and the digest and length of the text that is left."""
-    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=SQL_EDITS)
     return docs.select("doc_id", F.col("n_lines_removed").cast("long").alias("n_lines_removed"),
                        F.char_length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("kept_sha256"))
 
