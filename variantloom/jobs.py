@@ -36,7 +36,7 @@ from variantloom.sinks import tables as W
 from variantloom.sinks.text import write_call_tsvs, write_sites
 from variantloom.sources.annotations import header_columns, read_annotation_table, read_annotation_tsvs
 from variantloom.sources.calls import read_call_tsvs, read_calls, read_curated, read_unfiltered
-from variantloom.sources.gvcf import attach_samples, parse_gvcf, read_gvcf_lines
+from variantloom.sources.gvcf import attach_samples, gvcf_files, parse_gvcf, read_gvcf_lines, unlisted_files
 from variantloom.sources.manifest import read_manifest
 from variantloom.sources.matrix import read_entries
 from variantloom.sources.reference import read_reference_blocks
@@ -55,10 +55,12 @@ def reference(spark, fasta, index, out, line_bases=60):
 
 def extract(spark, manifest, gvcfs, out, blocks=None, block_bp=BLOCK_BP, all_contigs=False):
     """gVCF files of a batch to per-sample call TSVs; ``--blocks`` left-aligns against the reference table."""
-    records = extract_calls(parse_gvcf(read_gvcf_lines(spark, *gvcfs.split(","))), None if all_contigs else CANONICAL_CONTIGS)
+    listed, folders = read_manifest(spark, manifest), gvcfs.split(",")
+    records = extract_calls(parse_gvcf(read_gvcf_lines(spark, *folders)), None if all_contigs else CANONICAL_CONTIGS)
     if blocks:
         records = align_records(records, spark.read.parquet(blocks), block_bp)
-    write_call_tsvs(attach_samples(records, read_manifest(spark, manifest)), out)
+    write_call_tsvs(attach_samples(records, listed), out)
+    print(f"files not listed in the manifest: {unlisted_files(gvcf_files(spark, *folders), listed).count()}")
 
 
 def shared(spark, primary, other, out):

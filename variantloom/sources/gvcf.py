@@ -51,15 +51,35 @@ def plain_path(path):
 def attach_samples(records, manifest):
     """Add ``SampleID`` by the path of the file, keeping only files the manifest lists.
 
-    A file at another path than listed is found by its base name if the manifest lists that name once.
-    Call it after the site filter: records of reference blocks never reach the joins.
+    A file at another path than listed is found by its base name. If the manifest lists that name more than once,
+    its sample is not known and this fails. Files of which neither path nor name is listed are left out; see
+    :func:`unlisted_files`. Call it after the site filter: records of reference blocks never reach the joins.
     """
+    sample = F.coalesce("by_path", F.when(F.col("paths") > 1, F.raise_error(F.concat(
+        F.lit("file is not listed, and its base name is listed more than once: "), "path")).cast("string")).otherwise(F.col("by_name")))
+    found = listed_samples(records, manifest).withColumn("SampleID", sample).filter("SampleID IS NOT NULL")
+    return found.drop("file", "full", "path", "by_path", "by_name", "paths")
+
+
+def listed_samples(rows, manifest):
+    """Add ``by_path``, and ``by_name`` and ``paths`` of the base name: how many listed files have it."""
     listed = manifest.select(F.col("sampleID").alias("SampleID"), F.col("Path")).distinct()
     by_path = listed.select(plain_path(F.col("Path")).alias("full"), F.col("SampleID").alias("by_path")).distinct()
-    by_name = (listed.groupBy(base_name(F.col("Path")).alias("file"))
-               .agg(F.max("SampleID").alias("by_name"), F.countDistinct("Path").alias("paths"))
-               .filter("paths = 1").drop("paths"))
-    found = (records.withColumn("full", plain_path(F.col("path"))).withColumn("file", base_name(F.col("full")))
-             .join(by_path, "full", "left").join(by_name, "file", "left"))
-    sample = F.coalesce("by_path", "by_name")
-    return found.withColumn("SampleID", sample).filter("SampleID IS NOT NULL").drop("file", "full", "path", "by_path", "by_name")
+    by_name = listed.groupBy(base_name(F.col("Path")).alias("file")).agg(
+        F.max("SampleID").alias("by_name"), F.countDistinct("Path").alias("paths"))
+    return (rows.withColumn("full", plain_path(F.col("path"))).withColumn("file", base_name(F.col("full")))
+            .join(by_path, "full", "left").join(by_name, "file", "left"))
+
+
+def unlisted_files(files, manifest):
+    """``path`` of the files that no manifest row lists by path or base name. ``files``: rows with ``path``."""
+    found = listed_samples(files.select("path").distinct(), manifest)
+    return found.filter("by_path IS NULL AND paths IS NULL").select("path")
+
+
+def gvcf_files(spark, *paths):
+    """``path`` of the files that :func:`read_gvcf_lines` reads, without reading their contents."""
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.gz").load(list(paths))
+        .select("path")
+    )
