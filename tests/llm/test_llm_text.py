@@ -156,3 +156,26 @@ def test_html_keeps_every_page(spark):
     rows = html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string, host string")).collect()
     assert sorted(r.page_id for r in rows) == sorted(p[0] for p in pages)
     assert all(r.text.startswith("Titél") for r in rows if r.page_id < 40) and all(r.text == "" for r in rows if r.page_id >= 50)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><section>" + "long " * 600 + "</section><section>short one</section></article>", "long " * 599 + "long\n\nshort one"),
+    ("<article><h1>T</h1><p>intro</p><div class=body><p>" + "body " * 90 + "</p></div></article>", "T\n\nintro\n\n" + "body " * 89 + "body"),
+    ("<body><div class=p><h1>T</h1><p>intro</p><div><div class=body>" + "body " * 90 + "</div></div></div></body>", "T\n\nintro\n\n" + "body " * 89 + "body"),
+    ("<main><div class=a>one one one</div><div class=b>two</div></main><div class=footer>f</div>", "one one one\n\ntwo"),
+])
+def test_html_keeps_sections_headings_and_nested_bodies(page, text):
+    assert html_extract.extract_text(page, []) == text
+
+
+def test_html_keeps_short_containers_of_the_voted_path():
+    page = "<body><div class=s>" + "long " * 600 + "</div><div class=s>short one</div></body>"
+    assert html_extract.extract_text(page, ["body/div.s"]).endswith("long\n\nshort one")
+
+
+def test_html_matches_a_path_beyond_the_eighth(spark):
+    rows = [(100 * k + i, "http://h.example.com/", f"<body><div class=c{'abcdefghi'[k]}>text {k} of a page</div></body>") for k in range(9) for i in range(12 - k)]
+    rows += [(900 + i, "http://h.example.com/", "<body><div class=y>one</div><div class=x>two</div></body>") for i in range(3)]
+    rows.append((5000, "http://h.example.com/", "<body><div class=z>text</div><div class=x><a href=q>more</a></div></body>"))
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and got[900] == "one\n\ntwo" and got[5000] == "text\n\nmore"

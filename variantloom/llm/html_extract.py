@@ -1,9 +1,10 @@
 """Main text of web pages by consensus of the pages of a host.
 
-Every page scores its containers by the text of their blocks; the best one votes for its path of tags and
-classes, generalised by leaving out positions and numbers. Spark sums the votes of each host and
-ranks its paths, and each page is extracted anew from the container on the best-ranked path that it has. A
-page that has none of them is extracted from its own best container.
+Every page scores its containers by the text of their blocks. It votes for the outermost main or article around the
+best one or, without such, for the innermost container that holds the best one and all blocks beside it that are not
+mostly links. A vote is for a path of tags and classes, generalised by leaving out positions and numbers. Spark sums the
+votes of each host, and each page is extracted anew from all its containers on the path that has most votes among
+those it has itself; of equal ones the first by name.
 
 Blocks inside menus, headers, footers, asides, forms, scripts, styles, notices, adverts and reader comments are
 left out, whether the tag or the class, id or role says so; a body, main or article is never left
@@ -18,9 +19,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from variantloom.llm.common import OUT_ROWS, batches, stored
@@ -49,7 +50,6 @@ LEFT_OUT_NAMES = frozenset((
     "contentinfo complementary dialog widget").split())
 # A start tag of these ends an open element of the same kind.
 ENDS_SAME = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())
-MOST_PATHS = 8
 SALTS = 16
 
 
@@ -134,6 +134,16 @@ def parse(page):
     return [b for b in blocks if not left_out(b[0])], containers
 
 
+def outermost_main(element):
+    """The outermost main or article that the element is or is in; None if there is none."""
+    found = None
+    while element is not None:
+        if element.tag in ("main", "article"):
+            found = element
+        element = element.parent
+    return found
+
+
 def left_out(element):
     while element is not None:
         if element.left_out or (element.named_out and not element.around_main):
@@ -152,37 +162,43 @@ def scored(page):
                 element.score += worth
                 worth /= 2
             element = element.parent
-    return blocks, [c for c in containers if c.score > 0]
+    holding = {e for block in blocks for e in around(block[0])}
+    return blocks, [c for c in containers if c in holding]
 
 
-def best(containers):
-    """The highest score; the first in page order of equal ones."""
-    return max(containers, key=lambda c: c.score)
-
-
-def within(element, chosen):
+def around(element):
     while element is not None:
-        if element in chosen:
-            return True
+        yield element
         element = element.parent
-    return False
 
 
-def extract_text(page, paths):
-    """Text of the container on the first of ``paths`` that the page has, else of its own best one.
+def best(containers, blocks):
+    """The outermost main or article around the container of the highest score, the first in page order of equal ones.
 
-    Of several containers on the path, those with a quarter of the best one's score or more.
+    Without such, the innermost container that holds it and all blocks that are not mostly links.
     """
+    top = max(containers, key=lambda c: c.score)
+    main = outermost_main(top)
+    if main is not None:
+        return main
+    held = Counter(e for element, _, linked in blocks if linked < 0.5 for e in around(element))
+    for outer in around(top):
+        if outer.tag in CONTAINERS and held[outer] > held[top]:
+            top = outer
+    return top
+
+
+def extract_text(page, paths):
+    """Text of all containers on the first of ``paths`` that the page has, else of its own best one's path."""
     blocks, containers = scored(page)
     if not blocks:
         return ""
     if not containers:
         return "\n\n".join(text for _, text, _ in blocks)
-    path = next((p for p in paths if any(c.path == p for c in containers)), best(containers).path)
-    there = [c for c in containers if c.path == path]
-    least = max(c.score for c in there) / 4
-    chosen = {c for c in there if c.score >= least}
-    return "\n\n".join(text for element, text, _ in blocks if within(element, chosen))
+    own = {c.path for c in containers}
+    path = next((p for p in paths if p in own), None) or best(containers, blocks).path
+    chosen = {c for c in containers if c.path == path}
+    return "\n\n".join(text for element, text, _ in blocks if not chosen.isdisjoint(around(element)))
 
 
 def page_rows(pages, id_col, url_col, html_col):
@@ -192,41 +208,45 @@ def page_rows(pages, id_col, url_col, html_col):
                         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("html"))
 
 
-def host_paths(rows, most_paths=MOST_PATHS):
-    """``host, paths``: each host's paths by votes, then by name. ``rows``: ``host, html``."""
-    schema = pa.schema([("host", pa.string()), ("path", pa.string())])
+def page_paths(rows):
+    """``k1, k2, host, path, own`` of every path of every page; ``own``: the page votes for it."""
+    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("own", pa.bool_())])
 
-    def votes(source):
+    def run(source):
         for batch in source:
             def found(batch=batch):
-                for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    _, containers = scored(page.as_py())
+                for k1, k2, host, page in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+                    blocks, containers = scored(page.as_py())
                     if containers:
-                        yield host, best(containers).path
+                        own = best(containers, blocks).path
+                        for path in sorted({c.path for c in containers}):
+                            yield k1, k2, host, path, path == own
             yield from batches(found(), schema)
 
-    counted = rows.select("host", "html").mapInArrow(votes, "host string, path string").groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("votes"))
-    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
-    ranked = counted.withColumn("place", place).filter(F.col("place") <= most_paths)
-    return ranked.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "path"))).alias("ranked")).select(
-        "host", F.col("ranked.path").alias("paths"))
+    return rows.select("k1", "k2", "host", "html").mapInArrow(run, "k1 long, k2 long, host string, path string, own boolean")
+
+
+def chosen_paths(rows):
+    """``k1, k2, path``: of a page's paths, the one with most votes of its host; of equal ones the first by name."""
+    found = stored(page_paths(rows)).withColumn("salt", F.pmod(F.col("k2"), F.lit(SALTS)).cast("int"))
+    votes = found.filter("own").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"))
+    salted = votes.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    ranked = found.join(salted, ["host", "path", "salt"])
+    return ranked.groupBy("k1", "k2").agg(F.min(F.struct(-F.col("votes"), "path"))["path"].alias("path"))
 
 
-def extract(pages, id_col="page_id", url_col="url", html_col="html", most_paths=MOST_PATHS):
+def extract(pages, id_col="page_id", url_col="url", html_col="html"):
     """``page_id, url, text`` of every row. Hosts are dealt out over salts, so a hot host is many tasks' work."""
-    rows = page_rows(pages, id_col, url_col, html_col)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    winners = stored(host_paths(rows, most_paths)).select("host", "paths", salts)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(winners, ["host", "salt"], "left").select("page_id", "url", "html", "paths")
+    rows = page_rows(pages, id_col, url_col, html_col).select(
+        F.coalesce("page_id", F.lit(-(1 << 63))).alias("k1"), F.xxhash64("page_id", "url", "html").alias("k2"), "*")
+    joined = rows.join(chosen_paths(rows), ["k1", "k2"], "left").select("page_id", "url", "html", "path")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
     def run(source):
         for batch in source:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
-                texts = [extract_text(page.as_py(), paths.as_py() or ()) for page, paths in zip(part.column(2), part.column(3))]
+                texts = [extract_text(page.as_py(), (path,)) for page, path in zip(part.column(2), part.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], schema=schema)
 
     return joined.mapInArrow(run, "page_id long, url string, text string")
