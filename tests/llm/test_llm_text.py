@@ -179,3 +179,14 @@ def test_html_matches_a_path_beyond_the_eighth(spark):
     rows.append((5000, "http://h.example.com/", "<body><div class=z>text</div><div class=x><a href=q>more</a></div></body>"))
     got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert len(got) == len(rows) and got[900] == "one\n\ntwo" and got[5000] == "text\n\nmore"
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "has-header", "no-ads", "social-history", "search-results", "notice-of-appeal", "post comments-open"])
+def test_html_keeps_a_layout_class_on_a_div(name):
+    page = f"<body><div class=menu>m</div><div class='{name}'><h1>T</h1><p>the text of the article</p></div><div class=footer>f</div></body>"
+    assert html_extract.extract_text(page, []) == "T\n\nthe text of the article"
+
+
+def test_html_leaves_out_a_long_advert_beside_an_article():
+    page = "<body><div class=ad>" + "buy " * 50 + "</div><article><p>short</p></article></body>"
+    assert html_extract.extract_text(page, []) == "short"

@@ -8,7 +8,10 @@ those it has itself; of equal ones the first by name.
 
 Blocks inside menus, headers, footers, asides, forms, scripts, styles, notices, adverts and reader comments are
 left out, whether the tag or the class, id or role says so; a body, main or article is never left
-out for its class, nor is an element around one. Character references are decoded, white space inside a block
+out for its class, nor is an element around one. A name counts for nothing after with, has, no and the like
+(``with-sidebar``), nor on an element that holds most of the page's unlinked text, unless that text lies beside a
+main or article. Comments of readers may be longer than the article: they stay left out if unlinked text
+without them is left and they hold no h1. Character references are decoded, white space inside a block
 becomes one space, and blocks are joined by two line feeds in page order.
 
 A null or empty page, or one without text, gives the empty string. A null url is host ''. Repeated rows vote and
@@ -32,6 +35,7 @@ TOKEN = re.compile(
     re.S | re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+NAME = re.compile(r"\S+")
 SPACE = re.compile(r"\s+")
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#]*@)?([^/:?#]+)"
 
@@ -48,25 +52,32 @@ LEFT_OUT_NAMES = frozenset((
     "cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login share sharing "
     "social related recommended recommendations comment comments disqus replies respond pagination pager toolbar skip search "
     "contentinfo complementary dialog widget").split())
+NEGATED_BY = frozenset("with without has have no non not".split())
+READER_NAMES = frozenset("comment comments disqus replies respond".split())
 # A start tag of these ends an open element of the same kind.
 ENDS_SAME = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())
 SALTS = 16
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "named_out", "left_out", "around_main", "score")
+    __slots__ = ("tag", "parent", "path", "named_out", "by_readers", "left_out", "around_main", "score")
 
     def __init__(self, tag, parent, attributes):
         self.tag, self.parent, self.around_main, self.score = tag, parent, False, 0.0
         classes, names = [], set()
         for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
             value = values[0] or values[1] or values[2]
-            names.update(part.lower() for part in NAME_PART.findall(value))
+            for whole in NAME.findall(value):
+                for part in map(str.lower, NAME_PART.findall(whole)):
+                    if part in NEGATED_BY:
+                        break
+                    names.add(part)
             if name.lower() == "class":
                 classes = sorted({re.sub(r"\d+", "", c) for c in value.split()} - {""})
         step = ".".join([tag, *classes])
         self.path = f"{parent.path}/{step}" if parent else step
         self.named_out = tag not in NEVER_LEFT_OUT and not LEFT_OUT_NAMES.isdisjoint(names)
+        self.by_readers = self.named_out and not READER_NAMES.isdisjoint(names)
         self.left_out = tag in LEFT_OUT_TAGS
 
 
@@ -131,9 +142,37 @@ def parse(page):
     if end < len(page):
         text.append(page[end:])
     flush()
+    keep_large(blocks)
     return [b for b in blocks if not left_out(b[0])], containers
 
 
+def keep_large(blocks):
+    """Take back the verdict by name on elements that hold most of the page's unlinked text."""
+    total, in_main, held, titled = 0.0, 0.0, {}, set()
+    for element, text, linked in blocks:
+        named, up, main, title = [], element, False, False
+        while up is not None and not up.left_out:
+            if up.named_out and not up.around_main:
+                named.append(up)
+            main |= up.tag in ("main", "article")
+            title |= up.tag == "h1"
+            up = up.parent
+        if up is not None:
+            continue
+        worth = len(text) * (1 - linked)
+        total += worth
+        in_main += worth if main else 0
+        for up in named:
+            held[up] = held.get(up, 0.0) + worth
+        if title:
+            titled.update(named)
+    for element, worth in held.items():
+        if 2 * worth <= total or (in_main and outermost_main(element) is None):
+            continue
+        if not element.by_readers or element in titled or worth == total:
+            element.named_out = False
+
+
 def outermost_main(element):
     """The outermost main or article that the element is or is in; None if there is none."""
     found = None
