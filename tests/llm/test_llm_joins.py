@@ -42,6 +42,15 @@ def test_suffix_dedup_equals_brute_force(spark, seed, crowded):
     assert all(cut[i] == (None if t is None else expected[i][3].decode("utf-8", "ignore")) for i, t in enumerate(rows))
 
 
+def test_null_ids_whose_texts_share_a_short_hash_keep_their_own_spans(spark):
+    # equal under the 32-bit hash() of (null, text)
+    repeats, alone = "a passage that two of the rows have in common 107978", "92729 is how a text of its own begins, and it has no copy"
+    docs = spark.createDataFrame([(None, repeats), (None, alone), (1, "x a passage that two of the rows have in common ")], "doc_id long, text string")
+    got = {bytes(r.kept).decode(): r.n_removed for r in suffix_dedup.without_repeats(docs, 24, 8).collect()}
+    assert got == {"107978": 46, alone: 0, "x ": 46}
+    assert {r.text for r in suffix_dedup.cut_repeats(docs, 24, 8).collect()} == {"107978", alone, "x "}
+
+
 def test_suffix_records_do_not_depend_on_the_piece(monkeypatch):
     data = np.frombuffer(("".join(t or "" for t in texts(3))).encode(), np.uint8)
     covered = lambda: sorted(s for at in suffix_dedup.records(data, 24, 8)[2] for s in range(at >> 20, (at >> 20) + (at & 1023) + 1))

@@ -119,11 +119,11 @@ def unpack_at(at):
 def text_keys(docs, id_col, text_col):
     """``k1, k2, doc_id, text``; ``k2`` tells apart rows of one id with different texts."""
     text, doc_id = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.col(f"`{id_col}`").cast("long")
-    return docs.select(F.coalesce(doc_id, F.lit(-(1 << 63))).alias("k1"), F.hash(doc_id, text).alias("k2"), doc_id.alias("doc_id"), text.alias("text"))
+    return docs.select(F.coalesce(doc_id, F.lit(-(1 << 63))).alias("k1"), F.xxhash64(doc_id, text).alias("k2"), doc_id.alias("doc_id"), text.alias("text"))
 
 
 def record_rows(rows, length, gram):
-    schema = pa.schema([("h", pa.int64()), ("sp", pa.int64()), ("k1", pa.int64()), ("k2", pa.int32()), ("at", pa.int64())])
+    schema = pa.schema([("h", pa.int64()), ("sp", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int64())])
 
     def run(source):
         for batch in source:
@@ -132,9 +132,9 @@ def record_rows(rows, length, gram):
                 if found:
                     h, sp, at = found
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h), pa.array(sp), pa.array(np.full(len(h), k1, np.int64)), pa.array(np.full(len(h), k2, np.int32)), pa.array(at)], schema=schema)
+                        [pa.array(h), pa.array(sp), pa.array(np.full(len(h), k1, np.int64)), pa.array(np.full(len(h), k2, np.int64)), pa.array(at)], schema=schema)
 
-    return rows.select("k1", "k2", "text").mapInArrow(merged_batches(run), "h long, sp long, k1 long, k2 int, at long")
+    return rows.select("k1", "k2", "text").mapInArrow(merged_batches(run), "h long, sp long, k1 long, k2 long, at long")
 
 
 def merged_batches(run, rows=1 << 16):
@@ -162,9 +162,9 @@ def shared_prefix(a, b):
     return n - (differ.bit_length() + 7) // 8
 
 
-RUN_TYPE = "shared array<int>, rest binary, before binary, k1 array<long>, k2 array<int>, at array<long>, whole array<boolean>"
+RUN_TYPE = "shared array<int>, rest binary, before binary, k1 array<long>, k2 array<long>, at array<long>, whole array<boolean>"
 RUN_FIELDS = [("shared", pa.list_(pa.int32())), ("rest", pa.binary()), ("before", pa.binary()), ("k1", pa.list_(pa.int64())),
-              ("k2", pa.list_(pa.int32())), ("at", pa.list_(pa.int64())), ("whole", pa.list_(pa.bool_()))]
+              ("k2", pa.list_(pa.int64())), ("at", pa.list_(pa.int64())), ("whole", pa.list_(pa.bool_()))]
 
 
 def together(parts):
@@ -407,7 +407,7 @@ def repeated_spans(rows, length=LENGTH, gram=GRAM, crowded=CROWDED):
     whole = ats(anchors).join(single, ["k1", "k2"], "left").select("k1", "k2", F.explode(
         F.array_except("ats", F.coalesce("single", F.array().cast("array<long>")))).alias("at"))
     start, width = F.shiftright("at", 20), F.col("at").bitwiseAND(F.lit(1023))
-    sure = whole.select("k1", F.col("k2").cast("long").alias("k2"), start.alias("start"), (start + width + length).alias("stop"))
+    sure = whole.select("k1", "k2", start.alias("start"), (start + width + length).alias("stop"))
     several = spans.groupBy("h").agg(F.count(F.lit(1)).alias("spans")).filter("spans > 1")
     open_records = stored(spans.join(several, "h").select(
         "one.k1", "one.k2", "one.at", (F.col("n") > 1).alias("whole"), (F.col("spans") > crowded).alias("crowded")))
@@ -429,7 +429,7 @@ def repeated_spans(rows, length=LENGTH, gram=GRAM, crowded=CROWDED):
     if sizes.get(True):
         parts.append(counted_windows(runs.filter("crowded"), length))
     intervals = functools.reduce(lambda a, b: a.unionByName(b), parts)
-    return intervals.groupBy("k1", F.col("k2").cast("int").alias("k2")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    return intervals.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
 def without_repeats(docs, length=LENGTH, gram=GRAM, crowded=CROWDED, id_col="doc_id", text_col="text"):
@@ -466,7 +466,7 @@ def cut_repeats(docs, length=LENGTH, gram=GRAM, crowded=CROWDED, id_col="doc_id"
     """
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     text, doc_id = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.col(f"`{id_col}`").cast("long")
-    whole = kept.select("row", F.coalesce(doc_id, F.lit(-(1 << 63))).alias("k1"), F.hash(doc_id, text).alias("k2"))
+    whole = kept.select("row", F.coalesce(doc_id, F.lit(-(1 << 63))).alias("k1"), F.xxhash64(doc_id, text).alias("k2"))
     spans = repeated_spans(text_keys(docs, id_col, text_col), length, gram, crowded)
     joined = whole.join(spans, ["k1", "k2"], "left").select("row.*", F.col("spans").alias("_spans"))
     at, schema = docs.columns.index(text_col), docs.schema
