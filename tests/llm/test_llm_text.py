@@ -11,6 +11,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from variantloom.llm import bpe, html_extract, langid, packing, simhash, toxicity
+from variantloom.llm.words import bounded_by
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = [None, "", " ", "\n\n", "don't 'sss !'s", "é ﬁ ẞ ΣΑΣ İ 漢字 😀 x\x1cy", "a" * 3000, "x<|endoftext|>y <|startoftext|>", "½ ² ٣ 12 345"]
@@ -122,6 +123,16 @@ def test_language_by_words_then_grams(spark):
     assert [r.lang_pred for r in langid.predict(documents(spark, ["the"]), None).collect()] == ["und"]
 
 
+def test_a_rare_language_is_taught_by_all_its_rows(spark):
+    rows = [(i, "en", "the house and the water") for i in range(3000)] + [(5000 + i, "de", "das haus und das wasser") for i in range(4)]
+    taught = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.train(taught, most_rows=20)
+    assert model.languages == ["de", "en"]
+    assert [r.lang_pred for r in langid.predict(documents(spark, ["das wasser", "the water"]), model).orderBy("doc_id").collect()] == ["de", "en"]
+    sizes = {r["lang"]: r["count"] for r in bounded_by(taught, 20, "lang", "doc_id").groupBy("lang").count().collect()}
+    assert sizes["de"] == 4 and 5 <= sizes["en"] <= 60
+
+
 def test_toxicity_learns_from_positives_and_unlabelled(spark):
     rnd = random.Random(2)
     plain = lambda: " ".join(rnd.choice("one two three four five six seven".split()) for _ in range(20))

@@ -4,7 +4,8 @@ A word seen in training scores by its log frequency in each language. A word tha
 longest of its character n-grams that were: those of ``order`` characters, else shorter ones, down to single
 characters; a word with none says nothing. A text's score in a language is the sum over its words.
 
-Training reads a bounded sample of the labelled rows (``most_rows``, in expectation); the model keeps the
+Training reads a bounded sample of the labelled rows of each language (``most_rows`` of each, in expectation, and all
+rows of a language that has fewer); the model keeps the
 most frequent words and n-grams up to ``most_words`` and ``most_grams``, which bounds what is broadcast.
 Rarer words fall to their n-grams, so no word of any text goes unscored for that.
 
@@ -22,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from variantloom.llm.common import batches, stored, text_rows
-from variantloom.llm.words import bounded, has_letter, words
+from variantloom.llm.words import bounded_by, has_letter, words
 
-MOST_ROWS = 10_000
+# Of each language.
+MOST_ROWS = 2_500
 MOST_WORDS, MOST_GRAMS = 100_000, 200_000
 ORDER = 4
 SMOOTHING = 0.5
@@ -134,7 +136,7 @@ class Scorer(dict):
 def train(labelled, most_rows=MOST_ROWS, most_words=MOST_WORDS, most_grams=MOST_GRAMS, order=ORDER):
     """Model from rows of ``doc_id, lang, text``; None if no row has both a language and a text."""
     usable = labelled.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = stored(word_counts(bounded(usable, most_rows, "doc_id")))
+    counts = stored(word_counts(bounded_by(usable, most_rows, "lang", "doc_id")))
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
