@@ -63,5 +63,38 @@ FROM documents d LEFT JOIN texts USING (doc_id)
 """
 
 
+def centroid_sql(rounds=3, clusters=16):
+    """Full scans: every round is one relation of distances and one of means."""
+    distance = "list_sum([power(p.v[i] - c.v[i], 2) for i in range(1, 65)])::BIGINT"
+    parts = [f"""
+vectors AS MATERIALIZED (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE))::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v
+  FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, v FROM vectors WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {clusters})
+)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, v, min(struct_pack(d := d, k := k)) AS best
+  FROM (SELECT p.vec_id, p.v, c.k, {distance} AS d FROM vectors p, c{r} c) GROUP BY vec_id, v
+)""")
+        if r < rounds:
+            parts.append(f"""
+s{r} AS (
+  SELECT best.k AS k, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY best.k, i
+), c{r + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM s{r} GROUP BY k) m ON c.k = m.k
+)""")
+    return "WITH " + ",".join(parts) + f"""
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, best.d AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON a{rounds}.best.k = c{rounds}.k
+"""
+
+
 def oracle_sql():
-    return {"op10_line_dedup": LINE_DEDUP, "op2_embed_dedup": EMBED_DEDUP, "op4_topk": TOPK}
+    return {"op13_centroids": centroid_sql(), "op10_line_dedup": LINE_DEDUP, "op2_embed_dedup": EMBED_DEDUP, "op4_topk": TOPK}
