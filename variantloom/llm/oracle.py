@@ -62,6 +62,36 @@ SELECT d.doc_id, coalesce(n_lines_removed, 0) AS n_lines_removed,
 FROM documents d LEFT JOIN texts USING (doc_id)
 """
 
+# Conversations as lists; every list prefix is a node, and a subtree is met by comparing prefixes.
+PREFIX_TRIE = """
+WITH named AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text)
+           ORDER BY turn NULLS FIRST, md5(CAST(length(role) AS VARCHAR) || ':' || role || text)) AS own FROM named GROUP BY conv_id
+), ruled AS (
+  SELECT c.conv_id, c.own, b.own AS base, CASE WHEN c.conv_id % 20 = 0 THEN 0 ELSE
+    xor(list_reduce(list_transform(string_split(CAST(c.conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+      lambda crc, byte: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte)),
+      4294967295), 4294967295) % 4 END AS h
+  FROM lists c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 20
+), rebuilt AS (
+  SELECT conv_id, list_concat(coalesce(base[1:h], []), own[h + 1:]) AS turns FROM ruled
+), members AS (
+  SELECT conv_id, d, turns[1:d] AS path, len(turns) = d AS at_end FROM rebuilt, LATERAL (SELECT unnest(range(len(turns) + 1)) AS d)
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, bool_and(at_end) AS leaf,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE at_end), '')) AS ends_sha256,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(path[d].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+  FROM members GROUP BY path, d
+)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, min(p.conv_id) AS parent_conv_id, CAST(a.n_convs AS BIGINT) AS n_convs,
+  CAST(count(*) FILTER (WHERE b.d = a.d + 1) AS BIGINT) AS n_children, CAST(count(*) FILTER (WHERE b.leaf) AS BIGINT) AS n_leaves,
+  CAST(sum(b.saved) AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM nodes a JOIN nodes b ON b.path[1:a.d] = a.path AND b.d >= a.d LEFT JOIN nodes p ON p.d = a.d - 1 AND p.path = a.path[1:a.d - 1]
+GROUP BY a.conv_id, a.d, a.n_convs, a.ends_sha256
+"""
+
 
 def centroid_sql(rounds=3, clusters=16):
     """Full scans: every round is one relation of distances and one of means."""
@@ -97,4 +127,4 @@ FROM a{rounds} JOIN c{rounds} ON a{rounds}.best.k = c{rounds}.k
 
 
 def oracle_sql():
-    return {"op13_centroids": centroid_sql(), "op10_line_dedup": LINE_DEDUP, "op2_embed_dedup": EMBED_DEDUP, "op4_topk": TOPK}
+    return {"op11_prefix_trie": PREFIX_TRIE, "op13_centroids": centroid_sql(), "op10_line_dedup": LINE_DEDUP, "op2_embed_dedup": EMBED_DEDUP, "op4_topk": TOPK}

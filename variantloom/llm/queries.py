@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from variantloom.llm import bpe, centroids, embed_dedup, html_extract, langid, line_dedup, packing, simhash, suffix_dedup, topk, toxicity
+from variantloom.llm import bpe, centroids, embed_dedup, html_extract, langid, line_dedup, packing, prefix_trie, simhash, suffix_dedup, topk, toxicity
 from variantloom.llm.common import fold
 
 
@@ -70,6 +70,10 @@ def op10_line_dedup(spark, sf_dir):
                        F.char_length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_centroids(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
