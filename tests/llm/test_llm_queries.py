@@ -17,7 +17,7 @@ def con():
 def test_one_query_for_each_operator_and_the_pipeline():
     names = set(registered())
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))

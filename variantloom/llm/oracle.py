@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from variantloom.llm import licenses
+
 TOPK = """
 WITH quantized AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
@@ -93,6 +95,47 @@ GROUP BY a.conv_id, a.d, a.n_convs, a.ends_sha256
 """
 
 
+def license_sql():
+    """Every phrase compared at every word of every document."""
+    def listed(words):
+        return "[" + ", ".join(f"'{w.decode()}'" for w in words) + "]"
+
+    def at(phrase):
+        places = f"[i for i in range(len(w)) if w[i + 1:i + {len(phrase.words)}] = {listed(phrase.words)}]"
+        return f"CASE WHEN list_has_all(w, {listed(phrase.words)}) THEN {places} ELSE [] END"
+
+    known = licenses.templates()
+    columns, shares = [], []
+    for n, t in enumerate(known):
+        first = t.keys[0]
+        others = "".join(
+            f" AND len([q for q in {at(k)} if abs(q - {k.offset} - s) <= {licenses.SLACK}]) > 0" for k in t.keys[1:])
+        columns.append(f"[s for s in [p - {first.offset} for p in {at(first)}] if true{others}] AS s{n}")
+        near = (f"list_contains(w[greatest(1, s + j - {licenses.SLACK} + 1):greatest(0, s + j + {licenses.SLACK} + 1)], {listed(t.words)}[j + 1])")
+        shares.append(f"[CAST(len([j for j in range({len(t.words)}) if {near}]) AS DOUBLE) / {len(t.words)} for s in s{n}] AS c{n}")
+    base = [n for n, t in enumerate(known) if t.is_base]
+    starts = "flatten([" + ", ".join(f"s{n}" for n in base) + "])"
+
+    def labels(of):
+        one = ", ".join(f"CASE WHEN len([c for c in c{n} if c >= {licenses.COVERAGE}]) > 0 THEN '{known[n].label}' END" for n in of)
+        return f"coalesce(array_to_string(list_sort(list_distinct([x for x in [{one}] if x IS NOT NULL])), ','), '')"
+
+    every = "flatten([" + ", ".join(f"c{n}" for n in range(len(known))) + "])"
+    # phrases are looked for where all their words are, else the list of places is empty at once
+    return f"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), placed AS (SELECT doc_id, w, {", ".join(columns)} FROM texts
+), shared AS (SELECT *, {", ".join(shares)} FROM placed)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len({starts}) AS BIGINT) AS n_base,
+  CAST(list_min({starts}) AS BIGINT) AS first_word, CAST(list_max({starts}) AS BIGINT) AS last_word,
+  {labels(base)} AS base_labels, {labels(range(len(known)))} AS labels,
+  coalesce(list_max([c for c in {every} if c >= {licenses.COVERAGE}]), CAST(0 AS DOUBLE)) AS score
+FROM shared
+"""
+
+
 def centroid_sql(rounds=3, clusters=16):
     """Full scans: every round is one relation of distances and one of means."""
     distance = "list_sum([power(p.v[i] - c.v[i], 2) for i in range(1, 65)])::BIGINT"
@@ -127,4 +170,4 @@ FROM a{rounds} JOIN c{rounds} ON a{rounds}.best.k = c{rounds}.k
 
 
 def oracle_sql():
-    return {"op11_prefix_trie": PREFIX_TRIE, "op13_centroids": centroid_sql(), "op10_line_dedup": LINE_DEDUP, "op2_embed_dedup": EMBED_DEDUP, "op4_topk": TOPK}
+    return {"op11_prefix_trie": PREFIX_TRIE, "op12_licenses": license_sql(), "op13_centroids": centroid_sql(), "op10_line_dedup": LINE_DEDUP, "op2_embed_dedup": EMBED_DEDUP, "op4_topk": TOPK}

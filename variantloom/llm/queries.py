@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from variantloom.llm import bpe, centroids, embed_dedup, html_extract, langid, line_dedup, packing, prefix_trie, simhash, suffix_dedup, topk, toxicity
+from variantloom.llm import bpe, centroids, embed_dedup, html_extract, langid, licenses, line_dedup, packing, prefix_trie, simhash, suffix_dedup, topk, toxicity
 from variantloom.llm.common import fold
 
 
@@ -74,6 +74,10 @@ def op11_prefix_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
