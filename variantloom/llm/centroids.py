@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from variantloom.llm.common import written
@@ -175,7 +176,6 @@ def cluster(vectors, clusters=16, rounds=3, **options):
     rows = written(state.select("vec_id", "cluster", "distance"))
     names = rows.sparkSession.createDataFrame([(i, digest(c)) for i, c in enumerate(centroids)], "cluster int, centroid_sha256 string")
     inertia = rows.groupBy("cluster").agg(F.try_sum("distance").alias("cluster_inertia"))
-    whole = rows.agg(F.try_sum("distance").alias("inertia"))
     # one row for each cluster
-    by_cluster = names.join(inertia, "cluster").crossJoin(F.broadcast(whole))
+    by_cluster = names.join(inertia, "cluster").withColumn("inertia", F.try_sum("cluster_inertia").over(Window.partitionBy(F.lit(0))))
     return rows.join(F.broadcast(by_cluster), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

@@ -183,7 +183,8 @@ def trie(conversations, family=20, heads=4, **columns):
 
     Conversation ``c`` starts with the first ``crc32(c) % heads`` turns of ``c - c % family`` instead of its own.
     """
-    turns, pieces = placed(turn_rows(conversations, **columns))
+    # stored before the sort, which reads its input twice: texts are read and digested once
+    turns, pieces = placed(written(turn_rows(conversations, **columns)))
     rule = written(rebuild_rule(pieces, family, heads))
     blocks, keyed = blocks_of(rebuilt(turns, pieces, rule, family, heads))
     filled = sum((F.col(c).isNotNull().cast("long") for c in COLUMNS), F.lit(0).cast("long"))
