@@ -468,7 +468,8 @@ def cut_repeats(docs, length=LENGTH, gram=GRAM, crowded=CROWDED, id_col="doc_id"
     text, doc_id = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.col(f"`{id_col}`").cast("long")
     whole = kept.select("row", F.coalesce(doc_id, F.lit(-(1 << 63))).alias("k1"), F.xxhash64(doc_id, text).alias("k2"))
     spans = repeated_spans(text_keys(docs, id_col, text_col), length, gram, crowded)
-    joined = whole.join(spans, ["k1", "k2"], "left").select("row.*", F.col("spans").alias("_spans"))
+    # columns by place: any name may be in ``docs``
+    joined = whole.join(spans, ["k1", "k2"], "left").select(*[F.col("row")[c].alias(f"c{i}") for i, c in enumerate(docs.columns)], "spans")
     at, schema = docs.columns.index(text_col), docs.schema
 
     def run(source):
@@ -487,6 +488,6 @@ def cut_repeats(docs, length=LENGTH, gram=GRAM, crowded=CROWDED, id_col="doc_id"
                 texts.append(b"".join(out).decode("utf-8", "ignore"))
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             columns[at] = pa.array(texts, columns[at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return joined.mapInArrow(run, schema)
