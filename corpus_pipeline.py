@@ -13,6 +13,9 @@ from variantloom.llm.common import fold
 # Fitted classifiers and suffix ranges: no SQL.
 ORACLE_SQL = None
 
+# The shortest passage that is cut: 50 words of four letters with a blank each. The bytes of a gram mark its windows.
+PASSAGE_BYTES, GRAM_BYTES = 250, 50
+
 
 def measured(docs, columns):
     """``n_chars`` follows the text that is left; columns as in ``documents``."""
@@ -30,7 +33,7 @@ def reject_toxic(spark, docs, sf_dir):
 
 
 def drop_repeated_lines(spark, docs, sf_dir):
-    return measured(line_dedup.dedup_lines(docs), docs.columns)
+    return measured(line_dedup.dedup_lines(docs, count_col=None), docs.columns)
 
 
 def keep_one_of_each(spark, docs, sf_dir):
@@ -38,7 +41,7 @@ def keep_one_of_each(spark, docs, sf_dir):
 
 
 def cut_repeated_passages(spark, docs, sf_dir):
-    return measured(suffix_dedup.cut_repeats(docs), docs.columns)
+    return measured(suffix_dedup.cut_repeats(docs, PASSAGE_BYTES, GRAM_BYTES), docs.columns)
 
 
 def pack(spark, docs, sf_dir):
