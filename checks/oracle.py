@@ -77,6 +77,17 @@ annotations AS (
   LEFT JOIN a_alphamissense m ON d.ID_variant_gene = m.ID_variant_gene
   LEFT JOIN a_loftee l ON d.ID_variant_gene = l.ID_variant_gene)"""
 
+SCORES = f""",
+s AS (SELECT {CHROM.format(k='p_partkey')} AS CHROM, CAST(1000 + p_partkey * 10 AS INT) AS POS,
+    substr('ACGT', CAST(p_partkey % 4 AS INT) + 1, 1) AS REF, unnest(['A', 'C', 'G', 'T']) AS ALT,
+    CAST(p_partkey % 100 AS DOUBLE) / CAST(100 AS DOUBLE) AS am_pathogenicity,
+    CASE WHEN p_partkey % 3 = 0 THEN 'likely_pathogenic' ELSE 'ambiguous' END AS am_class FROM part)"""
+
+SCORE_LOOKUP = """,
+v AS (SELECT DISTINCT ID, CHROM, POS, REF, ALT FROM calls)
+SELECT v.*, s.am_pathogenicity, s.am_class FROM v LEFT JOIN (SELECT * FROM s WHERE REF <> ALT) s
+  ON v.CHROM = s.CHROM AND v.POS = s.POS AND v.REF = s.REF AND v.ALT = s.ALT"""
+
 UNFILTERED = ANNOTATIONS + """,
 unfiltered AS (
   SELECT c.ID, c.SampleID, c.CHROM, c.POS, c.REF, c.ALT, c.GT, c.DP, c.GQ, c.REF_AD, c.ALT_AD,
@@ -284,12 +295,13 @@ def oracle_sql():
         "curated_from_unfiltered": w + SMALL + f" SELECT {CURATED_LIST} FROM curated",
         "column_histogram": w + HISTOGRAM,
         "column_top_values": w + TOP,
-        "score_lookup": w + CALLS + ", v AS (SELECT DISTINCT ID, CHROM, POS, REF, ALT FROM calls), "
-            f"s AS (SELECT {CHROM.format(k='p_partkey')} AS CHROM, CAST(1000 + p_partkey * 10 AS INT) AS POS, "
-            "substr('ACGT', CAST(p_partkey % 4 AS INT) + 1, 1) AS REF, unnest(['A', 'C', 'G', 'T']) AS ALT, "
-            "CAST(p_partkey % 100 AS DOUBLE) / CAST(100 AS DOUBLE) AS am_pathogenicity, "
-            "CASE WHEN p_partkey % 3 = 0 THEN 'likely_pathogenic' ELSE 'ambiguous' END AS am_class FROM part) "
-            "SELECT v.*, s.am_pathogenicity, s.am_class FROM v LEFT JOIN (SELECT * FROM s WHERE REF <> ALT) s "
-            "ON v.CHROM = s.CHROM AND v.POS = s.POS AND v.REF = s.REF AND v.ALT = s.ALT",
+        "score_lookup": w + CALLS + SCORES + SCORE_LOOKUP,
+        "score_lookup_stored": w + CALLS + SCORES + SCORE_LOOKUP,
+        "score_lookup_transcript": w + VEP + SCORES + """
+, v AS (SELECT ID, string_split(ID, '_')[1] AS CHROM, CAST(string_split(ID, '_')[2] AS INT) AS POS, string_split(ID, '_')[3] AS REF,
+    string_split(ID, '_')[4] AS ALT, Feature FROM vep),
+t AS (SELECT s.*, k, concat('ENST', CAST((POS - 1000) // 10 AS VARCHAR), '.', CAST(k AS VARCHAR)) AS Feature FROM s, range(1, 3) r(k) WHERE REF <> ALT)
+SELECT v.ID, v.CHROM, v.POS, v.REF, v.ALT, concat(v.Feature, '.3') AS Feature, t.am_pathogenicity / CAST(k AS DOUBLE) AS am_pathogenicity, t.am_class
+FROM v LEFT JOIN t ON v.CHROM = t.CHROM AND v.POS = t.POS AND v.REF = t.REF AND v.ALT = t.ALT AND v.Feature = t.Feature""",
         "left_align": LEFT_ALIGN,
     }

@@ -188,6 +188,19 @@ def scores(spark, sf_dir):
     )
 
 
+def transcript_scores(spark, sf_dir):
+    """As :func:`scores`, one row for each of the first two transcripts, whose names have other versions than the annotator's."""
+    return scores(spark, sf_dir).withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))).withColumns({
+        "Feature": F.expr("concat('ENST', CAST((POS - 1000) / 10 AS INT), '.', CAST(k AS STRING), '.', CAST(k + 6 AS STRING))"),
+        "am_pathogenicity": F.expr("am_pathogenicity / CAST(k AS DOUBLE)")}).drop("k")
+
+
+def versioned_transcripts(spark, sf_dir):
+    """Variants with the transcripts the annotator names, with another version at the end."""
+    return vep(spark, sf_dir).selectExpr("ID", "split(ID, '_')[0] AS CHROM", "CAST(split(ID, '_')[1] AS INT) AS POS",
+                                         "split(ID, '_')[2] AS REF", "split(ID, '_')[3] AS ALT", "concat(Feature, '.3') AS Feature")
+
+
 BLOCK = 240
 
 

@@ -14,7 +14,9 @@ from variantloom.operators import profile as R
 from variantloom.operators import sites as S
 from variantloom.operators.alleles import left_align
 from variantloom.plans import cohort
+from variantloom.session import scratch_folder
 from variantloom.sources.gvcf import parse_gvcf
+from variantloom.sources.score_tables import store_scores, stored_score_lookup
 
 
 def _unfiltered(spark, d):
@@ -45,6 +47,12 @@ def _batches(spark, d):
     return K.merge_calls(*[calls.filter(F.col("pk") % 2 == h).drop("pk", "sk", "ln") for h in (0, 1)])
 
 
+def _stored_scores(spark, scores, variants, by_transcript):
+    path = scratch_folder(spark, "scores")
+    store_scores(scores, path, by_transcript, buckets=16, part_bp=5000)
+    return stored_score_lookup(variants, path)
+
+
 FREQUENCY_COLUMNS = ["SampleID", "ID", "Feature", "CHROM", "gnomAD_max_AF", "dataset_AF", "n_samples"]
 
 
@@ -92,5 +100,7 @@ def queries():
         "column_histogram": lambda s, d: R.histogram(_unfiltered(s, d)),
         "column_top_values": lambda s, d: R.top_values(_unfiltered(s, d)),
         "score_lookup": lambda s, d: A.score_lookup(S.unique_variants(P.calls(s, d)), P.scores(s, d)),
+        "score_lookup_stored": lambda s, d: _stored_scores(s, P.scores(s, d), S.unique_variants(P.calls(s, d)), False),
+        "score_lookup_transcript": lambda s, d: _stored_scores(s, P.transcript_scores(s, d), P.versioned_transcripts(s, d), True),
         "left_align": lambda s, d: left_align(P.indels(s, d), P.reference(s, d), block_bp=P.BLOCK),
     }

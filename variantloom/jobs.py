@@ -10,6 +10,8 @@
     python -m variantloom.jobs genotypes <calls> <out>
     python -m variantloom.jobs sites <calls> <out folder>
     python -m variantloom.jobs convert <plugin> <annotator folder> <out>
+    python -m variantloom.jobs scores <alphamissense | spliceai> <score file,...> <out>
+    python -m variantloom.jobs lookup <alphamissense | spliceai> <calls> <default> <scores> <out>
     python -m variantloom.jobs integrate <calls> <default> <plugin=path,plugin=path,...> <out>
     python -m variantloom.jobs curate <unfiltered> <report> <out>
     python -m variantloom.jobs profile <table> <out>
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from variantloom.operators import curate as C
 from variantloom.operators.alleles import BLOCK_BP, align_records
-from variantloom.operators.annotations import reshape_annotation
+from variantloom.operators.annotations import plugin_table, reshape_annotation
 from variantloom.operators.calls import flatten_entries, genotype_counts, intersect_callers, merge_calls, normalize_calls
 from variantloom.operators.integrate import annotate_calls, id_coverage, integrate
 from variantloom.operators.manifest import assign_batches, split_batches
@@ -40,6 +42,8 @@ from variantloom.sources.gvcf import attach_samples, gvcf_files, parse_gvcf, rea
 from variantloom.sources.manifest import read_manifest
 from variantloom.sources.matrix import read_entries
 from variantloom.sources.reference import read_reference_blocks
+from variantloom.sources.score_tables import BUCKETS, PART_BP, store_scores
+from variantloom.sources.scores import read_alphamissense_scores, read_spliceai_scores
 
 
 def batches(spark, manifest, out, size=64, count=0, start=0, max_batches=-1):
@@ -98,6 +102,18 @@ def convert(spark, plugin, source, out, header_file=None):
     W.write_annotation_table(reshape_annotation(read_annotation_tsvs(spark, source, plugin, columns), plugin), out)
 
 
+def scores(spark, plugin, source, out, buckets=BUCKETS, part_bp=PART_BP):
+    """Published score files to a table stored for lookups; AlphaMissense by transcript."""
+    readers = {"alphamissense": read_alphamissense_scores, "spliceai": read_spliceai_scores}
+    store_scores(readers[plugin](spark, *source.split(",")), out, plugin == "alphamissense", buckets, part_bp)
+
+
+def lookup(spark, plugin, calls_path, default, scores_path, out):
+    """A plugin's annotation table from stored scores, for the variants of a calls table and their transcripts."""
+    variants = unique_variants(read_calls(spark, calls_path))
+    W.write_annotation_table(plugin_table(read_annotation_table(spark, default, "default"), variants, scores_path, plugin), out)
+
+
 def _contigs(text):
     """``canonical``, a comma list, or nothing for every contig."""
     return CANONICAL_CONTIGS if text == "canonical" else text.split(",") if text else None
@@ -162,6 +178,8 @@ def parser():
     stage("genotypes", genotypes, "source", "out")
     stage("sites", sites, "source", "out", counts=None, shard_bp=10_000_000)
     stage("convert", convert, "plugin", "source", "out", header_file=None)
+    stage("scores", scores, "plugin", "source", "out", buckets=BUCKETS, part_bp=PART_BP)
+    stage("lookup", lookup, "plugin", "calls_path", "default", "scores_path", "out")
     stage("integrate", unfiltered, "calls_path", "default", "plugins", "out", coverage=None, strict_key=False)
     stage("curate", curate, "source", "report", "out", others=None, contigs=None, denominator="chromosome", max_af=0.001,
           min_samples=5000, min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8, min_splice=0.8, min_am=0.564)

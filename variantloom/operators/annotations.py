@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from variantloom.functions.text import item
 from variantloom.functions.variant import annotation_key, any_present
-from variantloom.schemas import (ALPHAMISSENSE_COLUMNS, GNOMAD_AF_COLUMNS, LOFTEE_COLUMNS, SPLICEAI_PARTS,
-                                 VARIANT_COLUMNS)
+from variantloom.schemas import (ALPHAMISSENSE_COLUMNS, GNOMAD_AF_COLUMNS, LOFTEE_COLUMNS, SPLICEAI_PARTS, TABLE_PAYLOAD,
+                                 VARIANT_COLUMNS, annotation_table_schema)
+from variantloom.sources.score_tables import TRANSCRIPT, stored_score_lookup, unversioned
 
 
 def _default(raw):
@@ -61,6 +62,17 @@ def score_lookup(variants, scores, match_feature=False):
     """
     if not match_feature:
         return variants.join(scores, VARIANT_COLUMNS, "left")
-    unversioned = lambda df: df.withColumn("_transcript", F.regexp_replace("Feature", r"\.\d+$", ""))
-    joined = unversioned(variants).join(unversioned(scores).drop("Feature"), [*VARIANT_COLUMNS, "_transcript"], "left")
-    return joined.drop("_transcript")
+    joined = unversioned(variants).join(unversioned(scores).drop("Feature"), [*VARIANT_COLUMNS, TRANSCRIPT], "left")
+    return joined.drop(TRANSCRIPT)
+
+
+def plugin_table(default, variants, scores_path, plugin):
+    """A plugin's annotation table looked up in a stored score table instead of run by the annotator.
+
+    ``default`` has the transcripts of each variant, ``variants`` the coordinates behind each ID. A transcript without
+    a score has no row, as in a reshaped plugin table.
+    """
+    asked = default.select("ID", "Location", "Allele", "Gene", "Feature", "ID_variant_gene", "Chr").join(
+        variants.select("ID", *VARIANT_COLUMNS), "ID")
+    found = stored_score_lookup(asked, scores_path).filter(any_present(TABLE_PAYLOAD[plugin]))
+    return found.select(*annotation_table_schema(plugin).names)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +37,9 @@ def ensure_checkpoint_dir(spark):
         if not shared and not context.master.startswith("local[") and context.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="variantloom-checkpoint-"))
+
+
+def scratch_folder(spark, name):
+    """A fresh folder beside the checkpoints, where all executors can write."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -13,11 +13,11 @@ ALPHAMISSENSE_FILE = ["CHROM", "POS", "REF", "ALT", "genome", "uniprot_id", "tra
                       "am_pathogenicity", "am_class"]
 
 
-def read_alphamissense_scores(spark, path):
+def read_alphamissense_scores(spark, *paths):
     types = {"POS": T.IntegerType(), "am_pathogenicity": T.DoubleType()}
     schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in ALPHAMISSENSE_FILE])
     return (
-        spark.read.schema(schema).option("sep", "\t").option("comment", "#").csv(path)
+        spark.read.schema(schema).option("sep", "\t").option("comment", "#").csv(list(paths))
         .select(*VARIANT_COLUMNS, F.col("transcript_id").alias("Feature"), "am_class", "am_pathogenicity")
     )
 
