@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from variantloom.schemas import ANNOTATION_KEYS, PLUGINS, annotation_columns
 from variantloom.operators.annotations import reshape_annotation
 from variantloom.operators.integrate import integrate
+from variantloom.sources.gvcf import gvcf_files
 
 CHROM = "CASE WHEN {k} % 24 = 22 THEN 'chrX' WHEN {k} % 24 = 23 THEN 'chrY' ELSE concat('chr', CAST({k} % 24 + 1 AS STRING)) END"
 REF = "substr('ACGT', CAST(l_partkey % 4 AS INT) + 1, 1)"
@@ -143,6 +144,21 @@ def gvcf_lines(spark, sf_dir):
     return fields.select("SampleID", F.explode(F.array(line)).alias("value"))
 
 
+def write_annotator_files(spark, sf_dir, plugin, path):
+    """Tab files with a header each; half of the transcripts in files whose columns stand in the opposite order."""
+    rows = annotator_rows(spark, sf_dir, plugin).drop("Chr")
+    straight = F.col("Feature").endswith(".1")
+    for folder, part, columns in (("a", rows.filter(straight), rows.columns), ("b", rows.filter(~straight), rows.columns[::-1])):
+        named = part.select(*columns).withColumnRenamed(columns[0], "#" + columns[0])
+        named.write.options(sep="\t", header=True, nullValue="-", compression="gzip", extension="tsv", comment="~").csv(f"{path}/{folder}")
+
+
+def write_gvcfs(spark, sf_dir, path):
+    """A folder of gVCF files for each sample; returns the manifest that lists them."""
+    gvcf_lines(spark, sf_dir).repartition("SampleID").write.partitionBy("SampleID").option("compression", "gzip").text(path)
+    return gvcf_files(spark, path).select(F.regexp_extract("path", "SampleID=([^/]+)/", 1).alias("sampleID"), F.col("path").alias("Path"))
+
+
 def manifest(spark, sf_dir):
     """Two call files per customer, one per caller."""
     return (

@@ -15,7 +15,11 @@ from variantloom.operators import sites as S
 from variantloom.operators.alleles import left_align
 from variantloom.plans import cohort
 from variantloom.session import scratch_folder
-from variantloom.sources.gvcf import parse_gvcf
+from variantloom.sinks import tables as W
+from variantloom.sinks.text import write_call_tsvs
+from variantloom.sources.annotations import read_annotation_tsvs
+from variantloom.sources.calls import read_call_tsvs, read_unfiltered
+from variantloom.sources.gvcf import attach_samples, parse_gvcf, read_gvcf_lines
 from variantloom.sources.score_tables import store_scores, stored_score_lookup
 
 
@@ -53,6 +57,30 @@ def _stored_scores(spark, scores, variants, by_transcript):
     return stored_score_lookup(variants, path)
 
 
+def _annotations_from_files(spark, d):
+    path = scratch_folder(spark, "annotator")
+    P.write_annotator_files(spark, d, "default", path)
+    return A.reshape_annotation(read_annotation_tsvs(spark, path, "default"), "default")
+
+
+def _calls_from_files(spark, d):
+    path = scratch_folder(spark, "calls")
+    write_call_tsvs(P.raw_calls(spark, d), path)
+    return K.normalize_calls(read_call_tsvs(spark, path))
+
+
+def _calls_from_gvcfs(spark, d):
+    path = scratch_folder(spark, "gvcf")
+    manifest = P.write_gvcfs(spark, d, path)
+    return attach_samples(S.extract_calls(parse_gvcf(read_gvcf_lines(spark, path))), manifest)
+
+
+def _stored_unfiltered(spark, d):
+    path = scratch_folder(spark, "unfiltered")
+    W.write_unfiltered(_unfiltered(spark, d), path)
+    return read_unfiltered(spark, path)
+
+
 FREQUENCY_COLUMNS = ["SampleID", "ID", "Feature", "CHROM", "gnomAD_max_AF", "dataset_AF", "n_samples"]
 
 
@@ -100,6 +128,10 @@ def queries():
         "column_histogram": lambda s, d: R.histogram(_unfiltered(s, d)),
         "column_top_values": lambda s, d: R.top_values(_unfiltered(s, d)),
         "score_lookup": lambda s, d: A.score_lookup(S.unique_variants(P.calls(s, d)), P.scores(s, d)),
+        "annot_from_tab": _annotations_from_files,
+        "calls_from_tsv": _calls_from_files,
+        "calls_from_gvcf": _calls_from_gvcfs,
+        "unfiltered_roundtrip": _stored_unfiltered,
         "score_lookup_stored": lambda s, d: _stored_scores(s, P.scores(s, d), S.unique_variants(P.calls(s, d)), False),
         "score_lookup_transcript": lambda s, d: _stored_scores(s, P.transcript_scores(s, d), P.versioned_transcripts(s, d), True),
         "left_align": lambda s, d: left_align(P.indels(s, d), P.reference(s, d), block_bp=P.BLOCK),

@@ -1,0 +1,115 @@
+"""Annotator files of different layouts, extraction by batch, counted lines, line widths of a reference."""
+
+import gzip
+
+import pytest
+from helpers import records
+from variantloom import jobs
+from variantloom.schemas import annotation_columns
+from variantloom.sources.annotations import file_layouts, read_annotation_tsvs
+from variantloom.sources.calls import read_call_tsvs
+from variantloom.sources.gvcf import gvcf_files, missing_files, read_gvcf_lines, short_lines
+from variantloom.sources.reference import read_reference_blocks
+
+ROW = {"Uploaded_variation": "chr1_5_A_G", "Location": "chr1:5", "Allele": "G", "Gene": "G1", "Feature": "T1", "LoF": "HC", "LoF_filter": "-",
+       "LoF_flags": "-", "LoF_info": "i", "Extra": "e"}
+
+
+def gz(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with gzip.open(path, "wt") as file:
+        file.write(text)
+
+
+def annotator_file(path, columns, *rows):
+    body = "".join("\t".join(r[c] for c in columns) + "\n" for r in rows)
+    gz(path, "## tool\n## key\tUploaded_variation\n#" + "\t".join(columns) + "\n" + body)
+
+
+def test_mixed_layouts_are_read_by_name(spark, tmp_path):
+    columns = annotation_columns("loftee")
+    annotator_file(tmp_path / "in/a.tsv.gz", columns, ROW)
+    annotator_file(tmp_path / "in/sub dir+[x]/b.tsv.gz", ["Extra", *columns[::-1]], {**ROW, "Location": "HLA:1:7", "LoF": "LC"})
+    annotator_file(tmp_path / "in/c{1}.tsv.gz", columns)
+    got = read_annotation_tsvs(spark, f"{tmp_path}/in", "loftee")
+    assert got.columns == [*columns, "Chr"]
+    assert records(got, "Chr", "Uploaded_variation", "LoF", "LoF_filter", "LoF_info") == [
+        ("HLA:1", "chr1_5_A_G", "LC", None, "i"), ("chr1", "chr1_5_A_G", "HC", None, "i")]
+    assert file_layouts(spark, f"{tmp_path}/in").select("header").distinct().count() == 2
+    # the listing of files does not read what is in them
+    assert "content" not in gvcf_files(spark, f"{tmp_path}/in")._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+
+
+@pytest.mark.parametrize("columns", [annotation_columns("loftee")[:-1], annotation_columns("loftee") + ["LoF"]])
+def test_a_missing_or_repeated_column_fails(spark, tmp_path, columns):
+    annotator_file(tmp_path / "in/a.tsv.gz", annotation_columns("loftee"), ROW)
+    annotator_file(tmp_path / "in/b.tsv.gz", columns, ROW)
+    with pytest.raises(ValueError, match="b.tsv.gz: columns missing or named twice: LoF"):
+        read_annotation_tsvs(spark, f"{tmp_path}/in", "loftee")
+
+
+def test_a_file_without_a_header_fails(spark, tmp_path):
+    annotator_file(tmp_path / "in/a.tsv.gz", annotation_columns("loftee"), ROW)
+    gz(tmp_path / "in/b.tsv.gz", "chr1_5_A_G\tchr1:5\n")
+    with pytest.raises(ValueError, match="no header line in .*b.tsv.gz"):
+        read_annotation_tsvs(spark, f"{tmp_path}/in", "loftee")
+
+
+def test_a_location_without_a_contig_fails(spark, tmp_path):
+    annotator_file(tmp_path / "in/a.tsv.gz", annotation_columns("loftee"), {**ROW, "Location": "5"})
+    with pytest.raises(Exception, match="no contig in location 5"):
+        read_annotation_tsvs(spark, f"{tmp_path}/in", "loftee").collect()
+
+
+GVCF = "##x\n#CHROM\nchr1\t{pos}\t.\tA\tG,<NON_REF>\t.\tPASS\t.\tGT:DP:AD:GQ\t0/1:30:15,15,0:50\n"
+SHORT = "chr1\t8\t.\tA\tG\t.\tPASS\t.\n"
+
+
+def test_extract_reads_one_batch_and_counts_what_it_leaves_out(spark, tmp_path, capsys):
+    gz(tmp_path / "gvcf/4/unlisted.gvcf.gz", GVCF.format(pos=14) + SHORT * 4)
+    for i in range(4):
+        gz(tmp_path / f"gvcf/{i}/s.gvcf.gz", GVCF.format(pos=10 + i) + (SHORT * i))
+    rows = "".join(f"S{i}\t{tmp_path}/gvcf/{i}/s.gvcf.gz\n" for i in (0, 1, 2, 3)) + "S9\t/gone/other.gvcf.gz\n"
+    (tmp_path / "m.tsv").write_text("sampleID\tPath\n" + rows)
+    d = str(tmp_path)
+    jobs.main(["batches", f"{d}/m.tsv", f"{d}/batches", "--size", "2"], spark)
+    jobs.main(["extract", f"{d}/batches", f"{d}/gvcf", f"{d}/one", "--batch", "1", "--short-lines", f"{d}/short"], spark)
+    assert records(read_call_tsvs(spark, f"{d}/one"), "SampleID", "POS") == [("S2", 12), ("S3", 13)]
+    assert sorted((r.path[-12:], r.short_lines) for r in spark.read.parquet(f"{d}/short").collect()) == [("2/s.gvcf.gz"[-12:].rjust(12, "/"), 2), ("/3/s.gvcf.gz", 3)]
+    assert "lines without ten columns: 5" in capsys.readouterr().out
+    # unreadable files of other batches do not matter
+    (tmp_path / "gvcf/0/s.gvcf.gz").write_bytes(b"not gzip")
+    jobs.main(["extract", f"{d}/batches", f"{d}/gvcf", f"{d}/two", "--batch", "1"], spark)
+    assert read_call_tsvs(spark, f"{d}/two").count() == 2
+    with pytest.raises(ValueError, match="none of the files of batch 2"):
+        jobs.main(["extract", f"{d}/batches", f"{d}/gvcf", f"{d}/three", "--batch", "2"], spark)
+    gz(tmp_path / "gvcf/0/s.gvcf.gz", GVCF.format(pos=10))
+    capsys.readouterr()
+    jobs.main(["extract", f"{d}/m.tsv", f"{d}/gvcf", f"{d}/all"], spark)
+    out = capsys.readouterr().out
+    assert "lines without ten columns: 10" in out and "not there: 1" in out and "not listed in the manifest: 1" in out
+    assert read_call_tsvs(spark, f"{d}/all").count() == 4
+
+
+def test_missing_files_and_short_lines(spark, tmp_path):
+    gz(tmp_path / "g/1/a.gvcf.gz", GVCF.format(pos=1) + SHORT + "\n")
+    manifest = spark.createDataFrame([("A", f"{tmp_path}/g/1/a.gvcf.gz"), ("B", "/elsewhere/a.gvcf.gz"), ("C", "/x/c.gvcf.gz")], "sampleID string, Path string")
+    assert records(missing_files(gvcf_files(spark, f"{tmp_path}/g"), manifest), "sampleID") == [("C",)]
+    assert [r.short_lines for r in short_lines(read_gvcf_lines(spark, f"{tmp_path}/g")).collect()] == [2]
+
+
+def test_reference_lines_of_different_widths(spark, tmp_path):
+    contigs = {"chr1": ("ACGTAC" * 20, 12), "chr2": ("GGCATTAC" * 9, 6), "chrM": ("ACGTACG", 7)}
+    index, text, at = "", "", 0
+    for name, (bases, width) in contigs.items():
+        text += f">{name}\n"
+        index += f"{name}\t{len(bases)}\t{len(text)}\t{width}\t{width + 1}\n"
+        text += "".join(bases[i:i + width] + "\n" for i in range(0, len(bases), width))
+    (tmp_path / "g.fa").write_text(text)
+    (tmp_path / "g.fa.fai").write_text(index)
+    blocks = {(r.CHROM, r.block): r for r in read_reference_blocks(spark, f"{tmp_path}/g.fa", f"{tmp_path}/g.fa.fai", block_bp=24).collect()}
+    for (name, block), row in blocks.items():
+        first = max(0, (block - 1) * 24)
+        assert row.seq == contigs[name][0][first:(block + 1) * 24] and row.start == first + 1
+    with pytest.raises(Exception, match="no multiple of the lines of chr1"):
+        read_reference_blocks(spark, f"{tmp_path}/g.fa", f"{tmp_path}/g.fa.fai", block_bp=18).collect()

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+
 def common_prefix_length(a, b):
     """Length of the longest common prefix of two string columns.
 
@@ -39,3 +42,8 @@ def item(text, separator, index):
 def decoded_path(path):
     """Plain text of a percent-encoded file URI part; ``+`` is an ordinary character in a path."""
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def literal_path(path):
+    """A path as a reader takes it when its characters are not to be read as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -2,7 +2,8 @@
 
     python -m variantloom.jobs batches <manifest> <out>
     python -m variantloom.jobs reference <fasta> <fasta index> <out>
-    python -m variantloom.jobs extract <manifest> <gvcf folder,...> <out> [--blocks <reference blocks>]
+    python -m variantloom.jobs extract <manifest> <gvcf folder,...> <out> [--blocks <reference blocks>] [--short-lines <out>]
+    python -m variantloom.jobs extract <batches> <gvcf folder,...> <out> --batch <number> [...]
     python -m variantloom.jobs shared <primary tsv folder> <other tsv folder> <out>
     python -m variantloom.jobs matrix <entries> <out>
     python -m variantloom.jobs calls <tsv folder> <out>
@@ -24,6 +25,7 @@ import argparse
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from variantloom.functions.text import literal_path
 from variantloom.operators import curate as C
 from variantloom.operators.alleles import BLOCK_BP, align_records
 from variantloom.operators.annotations import plugin_table, reshape_annotation
@@ -33,12 +35,13 @@ from variantloom.operators.manifest import assign_batches, split_batches
 from variantloom.operators.profile import histogram, top_values
 from variantloom.operators.sites import extract_calls, unique_variants, variants_per_chrom, vcf_rows
 from variantloom.schemas import CANONICAL_CONTIGS
-from variantloom.session import session
+from variantloom.session import scratch_folder, session
 from variantloom.sinks import tables as W
 from variantloom.sinks.text import write_call_tsvs, write_sites
 from variantloom.sources.annotations import header_columns, read_annotation_table, read_annotation_tsvs
 from variantloom.sources.calls import read_call_tsvs, read_calls, read_curated, read_unfiltered
-from variantloom.sources.gvcf import attach_samples, gvcf_files, parse_gvcf, read_gvcf_lines, unlisted_files
+from variantloom.sources.gvcf import attach_samples, gvcf_files, listed_files, missing_files, parse_gvcf, read_gvcf_lines, unlisted_files
+from variantloom.sources.gvcf import short_lines as short_lines_by_file
 from variantloom.sources.manifest import read_manifest
 from variantloom.sources.matrix import read_entries
 from variantloom.sources.reference import read_reference_blocks
@@ -52,19 +55,41 @@ def batches(spark, manifest, out, size=64, count=0, start=0, max_batches=-1):
     W.write_plain(split_batches(rows, count, start) if count else assign_batches(rows, size, max_batches=max_batches), out)
 
 
-def reference(spark, fasta, index, out, line_bases=60):
+def reference(spark, fasta, index, out, block_bp=BLOCK_BP):
     """FASTA and its index to the reference block table."""
-    W.write_plain(read_reference_blocks(spark, fasta, index, BLOCK_BP // line_bases * line_bases, line_bases), out)
-
-
-def extract(spark, manifest, gvcfs, out, blocks=None, block_bp=BLOCK_BP, all_contigs=False):
-    """gVCF files of a batch to per-sample call TSVs; ``--blocks`` left-aligns against the reference table."""
-    listed, folders = read_manifest(spark, manifest), gvcfs.split(",")
-    records = extract_calls(parse_gvcf(read_gvcf_lines(spark, *folders)), None if all_contigs else CANONICAL_CONTIGS)
+    W.write_plain(read_reference_blocks(spark, fasta, index, block_bp), out)
+
+
+def extract(spark, manifest, gvcfs, out, blocks=None, block_bp=BLOCK_BP, all_contigs=False, batch=-1, short_lines=None):
+    """gVCF files to per-sample call TSVs; ``--blocks`` left-aligns against the reference table.
+
+    ``--batch``: ``manifest`` is the table that ``batches`` wrote, and only the files of this batch are read. Files and lines that are left
+    out are counted; ``--short-lines`` stores the counts by file if there are any.
+    """
+    folders = gvcfs.split(",")
+    files = gvcf_files(spark, *folders)
+    if batch < 0:
+        listed, paths = read_manifest(spark, manifest), folders
+        print(f"files not listed in the manifest: {unlisted_files(files, listed).count()}")
+    else:
+        whole = spark.read.parquet(manifest)
+        listed = whole.filter(F.col("batch") == batch)
+        # as many paths as a batch has files
+        paths = [literal_path(row["path"]) for row in listed_files(files, listed, whole).collect()]
+        if not paths:
+            raise ValueError(f"none of the files of batch {batch} is below {gvcfs}")
+    print(f"listed files that are not there: {missing_files(files, listed).count()}")
+    seen, lines = Observation("extract"), read_gvcf_lines(spark, *paths)
+    records = extract_calls(parse_gvcf(lines, seen), None if all_contigs else CANONICAL_CONTIGS)
     if blocks:
-        records = align_records(records, spark.read.parquet(blocks), block_bp)
+        # alignment goes over its records several times; the files are read and parsed once
+        kept = scratch_folder(spark, "records")
+        W.write_plain(records, kept)
+        records = align_records(spark.read.schema(records.schema).parquet(kept), spark.read.parquet(blocks), block_bp)
     write_call_tsvs(attach_samples(records, listed), out)
-    print(f"files not listed in the manifest: {unlisted_files(gvcf_files(spark, *folders), listed).count()}")
+    print(f"lines without ten columns: {seen.get['short_lines']}")
+    if short_lines and seen.get["short_lines"]:
+        W.write_plain(short_lines_by_file(lines), short_lines)
 
 
 def shared(spark, primary, other, out):
@@ -169,8 +194,8 @@ def parser():
         s.set_defaults(run=run)
 
     stage("batches", batches, "manifest", "out", size=64, count=0, start=0, max_batches=-1)
-    stage("reference", reference, "fasta", "index", "out", line_bases=60)
-    stage("extract", extract, "manifest", "gvcfs", "out", blocks=None, block_bp=BLOCK_BP, all_contigs=False)
+    stage("reference", reference, "fasta", "index", "out", block_bp=BLOCK_BP)
+    stage("extract", extract, "manifest", "gvcfs", "out", blocks=None, block_bp=BLOCK_BP, all_contigs=False, batch=-1, short_lines=None)
     stage("shared", shared, "primary", "other", "out")
     stage("calls", calls, "source", "out")
     stage("merge", merge, "batches", "out")

@@ -15,13 +15,25 @@ def read_gvcf_lines(spark, *paths):
     )
 
 
-def parse_gvcf(lines):
+def is_short():
+    """A line that is no header and has fewer than its ten columns."""
+    return ~F.col("value").startswith("#") & F.get(F.split("value", "\t"), F.lit(9)).isNull()
+
+
+def short_lines(lines):
+    """``path, short_lines`` of the files that have any."""
+    return lines.filter(is_short()).groupBy("path").agg(F.count(F.lit(1)).alias("short_lines"))
+
+
+def parse_gvcf(lines, observation=None):
     """Typed records of single-sample gVCF lines.
 
     Header lines and pure reference blocks go first, before any field is taken apart. Metrics stay
     text so that ``.`` can be told from a number; columns other than ``value`` are carried along. A line
-    without its ten columns is no record and is left out.
+    without its ten columns is no record and is left out; ``observation`` counts those as ``short_lines`` while the lines are read.
     """
+    if observation is not None:
+        lines = lines.observe(observation, F.count_if(is_short()).alias("short_lines"))
     fields = F.split("value", "\t")
     part = lambda i: F.get(fields, F.lit(i))
     alt, fmt, sample = part(4), part(8), part(9)
@@ -77,6 +89,30 @@ def unlisted_files(files, manifest):
     return found.filter("by_path IS NULL AND paths IS NULL").select("path")
 
 
+def listed_files(files, rows, manifest):
+    """``path`` of the files that ``rows`` of ``manifest`` list: by path, or a moved one by its base name.
+
+    A file whose path the manifest lists belongs to that row alone, whatever it is called.
+    """
+    there = files.select("path", plain_path(F.col("path")).alias("full")).distinct()
+    paths = lambda df: df.select(plain_path(F.col("Path")).alias("full")).distinct()
+    moved = missing_by_path(there, rows).select(base_name(F.col("Path")).alias("file")).distinct()
+    by_name = there.join(paths(manifest), "full", "left_anti").withColumn("file", base_name(F.col("full"))).join(moved, "file", "left_semi")
+    return there.join(paths(rows), "full", "left_semi").select("path").union(by_name.select("path"))
+
+
+def missing_by_path(there, rows):
+    return rows.withColumn("full", plain_path(F.col("Path"))).join(there.select("full"), "full", "left_anti").drop("full")
+
+
+def missing_files(files, manifest):
+    """Manifest rows with neither their path nor their base name among ``files``."""
+    there = files.select(plain_path(F.col("path")).alias("full")).distinct()
+    names = there.select(base_name(F.col("full")).alias("file")).distinct()
+    rows = missing_by_path(there, manifest).withColumn("file", base_name(F.col("Path")))
+    return rows.join(names, "file", "left_anti").drop("file")
+
+
 def gvcf_files(spark, *paths):
     """``path`` of the files that :func:`read_gvcf_lines` reads, without reading their contents."""
     return (

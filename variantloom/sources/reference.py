@@ -24,24 +24,27 @@ def read_index(spark, path):
     return index.withColumn("header", F.coalesce(before, F.lit(0)) + 1)
 
 
-def read_reference_blocks(spark, fasta, index, block_bp=960, line_bases=60):
+def read_reference_blocks(spark, fasta, index, block_bp=960, line_bases=None):
     """``CHROM, block, start, seq``: blocks of ``block_bp`` bases, each with the block before in front.
 
     Lines are numbered without bringing the file into one task, placed on their contig through the
     index, and put together per block; a block holds ``2 * block_bp / line_bases`` lines at most.
-    ``line_bases`` is the width of the file's lines.
+    The width of a contig's lines is that of its index row, unless ``line_bases`` gives one for all. A width that does not divide ``block_bp`` fails, unless the contig
+    is one line that fits a block.
     """
-    if block_bp % line_bases:
-        raise ValueError("block_bp must be a multiple of line_bases")
     lines = number_rows(spark.read.text(fasta).withColumn("line", F.monotonically_increasing_id()))
-    contigs = read_index(spark, index).select(
-        "CHROM", "header", "lines",
+    fits = (F.lit(block_bp) % F.col("line_bases") == 0) | ((F.col("lines") <= 1) & (F.col("length") <= block_bp))
+    width = F.when(fits, F.col("line_bases")).otherwise(F.raise_error(F.concat(
+        F.lit(f"{block_bp} bases a block are no multiple of the lines of "), "CHROM")).cast("int"))
+    contigs = read_index(spark, index)
+    contigs = (contigs if line_bases is None else contigs.withColumn("line_bases", F.lit(line_bases))).select(
+        "CHROM", "header", "lines", width.alias("line_bases"),
         F.explode(F.sequence(F.floor(F.col("header") / _CHUNK), F.floor((F.col("header") + F.col("lines")) / _CHUNK)))
         .alias("chunk"))
     placed = (
         lines.withColumn("chunk", F.floor(F.col("rn") / _CHUNK)).join(contigs, "chunk")
         .filter((F.col("rn") > F.col("header")) & (F.col("rn") <= F.col("header") + F.col("lines")))
-        .withColumn("first", (F.col("rn") - F.col("header") - 1) * line_bases + 1)
+        .withColumn("first", (F.col("rn") - F.col("header") - 1) * F.col("line_bases") + 1)
     )
     own = F.floor((F.col("first") - 1) / block_bp)
     # a line belongs to its block and is the run-up of the next one
