@@ -238,7 +238,7 @@ WHERE rank <= 20"""
 
 # Queries that write files and read them again return what the query beside them does.
 SAME_ROWS = {"annot_from_tab": "annot_default", "calls_from_tsv": "calls_normalized", "calls_from_gvcf": "sites_variant_filter",
-             "unfiltered_roundtrip": "unfiltered_db"}
+             "unfiltered_roundtrip": "unfiltered_db", "calls_by_batch": "calls_merged"}
 
 
 def oracle_sql():
@@ -293,6 +293,7 @@ def _sql():
         "curation_funnel": w + LARGE + FUNNEL.format(min_samples=1000),
         "cohort_funnel": w + SMALL + FUNNEL.format(min_samples=5000),
         "qc_filter": w + SMALL + " SELECT * FROM qc",
+        "frequencies_by_batch": w + SMALL + " SELECT CHROM, POS, REF, ALT, n_samples, dataset_AF FROM freq",
         "dataset_af": w + SMALL + " SELECT SampleID, ID, Feature, CHROM, POS, REF, ALT, n_samples, dataset_AF FROM with_af",
         "rare_small": w + SMALL + " SELECT SampleID, ID, Feature, CHROM, gnomAD_max_AF, dataset_AF, n_samples FROM rare",
         "rare_large": w + LARGE + " SELECT SampleID, ID, Feature, CHROM, gnomAD_max_AF, dataset_AF, n_samples FROM rare",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import proxy as P
 from variantloom.operators import annotations as A
 from variantloom.operators import calls as K
+from variantloom.operators import carriers as N
 from variantloom.operators import curate as C
 from variantloom.operators import integrate as I
 from variantloom.operators import manifest as M
@@ -15,7 +16,9 @@ from variantloom.operators import sites as S
 from variantloom.operators.alleles import left_align
 from variantloom.plans import cohort
 from variantloom.session import scratch_folder
+from variantloom.sinks import batches as B
 from variantloom.sinks import tables as W
+from variantloom.sinks.sets import read_sets, write_sets
 from variantloom.sinks.text import write_call_tsvs
 from variantloom.sources.annotations import read_annotation_tsvs
 from variantloom.sources.calls import read_call_tsvs, read_unfiltered
@@ -81,6 +84,29 @@ def _stored_unfiltered(spark, d):
     return read_unfiltered(spark, path)
 
 
+def _calls_by_batch(spark, d):
+    """Two batches, the first one written twice, then made one."""
+    path = scratch_folder(spark, "batches")
+    odd, even = _parity(spark, d, 1), _parity(spark, d, 0)
+    for rows, name in ((odd.limit(10), "odd"), (odd, "odd"), (even, "even")):
+        B.write_batch(rows, path, name)
+    B.compact(spark, path, "all", W.write_calls, K.merge_calls)
+    return B.read_batches(spark, path)
+
+
+def _frequencies_by_batch(spark, d):
+    """Carriers of three batches, which share samples and variants, stored and united."""
+    path, table = scratch_folder(spark, "cohort"), _unfiltered(spark, d)
+    for i in range(3):
+        batch = table.filter(F.pmod("POS", F.lit(30)) % 3 == i) if i else table.filter("GQ <= 40 OR POS % 30 % 3 = 0")
+        new = N.number_samples(batch, read_sets(spark, path, "numbers"))
+        write_sets(new, path, "numbers", f"b{i}")
+        numbers = read_sets(spark, path, "numbers")
+        write_sets(N.carrier_sets(batch, numbers), path, "carriers", f"b{i}")
+        write_sets(N.sample_sets(batch, numbers), path, "samples", f"b{i}")
+    return N.stored_frequencies(read_sets(spark, path, "carriers"), read_sets(spark, path, "samples"))
+
+
 FREQUENCY_COLUMNS = ["SampleID", "ID", "Feature", "CHROM", "gnomAD_max_AF", "dataset_AF", "n_samples"]
 
 
@@ -128,6 +154,8 @@ def queries():
         "column_histogram": lambda s, d: R.histogram(_unfiltered(s, d)),
         "column_top_values": lambda s, d: R.top_values(_unfiltered(s, d)),
         "score_lookup": lambda s, d: A.score_lookup(S.unique_variants(P.calls(s, d)), P.scores(s, d)),
+        "frequencies_by_batch": _frequencies_by_batch,
+        "calls_by_batch": _calls_by_batch,
         "annot_from_tab": _annotations_from_files,
         "calls_from_tsv": _calls_from_files,
         "calls_from_gvcf": _calls_from_gvcfs,

@@ -1,0 +1,72 @@
+"""Carrier sets: united frequencies equal those of the whole cohort after any split into batches."""
+
+import random
+
+import pytest
+from helpers import call, records, unfiltered
+from variantloom import jobs
+from variantloom.operators import carriers as N
+from variantloom.operators import curate as C
+from variantloom.sinks import tables as W
+from variantloom.sinks.sets import read_sets, write_sets
+from variantloom.sources.calls import read_curated
+
+KEYS = ["CHROM", "POS", "REF", "ALT"]
+
+
+def cohort(spark):
+    rng, rows = random.Random(6), []
+    for i in range(700):
+        rows.append((call(f"S{i:04}", pos=100), {}))  # carried by all
+        rows.append((call(f"S{i:04}", pos=200, dp=10 if i % 3 else 40, ref_ad=20, alt_ad=20), {}))
+        if i % 2:
+            rows.append((call(f"S{i:04}", chrom="chr2", pos=rng.randrange(40)), {"Consequence": "stop_gained", "LoF": "HC"}))
+    rows += [rows[0], rows[5], (call(None, pos=100), {}), (call("S0001", chrom="chr3", pos=1, gq=3), {})]
+    return unfiltered(spark, *rows)
+
+
+def whole(table):
+    return records(C.variant_frequencies(C.qc_filter(table), C.sample_counts(table)), *KEYS, "n_samples", "dataset_AF")
+
+
+@pytest.mark.parametrize("parts, few", [(1, 512), (3, 512), (4, 40), (2, 1)])
+def test_any_split_gives_the_cohort_frequencies(spark, tmp_path, monkeypatch, parts, few):
+    monkeypatch.setattr(N, "FEW", few)
+    table = cohort(spark).cache()
+    for i in range(parts):
+        batch = table.sample(0.8, seed=i) if i else table  # samples and calls are in several batches
+        write_sets(N.number_samples(batch, read_sets(spark, str(tmp_path), "numbers")), str(tmp_path), "numbers", str(i))
+        numbers = read_sets(spark, str(tmp_path), "numbers")
+        write_sets(N.carrier_sets(batch, numbers), str(tmp_path), "carriers", str(i))
+        write_sets(N.sample_sets(batch, numbers), str(tmp_path), "samples", str(i))
+    sets = read_sets(spark, str(tmp_path), "carriers")
+    assert records(N.stored_frequencies(sets, read_sets(spark, str(tmp_path), "samples")), *KEYS, "n_samples", "dataset_AF") == whole(table)
+    united = N.union_sets(sets, KEYS)
+    assert united.count() == united.select(*KEYS, "bucket").distinct().count() and united.filter("few IS NOT NULL AND bits IS NOT NULL").count() == 0
+    assert (united.filter("bits IS NOT NULL").count() > 0) == (few < 700)
+    assert sorted(r.number for r in read_sets(spark, str(tmp_path), "numbers").collect()) == list(range(1, 701))
+
+
+def test_numbers_beyond_one_bucket_and_unknown_samples(spark):
+    rows = unfiltered(spark, *[(call(f"S{i}"), {}) for i in range(6)])
+    numbers = spark.createDataFrame([(f"S{i}", n) for i, n in enumerate([1, 32768, 32769, 65536, 65537, 10**7])], "SampleID string, number long")
+    sets = N.carrier_sets(rows, numbers)
+    assert sets.count() == 4 and N.member_counts(sets.unionByName(sets), KEYS, "n").first()["n"] == 6
+    with pytest.raises(Exception, match="no number for sample S5"):
+        N.carrier_sets(rows, numbers.filter("number < 10000000")).collect()
+    assert N.stored_frequencies(sets.limit(0), N.sample_sets(rows, numbers).limit(0)).count() == 0
+
+
+def test_jobs_add_batches_and_curate_a_part_with_the_cohorts_frequencies(spark, tmp_path):
+    d, table = str(tmp_path), cohort(spark)
+    first, second = table.filter("SampleID < 'S0300'"), table.filter("SampleID >= 'S0300' OR SampleID IS NULL")
+    for name, part in (("one", first), ("two", second), ("whole", table)):
+        W.write_unfiltered(part, f"{d}/{name}")
+    for batch in ("one", "two", "one"):  # the first batch is added again
+        jobs.main(["carriers", f"{d}/{batch}", f"{d}/cohort", batch], spark)
+    options = ["--min-samples", "10", "--max-af", "0.02"]
+    jobs.main(["curate", f"{d}/whole", f"{d}/report", f"{d}/all", *options], spark)
+    for name in ("one", "two"):
+        jobs.main(["curate", f"{d}/{name}", f"{d}/report", f"{d}/out/{name}", "--cohort", f"{d}/cohort", *options], spark)
+    parts = records(read_curated(spark, f"{d}/out/one").unionByName(read_curated(spark, f"{d}/out/two")))
+    assert parts and parts == records(read_curated(spark, f"{d}/all"))

@@ -6,7 +6,9 @@
     python -m variantloom.jobs extract <batches> <gvcf folder,...> <out> --batch <number> [...]
     python -m variantloom.jobs shared <primary tsv folder> <other tsv folder> <out>
     python -m variantloom.jobs matrix <entries> <out>
-    python -m variantloom.jobs calls <tsv folder> <out>
+    python -m variantloom.jobs calls <tsv folder> <out> [--batch <name>]
+    python -m variantloom.jobs stream <tsv folder> <table of batches> <checkpoint>
+    python -m variantloom.jobs compact <table of batches> <name>
     python -m variantloom.jobs merge <batch,batch,...> <out>
     python -m variantloom.jobs genotypes <calls> <out>
     python -m variantloom.jobs sites <calls> <out folder>
@@ -14,7 +16,8 @@
     python -m variantloom.jobs scores <alphamissense | spliceai> <score file,...> <out>
     python -m variantloom.jobs lookup <alphamissense | spliceai> <calls> <default> <scores> <out>
     python -m variantloom.jobs integrate <calls> <default> <plugin=path,plugin=path,...> <out>
-    python -m variantloom.jobs curate <unfiltered> <report> <out>
+    python -m variantloom.jobs carriers <unfiltered> <cohort> <batch>
+    python -m variantloom.jobs curate <unfiltered> <report> <out> [--cohort <cohort>]
     python -m variantloom.jobs profile <table> <out>
 """
 
@@ -30,13 +33,16 @@ from variantloom.operators import curate as C
 from variantloom.operators.alleles import BLOCK_BP, align_records
 from variantloom.operators.annotations import plugin_table, reshape_annotation
 from variantloom.operators.calls import flatten_entries, genotype_counts, intersect_callers, merge_calls, normalize_calls
+from variantloom.operators.carriers import carrier_sets, number_samples, sample_sets, stored_frequencies
 from variantloom.operators.integrate import annotate_calls, id_coverage, integrate
 from variantloom.operators.manifest import assign_batches, split_batches
 from variantloom.operators.profile import histogram, top_values
 from variantloom.operators.sites import extract_calls, unique_variants, variants_per_chrom, vcf_rows
 from variantloom.schemas import CANONICAL_CONTIGS
 from variantloom.session import scratch_folder, session
+from variantloom.sinks import batches as B
 from variantloom.sinks import tables as W
+from variantloom.sinks.sets import read_sets, write_sets
 from variantloom.sinks.text import write_call_tsvs, write_sites
 from variantloom.sources.annotations import header_columns, read_annotation_table, read_annotation_tsvs
 from variantloom.sources.calls import read_call_tsvs, read_calls, read_curated, read_unfiltered
@@ -47,6 +53,7 @@ from variantloom.sources.matrix import read_entries
 from variantloom.sources.reference import read_reference_blocks
 from variantloom.sources.score_tables import BUCKETS, PART_BP, store_scores
 from variantloom.sources.scores import read_alphamissense_scores, read_spliceai_scores
+from variantloom.streaming.ingest import append_batches
 
 
 def batches(spark, manifest, out, size=64, count=0, start=0, max_batches=-1):
@@ -97,8 +104,20 @@ def shared(spark, primary, other, out):
     write_call_tsvs(intersect_callers(read_call_tsvs(spark, primary), read_call_tsvs(spark, other)), out)
 
 
-def calls(spark, source, out):
-    W.write_calls(normalize_calls(read_call_tsvs(spark, source)), out)
+def calls(spark, source, out, batch=None):
+    """Call TSVs to the calls table, or to one batch of a table of batches; a batch may be written again."""
+    rows = normalize_calls(read_call_tsvs(spark, source))
+    B.write_batch(rows, out, batch) if batch else W.write_calls(rows, out)
+
+
+def stream(spark, source, table, checkpoint, stream_name="stream"):
+    """Call files not seen before, as batches of a table."""
+    append_batches(spark, source, table, checkpoint, stream_name).awaitTermination()
+
+
+def compact(spark, table, batch):
+    """All batches of a table merged into one, clustered by coordinate."""
+    print("batches merged:", len(B.compact(spark, table, batch, W.write_calls, merge_calls)))
 
 
 def merge(spark, batches, out):
@@ -110,12 +129,12 @@ def matrix(spark, source, out):
 
 
 def genotypes(spark, source, out):
-    W.write_plain(genotype_counts(read_calls(spark, source)), out)
+    W.write_plain(genotype_counts(B.read_calls_table(spark, source)), out)
 
 
 def sites(spark, source, out, counts=None, shard_bp=10_000_000):
     """Sites VCFs, and the variant counts per chromosome when asked for."""
-    table = read_calls(spark, source)
+    table = B.read_calls_table(spark, source)
     write_sites(vcf_rows(table), out, shard_bp)
     if counts:
         W.write_plain(variants_per_chrom(unique_variants(table)), counts)
@@ -135,7 +154,7 @@ def scores(spark, plugin, source, out, buckets=BUCKETS, part_bp=PART_BP):
 
 def lookup(spark, plugin, calls_path, default, scores_path, out):
     """A plugin's annotation table from stored scores, for the variants of a calls table and their transcripts."""
-    variants = unique_variants(read_calls(spark, calls_path))
+    variants = unique_variants(B.read_calls_table(spark, calls_path))
     W.write_annotation_table(plugin_table(read_annotation_table(spark, default, "default"), variants, scores_path, plugin), out)
 
 
@@ -146,7 +165,7 @@ def _contigs(text):
 
 def unfiltered(spark, calls_path, default, plugins, out, coverage=None, strict_key=False):
     """Calls with annotations; the row count is taken while writing."""
-    table = read_calls(spark, calls_path)
+    table = B.read_calls_table(spark, calls_path)
     named = dict(p.split("=", 1) for p in plugins.split(","))
     annotations = integrate(read_annotation_table(spark, default, "default"),
                             [read_annotation_table(spark, path, name) for name, path in named.items()], strict_key)
@@ -157,11 +176,28 @@ def unfiltered(spark, calls_path, default, plugins, out, coverage=None, strict_k
         W.write_plain(id_coverage(table, annotations), coverage)
 
 
-def curate(spark, source, report, out, others=None, contigs=None, **thresholds):
-    """Curated table, funnel report, and the consequences inside class Other when asked for."""
+def carriers(spark, source, cohort, batch, min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8):
+    """Add a batch's carriers and samples to a cohort's stored sets; a batch may be added again."""
+    table = read_unfiltered(spark, source)
+    known = read_sets(spark, cohort, "numbers")
+    new = number_samples(table, known)
+    if not new.isEmpty():
+        write_sets(new, cohort, "numbers", batch)
+    numbers = read_sets(spark, cohort, "numbers")
+    write_sets(carrier_sets(table, numbers, min_dp=min_dp, min_gq=min_gq, min_ratio=min_ratio, max_ratio=max_ratio), cohort, "carriers", batch)
+    write_sets(sample_sets(table, numbers), cohort, "samples", batch)
+
+
+def curate(spark, source, report, out, others=None, contigs=None, cohort=None, **thresholds):
+    """Curated table, funnel report, and the consequences inside class Other when asked for.
+
+    ``--cohort``: the curated table takes frequencies from the cohort's stored sets, so ``source`` may be a part of the cohort. The report
+    and the consequences still count what is in ``source``.
+    """
     table = read_unfiltered(spark, source)
     options = dict(contigs=_contigs(contigs), **thresholds)
-    W.write_curated(C.curate(table, **options), out)
+    frequencies = cohort and stored_frequencies(read_sets(spark, cohort, "carriers"), read_sets(spark, cohort, "samples"), options["contigs"])
+    W.write_curated(C.curate(table, frequencies=frequencies or None, **options), out)
     W.write_report(C.curation_funnel(table, **options), report)
     if others:
         W.write_plain(C.other_consequences(table, **options), others)
@@ -197,7 +233,9 @@ def parser():
     stage("reference", reference, "fasta", "index", "out", block_bp=BLOCK_BP)
     stage("extract", extract, "manifest", "gvcfs", "out", blocks=None, block_bp=BLOCK_BP, all_contigs=False, batch=-1, short_lines=None)
     stage("shared", shared, "primary", "other", "out")
-    stage("calls", calls, "source", "out")
+    stage("calls", calls, "source", "out", batch=None)
+    stage("stream", stream, "source", "table", "checkpoint", stream_name="stream")
+    stage("compact", compact, "table", "batch")
     stage("merge", merge, "batches", "out")
     stage("matrix", matrix, "source", "out")
     stage("genotypes", genotypes, "source", "out")
@@ -206,7 +244,8 @@ def parser():
     stage("scores", scores, "plugin", "source", "out", buckets=BUCKETS, part_bp=PART_BP)
     stage("lookup", lookup, "plugin", "calls_path", "default", "scores_path", "out")
     stage("integrate", unfiltered, "calls_path", "default", "plugins", "out", coverage=None, strict_key=False)
-    stage("curate", curate, "source", "report", "out", others=None, contigs=None, denominator="chromosome", max_af=0.001,
+    stage("carriers", carriers, "source", "cohort", "batch", min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8)
+    stage("curate", curate, "source", "report", "out", others=None, contigs=None, cohort=None, denominator="chromosome", max_af=0.001,
           min_samples=5000, min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8, min_splice=0.8, min_am=0.564)
     stage("profile", profile, "source", "out", table=None)
     return p

@@ -50,7 +50,7 @@ def sliced_counts(df, denominator, contigs):
     return sample_counts(on_contigs(df, contigs), denominator)
 
 
-def _with_counts(per_variant, counts, contigs):
+def with_counts(per_variant, counts, contigs):
     """Attach ``n_samples`` to per-variant rows, on the listed contigs if there are any.
 
     The counts, one row per chromosome, are broadcast if adaptive execution finds them small; if not, a
@@ -66,7 +66,7 @@ def variant_frequencies(qc, counts, contigs=None):
     summed per variant, so a common variant is no hot group.
     """
     carriers = qc.groupBy(*VARIANT_COLUMNS).agg(F.count_distinct("SampleID").alias("_carriers"))
-    return _with_counts(carriers, counts, contigs).select(
+    return with_counts(carriers, counts, contigs).select(
         *VARIANT_COLUMNS, "n_samples", F.try_divide(F.col("_carriers"), F.lit(2) * F.col("n_samples")).alias("dataset_AF"))
 
 
@@ -102,17 +102,17 @@ def _pick(thresholds, names):
     return {k: v for k, v in thresholds.items() if k in names}
 
 
-def curate(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chromosome", contigs=None, **thresholds):
+def curate(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chromosome", contigs=None, frequencies=None, **thresholds):
     """Unfiltered table to the 22-column curated table.
 
     Three column-pruned passes over the input: samples per chromosome, carriers per variant, and the
-    rows. Conditions on a row's own columns run before the frequency join, which then sees only
+    rows; with ``frequencies`` of the whole cohort given (see :mod:`variantloom.operators.carriers`), the rows alone. Conditions on a row's own columns run before the frequency join, which then sees only
     damaging, externally rare rows.
     """
-    counts = sliced_counts(unfiltered, denominator, contigs)
-    unfiltered = on_contigs(unfiltered, contigs)
-    qc = qc_filter(unfiltered, **_pick(thresholds, _QC))
-    frequencies = variant_frequencies(qc, counts, contigs)
+    if frequencies is None:
+        counts = sliced_counts(unfiltered, denominator, contigs)
+        frequencies = variant_frequencies(qc_filter(on_contigs(unfiltered, contigs), **_pick(thresholds, _QC)), counts, contigs)
+    qc = qc_filter(on_contigs(unfiltered, contigs), **_pick(thresholds, _QC))
     candidates = impact_filter(classify(qc.filter(F.col("gnomAD_max_AF") <= max_af)), **_pick(thresholds, _IMPACT))
     return rare_filter(attach_frequencies(candidates, frequencies), max_af, min_samples).select(*CURATED_COLUMNS)
 
@@ -234,7 +234,7 @@ def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denomina
         F.max("_qc").alias("_qc"), F.max("_rare_outside").alias("_rare_outside"))
     per_variant = per_pair.groupBy(*VARIANT_COLUMNS, "ID").agg(
         F.count("*").alias("pairs"), F.sum("_qc").alias("pairs_qc"), F.sum("_rare_outside").alias("pairs_outside"))
-    counted = _with_counts(per_variant, counts, contigs).withColumn(
+    counted = with_counts(per_variant, counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("pairs_qc"), F.lit(2) * F.col("n_samples")))
     frequencies = counted.select(*VARIANT_COLUMNS, "n_samples", "dataset_AF")
     inside = _inside(max_af, min_samples)

@@ -36,7 +36,7 @@ def curated_cohort(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLE
         .filter(is_damaging(**C._pick(thresholds, C._IMPACT)))
         .withColumnRenamed("Chr", "CHROM")
     )
-    rare = C._with_counts(wanted.join(carriers, ["CHROM", "ID"]), counts, contigs).withColumn(
+    rare = C.with_counts(wanted.join(carriers, ["CHROM", "ID"]), counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("_carriers"), F.lit(2) * F.col("n_samples"))
     ).filter(C.is_rare(max_af, min_samples))
     payload = ["Gene", "Feature", "CANONICAL", "MANE", "dataset_AF", "gnomAD_max_AF", "MAX_AF", "MAX_AF_POPS",
@@ -70,7 +70,7 @@ def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES
         *[F.count_if(outside & damaging & is_class).alias(f"after_{t}") for t, is_class in of_class],
         F.max(outside).alias("_outside"))
     samples = counts if denominator == "chromosome" else C.sample_counts(annotated_calls(calls, annotations))
-    joined = C._with_counts(per_annotation.join(per_variant, ["CHROM", "ID"]), counts, contigs).withColumn(
+    joined = C.with_counts(per_annotation.join(per_variant, ["CHROM", "ID"]), counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("pairs_qc"), F.lit(2) * F.col("n_samples")))
     inside = C._inside(max_af, min_samples)
 
