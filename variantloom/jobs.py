@@ -5,6 +5,7 @@
     python -m variantloom.jobs extract <manifest> <gvcf folder,...> <out> [--blocks <reference blocks>] [--short-lines <out>]
     python -m variantloom.jobs extract <batches> <gvcf folder,...> <out> --batch <number> [...]
     python -m variantloom.jobs shared <primary tsv folder> <other tsv folder> <out>
+    python -m variantloom.jobs callers <manifest> <gvcf folder,...> <out> [--blocks <reference blocks>] [--callers gatk,deepvariant]
     python -m variantloom.jobs matrix <entries> <out>
     python -m variantloom.jobs calls <tsv folder> <out> [--batch <name>]
     python -m variantloom.jobs stream <tsv folder> <table of batches> <checkpoint>
@@ -32,10 +33,10 @@ from variantloom.functions.text import literal_path
 from variantloom.operators import curate as C
 from variantloom.operators.alleles import BLOCK_BP, align_records
 from variantloom.operators.annotations import plugin_table, reshape_annotation
-from variantloom.operators.calls import flatten_entries, genotype_counts, intersect_callers, merge_calls, normalize_calls
+from variantloom.operators.calls import flatten_entries, genotype_counts, intersect_callers, merge_calls, normalize_calls, shared_calls
 from variantloom.operators.carriers import carrier_sets, number_samples, sample_sets, stored_frequencies
 from variantloom.operators.integrate import annotate_calls, id_coverage, integrate
-from variantloom.operators.manifest import assign_batches, split_batches
+from variantloom.operators.manifest import assign_batches, pair_callsets, split_batches
 from variantloom.operators.profile import histogram, top_values
 from variantloom.operators.sites import extract_calls, unique_variants, variants_per_chrom, vcf_rows
 from variantloom.schemas import CANONICAL_CONTIGS
@@ -104,6 +105,31 @@ def shared(spark, primary, other, out):
     write_call_tsvs(intersect_callers(read_call_tsvs(spark, primary), read_call_tsvs(spark, other)), out)
 
 
+def callers(spark, manifest, gvcfs, out, blocks=None, block_bp=BLOCK_BP, all_contigs=False, callers="gatk,deepvariant"):
+    """Both callers' gVCF files of each sample to the calls that they share, left-aligned before they are compared.
+
+    The manifest lists a file of each caller for a sample, the caller being named in the path. Samples that lack one are counted and
+    left out. Files of both callers are one scan, read and parsed once.
+    """
+    names, listed, folders = callers.split(","), read_manifest(spark, manifest), gvcfs.split(",")
+    pairs = pair_callsets(listed, names)
+    print(f"samples without a file of each caller: {pairs.filter(' OR '.join(f'`{c}` IS NULL' for c in names)).count()}")
+    # one file of each caller and sample; the caller goes with the sample's name
+    paired = pairs.dropna().select("sampleID", F.explode(F.array(*[F.struct(F.lit(c).alias("caller"), F.col(c).alias("Path")) for c in names])).alias("one"))
+    marked = paired.select(F.concat_ws("\t", "one.caller", "sampleID").alias("sampleID"), "one.Path")
+    print(f"listed files that are not there: {missing_files(gvcf_files(spark, *folders), marked).count()}")
+    seen, kept = Observation("callers"), scratch_folder(spark, "records")
+    records = attach_samples(extract_calls(parse_gvcf(read_gvcf_lines(spark, *folders), seen), None if all_contigs else CANONICAL_CONTIGS), marked)
+    parts = F.split("SampleID", "\t", 2)
+    records = records.withColumns({"caller": parts[0], "SampleID": parts[1]})
+    W.write_plain(records, kept)
+    print(f"lines without ten columns: {seen.get['short_lines']}")
+    records = spark.read.schema(records.schema).parquet(kept)
+    if blocks:
+        records = align_records(records, spark.read.parquet(blocks), block_bp)
+    write_call_tsvs(shared_calls(records, names), out)
+
+
 def calls(spark, source, out, batch=None):
     """Call TSVs to the calls table, or to one batch of a table of batches; a batch may be written again."""
     rows = normalize_calls(read_call_tsvs(spark, source))
@@ -233,6 +259,7 @@ def parser():
     stage("reference", reference, "fasta", "index", "out", block_bp=BLOCK_BP)
     stage("extract", extract, "manifest", "gvcfs", "out", blocks=None, block_bp=BLOCK_BP, all_contigs=False, batch=-1, short_lines=None)
     stage("shared", shared, "primary", "other", "out")
+    stage("callers", callers, "manifest", "gvcfs", "out", blocks=None, block_bp=BLOCK_BP, all_contigs=False, callers="gatk,deepvariant")
     stage("calls", calls, "source", "out", batch=None)
     stage("stream", stream, "source", "table", "checkpoint", stream_name="stream")
     stage("compact", compact, "table", "batch")

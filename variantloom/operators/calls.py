@@ -68,3 +68,9 @@ def flatten_entries(matrix):
 
 def sample_count(calls):
     return calls.agg(F.count_distinct("SampleID").alias("n_samples"))
+
+
+def shared_calls(records, callers=("gatk", "deepvariant")):
+    """Of records with ``caller, SampleID``: the first caller's records that the second one has for the same sample."""
+    first, second = (records.filter(F.col("caller") == c).drop("caller") for c in callers)
+    return intersect_callers(first, second)
