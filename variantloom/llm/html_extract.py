@@ -20,6 +20,7 @@ are returned each. Broken markup is read leniently: unclosed elements end with t
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -30,9 +31,13 @@ from pyspark.sql import functions as F
 from variantloom.llm.common import OUT_ROWS, batches, stored
 
 RAW = "script|style|noscript|template|textarea|iframe|svg|xmp|noframes|noembed"
+# Outside quotes a tag ends before the next ``<``, and what opens with ``<!`` or ``<?`` ends with the page at the latest: a page of
+# unclosed tags is read once, not once for each of them.
 TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    rf"""<!--.*?(?:-->|\Z)|<({RAW})\b[^<>]*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*+)((?>[^<>"']|"[^"]*"|'[^']*')*+)>""",
     re.S | re.I)
+# Longer paths go by a digest, so that a page of deeply nested elements does not hold the square of its depth.
+MOST_PATH = 512
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 NAME = re.compile(r"\S+")
@@ -75,7 +80,8 @@ class Element:
             if name.lower() == "class":
                 classes = sorted({re.sub(r"\d+", "", c) for c in value.split()} - {""})
         step = ".".join([tag, *classes])
-        self.path = f"{parent.path}/{step}" if parent else step
+        path = f"{parent.path}/{step}" if parent else step
+        self.path = path if len(path) <= MOST_PATH else "#" + hashlib.sha256(path.encode("utf-8", "replace")).hexdigest()
         self.named_out = tag not in NEVER_LEFT_OUT and not LEFT_OUT_NAMES.isdisjoint(names)
         self.by_readers = self.named_out and not READER_NAMES.isdisjoint(names)
         self.left_out = tag in LEFT_OUT_TAGS
@@ -85,7 +91,12 @@ def parse(page):
     """Blocks ``(element, text, share of link text)`` in page order, and all containers."""
     root = Element("", None, "")
     at, text, linked, in_link = root, [], 0, False
-    blocks, containers = [], []
+    blocks, containers, open_tags = [], [], Counter()
+
+    def leave():
+        nonlocal at
+        open_tags[at.tag] -= 1
+        at = at.parent
 
     def flush():
         nonlocal text, linked
@@ -116,11 +127,10 @@ def parse(page):
         if tag in VOID:
             continue
         if closes:
-            up = at
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                at = up.parent
+            if open_tags[tag]:
+                while at.tag != tag:
+                    leave()
+                leave()
             in_link = False
             continue
         if tag in ENDS_SAME or at.tag == "p":
@@ -128,15 +138,18 @@ def parse(page):
             while up is not root and up.tag not in CONTAINERS and up.tag not in ("ul", "ol", "dl", tag):
                 up = up.parent
             if up.tag == tag and tag in ENDS_SAME:
-                at = up.parent
+                while at is not up:
+                    leave()
+                leave()
             elif at.tag == "p":
-                at = at.parent
+                leave()
         at = Element(tag, at, token[4])
+        open_tags[tag] += 1
         if tag in CONTAINERS:
             containers.append(at)
         if tag in ("main", "article"):
             up = at.parent
-            while up is not None:
+            while up is not None and not up.around_main:
                 up.around_main = True
                 up = up.parent
     if end < len(page):
