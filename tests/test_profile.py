@@ -24,3 +24,36 @@ def test_top_values_limits_before_the_shuffle(spark):
     df = spark.range(10).selectExpr("cast(id AS string) AS s")
     plan = top_values(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_top_values_by_range_equal_one_window(spark):
+    # three hot values, counts shared by many, and one count that thousands share across the limit
+    df = spark.range(6000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN concat('hot', id % 9) WHEN id % 3 = 1 THEN CAST(id % 400 AS string) WHEN id % 97 = 0 THEN NULL ELSE concat('v', id) END AS s",
+        "id % 2 = 0 AS f")
+    wide = spark.createDataFrame([(f"w{i // 2 % 900}", None) for i in range(1000)], "s string, f boolean")
+    df = df.unionByName(wide).repartition(7)
+    for k in (1500, 10_000):
+        by_range = top_values(df, k)
+        before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", k)
+        try:
+            assert records(by_range) == records(top_values(df, k))
+        finally:
+            spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)
+        assert by_range.schema == top_values(df).schema
+
+
+def test_top_values_by_range_of_nothing(spark):
+    df = spark.createDataFrame([], "s string, f boolean")
+    assert top_values(df, 2000).collect() == []
+
+
+def test_top_values_by_range_sorts_no_whole_column(spark):
+    spread = spark.range(20_000).selectExpr("CAST(id AS string) AS s")
+    deep = top_values(spread, 5000)
+    assert deep.count() == 5000
+    assert {r["value"] for r in deep.filter("rank <= 3").collect()} == {"0", "1", "10"}
+    plan = deep._jdf.queryExecution().executedPlan().toString()
+    # the only window over values is within a range
+    assert "_range" in plan.split("row_number() windowspecdefinition(")[1].split(" DESC")[0]

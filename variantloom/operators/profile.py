@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from variantloom.session import ensure_checkpoint_dir
+
 _NUMERIC = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
@@ -54,10 +56,47 @@ def histogram(df, bins=50, columns=None):
 def top_values(df, k=20, columns=None):
     """``column, value, n, rank``: the ``k`` most frequent values per column; null counts as a value.
 
-    Values are counted first. The rank limit is applied within each task before the shuffle, so a
-    column with very many values (sample, variant) sends ``k`` rows per task. Ties go by value.
+    Values are counted first. Spark limits ranks within each task before the shuffle while ``k`` is at most
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; then a column with very many values (sample, variant) sends
+    ``k`` rows per task. Beyond, no task sorts a column: see :func:`_top_by_range`. Ties go by value.
     """
     counts = _unpivot(df, columns or categorical_columns(df), "string").groupBy("column", "value").agg(
         F.count("*").alias("n"))
-    order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc_nulls_last("value"))
-    return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return _top_by_range(counts, k)
+    return counts.withColumn("rank", F.row_number().over(_order("column"))).filter(F.col("rank") <= k)
+
+
+def _order(*keys):
+    return Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc_nulls_last("value"))
+
+
+def _top_by_range(counts, k):
+    """Ranks of the first ``k`` counts per column, sorted by ranges.
+
+    How many values share a count gives a column's least count that can still rank. What is left is dealt by ranges of
+    column, count and value; a range starts after the rows of the column in the ranges before it, and those that start
+    beyond ``k`` are dropped before anything is sorted. A range is cut by sampled quantiles, whatever ``k`` and the ties.
+    """
+    ensure_checkpoint_dir(counts.sparkSession)
+    counts = counts.checkpoint()
+    # a column of N rows has fewer than sqrt(2 N) different counts
+    before = Window.partitionBy("column").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    least = (
+        counts.groupBy("column", "n").agg(F.count("*").alias("_values"))
+        .withColumn("_before", F.coalesce(F.sum("_values").over(before), F.lit(0))).filter(F.col("_before") < k)
+        .groupBy("column").agg(F.min("n").alias("_least"))
+    )
+    kept = counts.join(least, "column").filter(F.col("n") >= F.col("_least")).drop("_least")
+    # stored, so that a row's range is the same for both readers
+    dealt = kept.repartitionByRange("column", F.desc("n"), F.asc_nulls_last("value")).withColumn(
+        "_range", F.spark_partition_id()).checkpoint()
+    ranges = Window.partitionBy("column").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        dealt.groupBy("column", "_range").agg(F.count("*").alias("_rows"))
+        .withColumn("_start", F.coalesce(F.sum("_rows").over(ranges), F.lit(0))).filter(F.col("_start") < k)
+        .select("column", "_range", "_start")
+    )
+    ranked = dealt.join(starts, ["column", "_range"]).withColumn(
+        "rank", (F.col("_start") + F.row_number().over(_order("column", "_range"))).cast("int"))
+    return ranked.filter(F.col("rank") <= k).select("column", "value", "n", "rank")
