@@ -40,11 +40,16 @@ def _trim(variants):
 
 
 def _shift(state, blocks, block_bp):
-    """Move each event as far left as its block allows; ``_open`` marks those stopped by the block's edge."""
+    """Move each event as far left as its block allows.
+
+    ``_open`` marks those stopped by the block's edge, ``_there`` those whose block exists; the others stay as they are.
+    """
     keyed = state.withColumn("_block", F.floor((F.col("_e") - 1) / F.lit(block_bp)))
-    b = blocks.select(F.col("CHROM").alias("_chrom"), F.col("block").alias("_b"), F.col("start").alias("_start"),
-                      F.col("seq").alias("_seq"))
-    found = keyed.join(b, (F.col("CHROM") == F.col("_chrom")) & (F.col("_block") == F.col("_b")), "inner")
+    # blocks without events leave first: few events are broadcast and the reference is not shuffled, many bring the
+    # shuffle that the join after it uses again
+    b = blocks.join(keyed.select("CHROM", F.col("_block").alias("block")).distinct(), ["CHROM", "block"], "left_semi").select(
+        "CHROM", F.col("block").alias("_block"), F.col("start").alias("_start"), F.col("seq").alias("_seq"))
+    found = keyed.join(b, ["CHROM", "_block"], "left").withColumn("_there", F.col("_seq").isNotNull())
     at_edge = F.col("_m") == F.col("_off")
     contig_start = F.col("_start") == 1
     # a move must leave one base before the event: at the contig's first base it stops one earlier
@@ -58,12 +63,12 @@ def _shift(state, blocks, block_bp):
                       "_endless": F.repeat(F.reverse("_u"), (F.col("_off") / F.col("_size")).cast("int") + 1)})
         .withColumn("_m", common_prefix_length(F.col("_up"), F.col("_endless")))
         .withColumn("_k", step)
-        .withColumn("_open", at_edge & ~contig_start)
-        .withColumn("_u", F.concat(F.substring(F.col("_u"), F.col("_size") - turn + 1, turn),
-                                   F.substring(F.col("_u"), F.lit(1), F.col("_size") - turn)))
+        .withColumn("_open", F.coalesce(at_edge & ~contig_start, F.lit(False)))
+        .withColumn("_u", F.coalesce(F.concat(F.substring(F.col("_u"), F.col("_size") - turn + 1, turn),
+                                              F.substring(F.col("_u"), F.lit(1), F.col("_size") - turn)), F.col("_u")))
         .withColumn("_anchor", F.substring(F.col("_seq"), F.col("_off") - F.col("_k"), F.lit(1)))
-        .withColumn("_e", F.col("_e") - F.col("_k"))
-        .select(*state.columns, "_anchor", "_open")
+        .withColumn("_e", F.coalesce(F.col("_e") - F.col("_k"), F.col("_e")))
+        .select(*state.columns, "_anchor", "_open", "_there")
     )
 
 
@@ -116,15 +121,12 @@ def left_align(variants, blocks, block_bp=BLOCK_BP):
           .alias(f"new_{c}") for c in ("REF", "ALT")],
     ))
     blocks = blocks.select("CHROM", "block", "start", F.upper("seq").alias("seq"))
-    known = blocks.select("CHROM", F.col("block").alias("_block"))
     state = trimmed.filter(movable).select(*VARIANT_COLUMNS, "_ins", "_e", "_u")
     leave = _unmoved
     while True:
-        keyed = state.withColumn("_block", F.floor((F.col("_e") - 1) / F.lit(block_bp)))
-        done = done.unionByName(leave(keyed.join(known, ["CHROM", "_block"], "left_anti")))
         moved = _shift(state, blocks, block_bp).checkpoint()
-        done = done.unionByName(_moved(moved.filter(~F.col("_open"))))
-        state = moved.filter("_open").drop("_anchor", "_open")
+        done = done.unionByName(leave(moved.filter(~F.col("_there")))).unionByName(_moved(moved.filter("_there AND NOT _open")))
+        state = moved.filter("_open").select(*state.columns)
         if state.isEmpty():
             return done
         leave = _stopped_at_gap
