@@ -238,7 +238,8 @@ WHERE rank <= 20"""
 
 # Queries that write files and read them again return what the query beside them does.
 SAME_ROWS = {"annot_from_tab": "annot_default", "calls_from_tsv": "calls_normalized", "calls_from_gvcf": "sites_variant_filter",
-             "unfiltered_roundtrip": "unfiltered_db", "calls_by_batch": "calls_merged"}
+             "unfiltered_roundtrip": "unfiltered_db", "calls_by_batch": "calls_merged",
+             "entries_from_files": "entries_flatten"}
 
 
 def oracle_sql():
@@ -306,6 +307,7 @@ def _sql():
         "curated_from_unfiltered": w + SMALL + f" SELECT {CURATED_LIST} FROM curated",
         "column_histogram": w + HISTOGRAM,
         "column_top_values": w + TOP,
+        "column_top_values_deep": w + TOP.replace("rank <= 20", "rank <= 2000"),
         "score_lookup": w + CALLS + SCORES + SCORE_LOOKUP,
         "score_lookup_stored": w + CALLS + SCORES + SCORE_LOOKUP,
         "score_lookup_transcript": w + VEP + SCORES + """

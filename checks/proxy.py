@@ -191,6 +191,14 @@ def matrix(spark, sf_dir):
         .alias("entries"))
 
 
+def wide_matrix(spark, sf_dir):
+    """As :func:`matrix`, one row for each variant with the entries of all its samples."""
+    return (
+        matrix(spark, sf_dir).select("locus", "alleles", F.explode("entries").alias("entry"))
+        .groupBy("locus", "alleles").agg(F.collect_list("entry").alias("entries"))
+    )
+
+
 def scores(spark, sf_dir):
     """Genome-wide score rows: every base change at the position of every part."""
     return (

@@ -23,6 +23,7 @@ from variantloom.sinks.text import write_call_tsvs
 from variantloom.sources.annotations import read_annotation_tsvs
 from variantloom.sources.calls import read_call_tsvs, read_unfiltered
 from variantloom.sources.gvcf import attach_samples, parse_gvcf, read_gvcf_lines
+from variantloom.sources.matrix import read_entries, row_by_row
 from variantloom.sources.score_tables import store_scores, stored_score_lookup
 
 
@@ -78,6 +79,13 @@ def _calls_from_gvcfs(spark, d):
     return attach_samples(S.extract_calls(parse_gvcf(read_gvcf_lines(spark, path))), manifest)
 
 
+def _calls_from_matrix(spark, d):
+    path = scratch_folder(spark, "matrix")
+    W.write_plain(P.wide_matrix(spark, d), path)
+    row_by_row(spark)
+    return K.flatten_entries(read_entries(spark, path))
+
+
 def _stored_unfiltered(spark, d):
     path = scratch_folder(spark, "unfiltered")
     W.write_unfiltered(_unfiltered(spark, d), path)
@@ -153,12 +161,14 @@ def queries():
         "curated_from_unfiltered": lambda s, d: C.curate(_unfiltered(s, d)),
         "column_histogram": lambda s, d: R.histogram(_unfiltered(s, d)),
         "column_top_values": lambda s, d: R.top_values(_unfiltered(s, d)),
+        "column_top_values_deep": lambda s, d: R.top_values(_unfiltered(s, d), k=2000),
         "score_lookup": lambda s, d: A.score_lookup(S.unique_variants(P.calls(s, d)), P.scores(s, d)),
         "frequencies_by_batch": _frequencies_by_batch,
         "calls_by_batch": _calls_by_batch,
         "annot_from_tab": _annotations_from_files,
         "calls_from_tsv": _calls_from_files,
         "calls_from_gvcf": _calls_from_gvcfs,
+        "entries_from_files": _calls_from_matrix,
         "unfiltered_roundtrip": _stored_unfiltered,
         "score_lookup_stored": lambda s, d: _stored_scores(s, P.scores(s, d), S.unique_variants(P.calls(s, d)), False),
         "score_lookup_transcript": lambda s, d: _stored_scores(s, P.transcript_scores(s, d), P.versioned_transcripts(s, d), True),

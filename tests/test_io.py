@@ -11,6 +11,7 @@ from variantloom.sinks import tables as W
 from variantloom.sinks.text import write_call_tsvs, write_sites
 from variantloom.sources.annotations import header_columns, read_annotation_tsvs
 from variantloom.sources.calls import read_call_tsvs, read_calls, read_unfiltered
+from variantloom.sources.matrix import read_entries
 from variantloom.sources.scores import read_alphamissense_scores, read_spliceai_scores
 from variantloom.streaming.ingest import append_new_call_files
 
@@ -78,6 +79,56 @@ def test_sites_files_are_sorted_and_headed(spark, tmp_path):
     assert lines[2] == "chr1\t5\tchr1_5_A_G\tA\tG\t.\tPASS\t."
 
 
+def test_sites_shards_of_even_size(spark, tmp_path):
+    # 900 sites in one stretch of 300 kb, 100 thin ones over the rest of a chromosome
+    dense = [call(pos=1_000_000 + 333 * i) for i in range(900)]
+    thin = [call(pos=5_000_000 + 1_000_000 * i) for i in range(100)]
+    from variantloom.operators.sites import vcf_rows
+
+    rows = calls(spark, *dense, *thin, call(chrom="chr2"))
+    write_sites(vcf_rows(rows), f"{tmp_path}/even", shard_rows=100)
+    kept = {}
+    for path in glob.glob(f"{tmp_path}/even/CHROM=*/shard=*/*.gz"):
+        text = gzip.open(path, "rt").read().splitlines()
+        assert "\n".join(text[:2]) == VCF_HEADER
+        key = tuple(part.split("=")[1] for part in path.split("/")[-3:-1])
+        assert key not in kept
+        kept[key] = [int(line.split("\t")[1]) for line in text[2:]]
+    shards = [kept["chr1", str(i)] for i in range(len(kept) - 1)]
+    # at most a stretch of 10 kb (31 sites here) too long, and shard by shard in order of the chromosome
+    assert max(map(len, shards)) <= 131 and len(shards) == 10
+    assert sum(shards, []) == [1_000_000 + 333 * i for i in range(900)] + [5_000_000 + 1_000_000 * i for i in range(100)]
+    assert kept["chr2", "0"] == [100]
+
+
+def test_sites_shards_number_without_gaps(spark):
+    # a stretch of more rows than three shards, then a single site
+    from variantloom.sinks.text import shards_by_size
+
+    df = spark.createDataFrame([("chr1", p) for p in [*range(35), 20_000, 40_000]], "CHROM string, POS int")
+    got = sorted(tuple(r) for r in shards_by_size(df, 10).groupBy("shard").count().collect())
+    assert got == [(0, 35), (1, 2)]
+
+
+def test_matrix_job_reads_wide_rows_one_at_a_time(spark, tmp_path):
+    # 3 variants, 20,000 samples each, most without the allele
+    spark.range(3).selectExpr(
+        "named_struct('contig', 'chr1', 'position', CAST(id AS int)) AS locus", "array('A', 'G') AS alleles",
+        "transform(sequence(1, 20000), i -> named_struct('s', concat('S', i), 'GT', named_struct('alleles', array(0, CAST(i % 100 = id AS int)), "
+        "'phased', false), 'AD', array(10, i % 7), 'GQ', 50)) AS entries").write.parquet(f"{tmp_path}/matrix")
+    setting = "spark.sql.parquet.enableNestedColumnVectorizedReader"
+    before = spark.conf.get(setting)
+    try:
+        jobs.main(["matrix", f"{tmp_path}/matrix", f"{tmp_path}/calls"], spark)
+        plan = read_entries(spark, f"{tmp_path}/matrix")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(setting, before)
+    assert "Batched: false" in plan
+    got = read_calls(spark, f"{tmp_path}/calls")
+    assert records(got.groupBy("POS").agg(F.count("*").alias("n"), F.sum("DP").alias("dp"))) == [
+        (p, 200, 2000 + sum(i % 7 for i in range(1, 20001) if i % 100 == p)) for p in range(3)]
+
+
 def test_annotator_files(spark, tmp_path):
     columns = annotation_columns("loftee")
     body = "chr1_5_A_G\tchr1:5\t-\t-\tT1\tHC\t-\t-\tx\n"

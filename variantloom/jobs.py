@@ -50,7 +50,7 @@ from variantloom.sources.calls import read_call_tsvs, read_calls, read_curated,
 from variantloom.sources.gvcf import attach_samples, gvcf_files, listed_files, missing_files, parse_gvcf, read_gvcf_lines, unlisted_files
 from variantloom.sources.gvcf import short_lines as short_lines_by_file
 from variantloom.sources.manifest import read_manifest
-from variantloom.sources.matrix import read_entries
+from variantloom.sources.matrix import read_entries, row_by_row
 from variantloom.sources.reference import read_reference_blocks
 from variantloom.sources.score_tables import BUCKETS, PART_BP, store_scores
 from variantloom.sources.scores import read_alphamissense_scores, read_spliceai_scores
@@ -151,6 +151,8 @@ def merge(spark, batches, out):
 
 
 def matrix(spark, source, out):
+    """Matrix export to the calls table, one matrix row in memory at a time."""
+    row_by_row(spark)
     W.write_calls(flatten_entries(read_entries(spark, source)), out)
 
 
@@ -158,10 +160,10 @@ def genotypes(spark, source, out):
     W.write_plain(genotype_counts(B.read_calls_table(spark, source)), out)
 
 
-def sites(spark, source, out, counts=None, shard_bp=10_000_000):
-    """Sites VCFs, and the variant counts per chromosome when asked for."""
+def sites(spark, source, out, counts=None, shard_bp=10_000_000, shard_rows=0):
+    """Sites VCFs, and the variant counts per chromosome when asked for; ``--shard-rows`` cuts shards of even size."""
     table = B.read_calls_table(spark, source)
-    write_sites(vcf_rows(table), out, shard_bp)
+    write_sites(vcf_rows(table), out, shard_bp, shard_rows=shard_rows or None)
     if counts:
         W.write_plain(variants_per_chrom(unique_variants(table)), counts)
 
@@ -266,7 +268,7 @@ def parser():
     stage("merge", merge, "batches", "out")
     stage("matrix", matrix, "source", "out")
     stage("genotypes", genotypes, "source", "out")
-    stage("sites", sites, "source", "out", counts=None, shard_bp=10_000_000)
+    stage("sites", sites, "source", "out", counts=None, shard_bp=10_000_000, shard_rows=0)
     stage("convert", convert, "plugin", "source", "out", header_file=None)
     stage("scores", scores, "plugin", "source", "out", buckets=BUCKETS, part_bp=PART_BP)
     stage("lookup", lookup, "plugin", "calls_path", "default", "scores_path", "out")

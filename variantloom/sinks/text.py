@@ -2,14 +2,40 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from variantloom.schemas import CALL_TSV_COLUMNS, VCF_HEADER
 
 
-def sites_lines(sites, shard_bp=10_000_000):
+BIN_BP = 10_000
+
+
+def shards_by_size(sites, shard_rows, bin_bp=BIN_BP):
+    """Sites with ``shard``: consecutive numbers along a chromosome, about ``shard_rows`` rows each.
+
+    A shard ends with the stretch of ``bin_bp`` bases in which its rows are reached, so it is too long by less than
+    one stretch, and a stretch with more rows is a shard of its own or shares one. Rows are counted exactly: the
+    counts, one for each stretch that has rows, are bounded by the genome's length and not by the cohort.
+    """
+    stretch = F.floor(F.col("POS") / bin_bp)
+    located = sites.withColumn("_stretch", stretch)
+    so_far = Window.partitionBy("CHROM").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.partitionBy("CHROM").orderBy("_cut")
+    cuts = (
+        located.groupBy("CHROM", "_stretch").agg(F.count("*").alias("_rows"))
+        .withColumn("_cut", F.floor(F.coalesce(F.sum("_rows").over(so_far), F.lit(0)) / shard_rows))
+        .select("CHROM", "_stretch", (F.dense_rank().over(in_order) - 1).alias("shard"))
+    )
+    return located.join(cuts, ["CHROM", "_stretch"]).drop("_stretch")
+
+
+def sites_lines(sites, shard_bp=10_000_000, shard_rows=None):
     """Sites rows plus one header per shard as ``CHROM, shard, rank, POS, REF, ALT, value``."""
-    shard = F.lit(0) if shard_bp is None else F.floor(F.col("POS") / shard_bp).cast("int")
+    if shard_rows is not None:
+        sites, shard = shards_by_size(sites, shard_rows), F.col("shard")
+    else:
+        shard = F.lit(0) if shard_bp is None else F.floor(F.col("POS") / shard_bp).cast("int")
     body = sites.select(
         "CHROM", shard.alias("shard"), F.lit(1).alias("rank"), "POS", "REF", "ALT",
         F.concat_ws("\t", "CHROM", F.col("POS").cast("string"), "ID", "REF", "ALT", "QUAL", "FILTER", "INFO")
@@ -22,14 +48,15 @@ def sites_lines(sites, shard_bp=10_000_000):
     return body.unionByName(header)
 
 
-def write_sites(sites, path, shard_bp=10_000_000, compression="gzip", mode="overwrite"):
+def write_sites(sites, path, shard_bp=10_000_000, compression="gzip", mode="overwrite", shard_rows=None):
     """Sites VCFs, coordinate-sorted, each file complete with its header.
 
     A file covers ``shard_bp`` bases of one chromosome, so no task holds a whole chromosome and the
-    annotator can run per shard. ``shard_bp=None`` gives one file per chromosome.
+    annotator can run per shard. ``shard_bp=None`` gives one file per chromosome. With ``shard_rows`` shards are cut
+    by their number of sites instead, so the annotator's jobs are even where sites are dense in places.
     """
     (
-        sites_lines(sites, shard_bp)
+        sites_lines(sites, shard_bp, shard_rows)
         .repartition("CHROM", "shard")
         .sortWithinPartitions("CHROM", "shard", "rank", "POS", "REF", "ALT")
         .select("CHROM", "shard", "value")
