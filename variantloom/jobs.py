@@ -224,11 +224,15 @@ def curate(spark, source, report, out, others=None, contigs=None, cohort=None, *
     """
     table = read_unfiltered(spark, source)
     options = dict(contigs=_contigs(contigs), **thresholds)
-    frequencies = cohort and stored_frequencies(read_sets(spark, cohort, "carriers"), read_sets(spark, cohort, "samples"), options["contigs"])
-    W.write_curated(C.curate(table, frequencies=frequencies or None, **options), out)
-    W.write_report(C.curation_funnel(table, **options), report)
+    # computed once for all three results
+    shared, own = scratch_folder(spark, "frequencies"), C.cohort_frequencies(table, **{k: v for k, v in options.items() if k not in ("max_af", "min_samples")})
+    W.write_plain(own, shared)
+    own = spark.read.schema(own.schema).parquet(shared)
+    whole = stored_frequencies(read_sets(spark, cohort, "carriers"), read_sets(spark, cohort, "samples"), options["contigs"]) if cohort else own
+    W.write_curated(C.curate(table, frequencies=whole, **options), out)
+    W.write_report(C.curation_funnel(table, frequencies=own, **options), report)
     if others:
-        W.write_plain(C.other_consequences(table, **options), others)
+        W.write_plain(C.other_consequences(table, frequencies=own, **options), others)
 
 
 def profile(spark, source, out, table=None):

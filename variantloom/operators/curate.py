@@ -110,8 +110,7 @@ def curate(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chro
     damaging, externally rare rows.
     """
     if frequencies is None:
-        counts = sliced_counts(unfiltered, denominator, contigs)
-        frequencies = variant_frequencies(qc_filter(on_contigs(unfiltered, contigs), **_pick(thresholds, _QC)), counts, contigs)
+        frequencies = cohort_frequencies(unfiltered, denominator, contigs, **thresholds)
     qc = qc_filter(on_contigs(unfiltered, contigs), **_pick(thresholds, _QC))
     candidates = impact_filter(classify(qc.filter(F.col("gnomAD_max_AF") <= max_af)), **_pick(thresholds, _IMPACT))
     return rare_filter(attach_frequencies(candidates, frequencies), max_af, min_samples).select(*CURATED_COLUMNS)
@@ -172,11 +171,16 @@ def _rows_per_class(unfiltered, frequencies, column, max_af, min_samples, keep=N
     )
 
 
-def _class_counts(unfiltered, column, max_af, min_samples, denominator, contigs, keep=None, **thresholds):
+def cohort_frequencies(unfiltered, denominator="chromosome", contigs=None, **thresholds):
+    """Frequencies of the variants that pass quality control. Stored, they serve every result of the same table."""
     counts = sliced_counts(unfiltered, denominator, contigs)
-    unfiltered = on_contigs(unfiltered, contigs)
-    frequencies = variant_frequencies(qc_filter(unfiltered, **_pick(thresholds, _QC)), counts, contigs)
-    return _rows_per_class(unfiltered, frequencies, column, max_af, min_samples, keep, **thresholds)
+    return variant_frequencies(qc_filter(on_contigs(unfiltered, contigs), **_pick(thresholds, _QC)), counts, contigs)
+
+
+def _class_counts(unfiltered, column, max_af, min_samples, denominator, contigs, keep=None, frequencies=None, **thresholds):
+    if frequencies is None:
+        frequencies = cohort_frequencies(unfiltered, denominator, contigs, **thresholds)
+    return _rows_per_class(on_contigs(unfiltered, contigs), frequencies, column, max_af, min_samples, keep, **thresholds)
 
 
 def variant_type_counts(unfiltered, damaging_only=False, max_af=MAX_AF, min_samples=MIN_SAMPLES,
@@ -219,11 +223,12 @@ def funnel_rows(samples, totals, types=None):
 
 
 def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denominator="chromosome", contigs=None,
-                    **thresholds):
+                    frequencies=None, **thresholds):
     """``CHROM, step, stage, metric, value`` for every stage of the curation.
 
     Pair counts for all three stages come from one aggregation per sample and variant, folded to one
-    row per variant; rarity is decided there.
+    row per variant; rarity is decided there. Class counts take ``frequencies`` of the same table where they are
+    given, so that the aggregation is in the plan once.
     """
     qc_args = _pick(thresholds, _QC)
     counts = sliced_counts(unfiltered, denominator, contigs)
@@ -236,7 +241,8 @@ def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denomina
         F.count("*").alias("pairs"), F.sum("_qc").alias("pairs_qc"), F.sum("_rare_outside").alias("pairs_outside"))
     counted = with_counts(per_variant, counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("pairs_qc"), F.lit(2) * F.col("n_samples")))
-    frequencies = counted.select(*VARIANT_COLUMNS, "n_samples", "dataset_AF")
+    if frequencies is None:
+        frequencies = counted.select(*VARIANT_COLUMNS, "n_samples", "dataset_AF")
     inside = _inside(max_af, min_samples)
     totals = counted.groupBy("CHROM").agg(
         F.count("*").alias("variants"), F.sum("pairs").alias("pairs"), F.sum("pairs_qc").alias("pairs_after_qc"),

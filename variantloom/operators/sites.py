@@ -43,8 +43,14 @@ def site_filter(records, contigs=CANONICAL_CONTIGS):
 
 
 def extract_calls(records, contigs=CANONICAL_CONTIGS):
-    """Parsed gVCF records to call TSV rows: split, filter, numbers."""
-    kept = site_filter(split_alleles(records), contigs)
+    """Parsed gVCF records to call TSV rows: split, filter, numbers.
+
+    What a record already decides for all its alleles goes before the split: recoding leaves 0 and missing alleles as
+    they are, so a genotype without a call has none for any allele.
+    """
+    complete = records.filter(
+        ~F.col("GT").isin(UNCALLED_GENOTYPES) & F.col("AD").isNotNull() & (F.col("AD") != "."))
+    kept = site_filter(split_alleles(complete), contigs)
     return kept.withColumns({"DP": F.col("DP").try_cast("int"), "GQ": F.col("GQ").try_cast("int")})
 
 
