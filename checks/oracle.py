@@ -239,7 +239,8 @@ WHERE rank <= 20"""
 # Queries that write files and read them again return what the query beside them does.
 SAME_ROWS = {"annot_from_tab": "annot_default", "calls_from_tsv": "calls_normalized", "calls_from_gvcf": "sites_variant_filter",
              "unfiltered_roundtrip": "unfiltered_db", "calls_by_batch": "calls_merged",
-             "entries_from_files": "entries_flatten"}
+             "entries_from_files": "entries_flatten", "sites_from_files": "vcf_sites", "annotation_roundtrip": "annot_default",
+             "calls_tables": "calls_merged", "curated_roundtrip": "curated_from_unfiltered"}
 
 
 def oracle_sql():
@@ -305,6 +306,11 @@ def _sql():
         "curated_db": w + SMALL + f" SELECT {CURATED_LIST} FROM curated",
         "curated_large": w + LARGE + f" SELECT {CURATED_LIST} FROM curated",
         "curated_from_unfiltered": w + SMALL + f" SELECT {CURATED_LIST} FROM curated",
+        "curated_contigs": w + SMALL + f" SELECT {CURATED_LIST} FROM curated WHERE CHROM IN ('chr2', 'chrX')",
+        "manifest_from_file": w + MANIFEST + " SELECT sampleID, Path FROM manifest",
+        "sample_total": w + CALLS + " SELECT count(DISTINCT SampleID) AS n_samples FROM calls",
+        "report_lines": "SELECT concat_ws(chr(9), CHROM, stage, metric, CAST(value AS VARCHAR)) AS value FROM ("
+            + w + LARGE + FUNNEL.format(min_samples=1000) + ")",
         "column_histogram": w + HISTOGRAM,
         "column_top_values": w + TOP,
         "column_top_values_deep": w + TOP.replace("rank <= 20", "rank <= 2000"),

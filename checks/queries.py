@@ -19,10 +19,11 @@ from variantloom.session import scratch_folder
 from variantloom.sinks import batches as B
 from variantloom.sinks import tables as W
 from variantloom.sinks.sets import read_sets, write_sets
-from variantloom.sinks.text import write_call_tsvs
-from variantloom.sources.annotations import read_annotation_tsvs
-from variantloom.sources.calls import read_call_tsvs, read_unfiltered
+from variantloom.sinks.text import write_call_tsvs, write_sites
+from variantloom.sources.annotations import read_annotation_table, read_annotation_tsvs
+from variantloom.sources.calls import read_call_tsvs, read_calls, read_curated, read_unfiltered
 from variantloom.sources.gvcf import attach_samples, parse_gvcf, read_gvcf_lines
+from variantloom.sources.manifest import read_manifest
 from variantloom.sources.matrix import read_entries, row_by_row
 from variantloom.sources.score_tables import store_scores, stored_score_lookup
 
@@ -86,6 +87,49 @@ def _calls_from_matrix(spark, d):
     return K.flatten_entries(read_entries(spark, path))
 
 
+def _sites_from_files(spark, d):
+    path = scratch_folder(spark, "sites")
+    write_sites(S.vcf_rows(P.calls(spark, d)), path, shard_rows=500)
+    names = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO"]
+    fields = F.split("value", "\t")
+    lines = spark.read.option("recursiveFileLookup", True).text(path).filter(~F.startswith("value", F.lit("#")))
+    return lines.select(*[fields[i].alias(name) for i, name in enumerate(names)]).withColumn("POS", F.col("POS").cast("int"))
+
+
+def _manifest_from_file(spark, d):
+    path = scratch_folder(spark, "manifest")
+    P.manifest(spark, d).select("sampleID", "Path").write.options(sep="\t", header=True, compression="gzip").csv(path)
+    return read_manifest(spark, path).select("sampleID", "Path")
+
+
+def _annotation_table(spark, d):
+    path = scratch_folder(spark, "annotation")
+    W.write_annotation_table(A.reshape_annotation(P.annotator_rows(spark, d, "default"), "default"), path)
+    return read_annotation_table(spark, path, "default")
+
+
+def _calls_tables(spark, d):
+    """Two batches appended as they come, then one table clustered by coordinate."""
+    loose, table = scratch_folder(spark, "loose"), scratch_folder(spark, "calls")
+    for rest in (0, 1):
+        W.append_calls(_parity(spark, d, rest), loose)
+    W.write_calls(K.merge_calls(read_calls(spark, loose)), table)
+    return read_calls(spark, table)
+
+
+def _stored_curated(spark, d):
+    path = scratch_folder(spark, "curated")
+    W.write_curated(C.curate(_unfiltered(spark, d)), path)
+    return read_curated(spark, path)
+
+
+def _report_lines(spark, d):
+    path = scratch_folder(spark, "report")
+    table = _unfiltered(spark, d)
+    W.write_report(C.curation_funnel(table, min_samples=1000, frequencies=C.cohort_frequencies(table)), path)
+    return spark.read.text(path)
+
+
 def _stored_unfiltered(spark, d):
     path = scratch_folder(spark, "unfiltered")
     W.write_unfiltered(_unfiltered(spark, d), path)
@@ -169,6 +213,14 @@ def queries():
         "calls_from_tsv": _calls_from_files,
         "calls_from_gvcf": _calls_from_gvcfs,
         "entries_from_files": _calls_from_matrix,
+        "sites_from_files": _sites_from_files,
+        "manifest_from_file": _manifest_from_file,
+        "annotation_roundtrip": _annotation_table,
+        "calls_tables": _calls_tables,
+        "curated_roundtrip": _stored_curated,
+        "report_lines": _report_lines,
+        "sample_total": lambda s, d: K.sample_count(P.calls(s, d)),
+        "curated_contigs": lambda s, d: cohort.curated_cohort(P.calls(s, d), P.annotations(s, d), contigs=["chr2", "chrX"]),
         "unfiltered_roundtrip": _stored_unfiltered,
         "score_lookup_stored": lambda s, d: _stored_scores(s, P.scores(s, d), S.unique_variants(P.calls(s, d)), False),
         "score_lookup_transcript": lambda s, d: _stored_scores(s, P.transcript_scores(s, d), P.versioned_transcripts(s, d), True),

@@ -196,6 +196,10 @@ def test_whole_flow_from_files(spark, tmp_path):
     assert report[0] == "chr1\tinput\tpairs\t2" and "chr1\tvariant types after impact filter\tMissense\t2" in report
     jobs.main(["curate", f"{d}/unfiltered", f"{d}/report2", f"{d}/curated2", "--contigs", "canonical", "--min-dp", "35"], spark)
     assert records(spark.read.parquet(f"{d}/curated2"), "SampleID") == [("A",)]
+    jobs.main(["cohort", f"{d}/calls", f"{d}/default", f"spliceai={d}/spliceai,alphamissense={d}/alphamissense,loftee={d}/loftee",
+               f"{d}/report3", f"{d}/curated3"], spark)
+    assert records(spark.read.parquet(f"{d}/curated3"), *curated.columns) == records(curated)
+    assert [r["value"] for r in spark.read.text(f"{d}/report3").collect()] == report
     jobs.main(["profile", f"{d}/curated", f"{d}/profile", "--table", "curated"], spark)
     assert spark.read.parquet(f"{d}/profile/histogram").count() > 0
 

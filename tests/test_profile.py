@@ -1,4 +1,5 @@
 from helpers import records
+from variantloom.sources.tables import read_stored_table
 from variantloom.operators.profile import histogram, top_values
 
 
@@ -44,6 +45,16 @@ def test_top_values_by_range_equal_one_window(spark):
         assert by_range.schema == top_values(df).schema
 
 
+def test_tables_in_nested_folders(spark, tmp_path):
+    rows = spark.createDataFrame([("chr1", 1), ("chr2", 2), ("chr2", 3)], "CHROM string, n int")
+    rows.filter("n = 1").write.parquet(f"{tmp_path}/nested/a/first")
+    rows.filter("n > 1").write.parquet(f"{tmp_path}/nested/b")
+    rows.write.partitionBy("CHROM").parquet(f"{tmp_path}/parts")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/flat")
+    for name in ("nested", "parts", "flat"):
+        assert records(read_stored_table(spark, f"{tmp_path}/{name}"), "CHROM", "n") == [("chr1", 1), ("chr2", 2), ("chr2", 3)], name
+
+
 def test_top_values_by_range_of_nothing(spark):
     df = spark.createDataFrame([], "s string, f boolean")
     assert top_values(df, 2000).collect() == []

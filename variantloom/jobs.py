@@ -19,6 +19,7 @@
     python -m variantloom.jobs integrate <calls> <default> <plugin=path,plugin=path,...> <out>
     python -m variantloom.jobs carriers <unfiltered> <cohort> <batch>
     python -m variantloom.jobs curate <unfiltered> <report> <out> [--cohort <cohort>]
+    python -m variantloom.jobs cohort <calls> <default> <plugin=path,plugin=path,...> <report> <out>
     python -m variantloom.jobs profile <table> <out>
 """
 
@@ -39,6 +40,7 @@ from variantloom.operators.integrate import annotate_calls, id_coverage, integra
 from variantloom.operators.manifest import assign_batches, pair_callsets, split_batches
 from variantloom.operators.profile import histogram, top_values
 from variantloom.operators.sites import extract_calls, unique_variants, variants_per_chrom, vcf_rows
+from variantloom.plans.cohort import cohort_funnel, curated_cohort
 from variantloom.schemas import CANONICAL_CONTIGS
 from variantloom.session import scratch_folder, session
 from variantloom.sinks import batches as B
@@ -54,6 +56,7 @@ from variantloom.sources.matrix import read_entries, row_by_row
 from variantloom.sources.reference import read_reference_blocks
 from variantloom.sources.score_tables import BUCKETS, PART_BP, store_scores
 from variantloom.sources.scores import read_alphamissense_scores, read_spliceai_scores
+from variantloom.sources.tables import read_stored_table
 from variantloom.streaming.ingest import append_batches
 
 
@@ -191,12 +194,16 @@ def _contigs(text):
     return CANONICAL_CONTIGS if text == "canonical" else text.split(",") if text else None
 
 
+def _integrated(spark, default, plugins, strict_key):
+    named = dict(p.split("=", 1) for p in plugins.split(","))
+    return integrate(read_annotation_table(spark, default, "default"),
+                     [read_annotation_table(spark, path, name) for name, path in named.items()], strict_key)
+
+
 def unfiltered(spark, calls_path, default, plugins, out, coverage=None, strict_key=False):
     """Calls with annotations; the row count is taken while writing."""
     table = B.read_calls_table(spark, calls_path)
-    named = dict(p.split("=", 1) for p in plugins.split(","))
-    annotations = integrate(read_annotation_table(spark, default, "default"),
-                            [read_annotation_table(spark, path, name) for name, path in named.items()], strict_key)
+    annotations = _integrated(spark, default, plugins, strict_key)
     written = Observation("integrate")
     W.write_unfiltered(annotate_calls(table, annotations).observe(written, F.count(F.lit(1)).alias("rows")), out)
     print("rows written:", written.get["rows"])
@@ -235,10 +242,22 @@ def curate(spark, source, report, out, others=None, contigs=None, cohort=None, *
         W.write_plain(C.other_consequences(table, frequencies=own, **options), others)
 
 
+def cohort(spark, calls_path, default, plugins, report, out, strict_key=False, contigs=None, **thresholds):
+    """Curated table and funnel report straight from calls and annotation tables, without the unfiltered table between."""
+    table = B.read_calls_table(spark, calls_path)
+    # rows of variants, not of calls; both results read them
+    annotations, kept = _integrated(spark, default, plugins, strict_key), scratch_folder(spark, "annotations")
+    W.write_plain(annotations, kept)
+    annotations = spark.read.schema(annotations.schema).parquet(kept)
+    options = dict(contigs=_contigs(contigs), **thresholds)
+    W.write_curated(curated_cohort(table, annotations, **options), out)
+    W.write_report(cohort_funnel(table, annotations, **options), report)
+
+
 def profile(spark, source, out, table=None):
     """Histograms and most frequent values; ``--table`` (unfiltered, curated) fixes the schema."""
     readers = {"unfiltered": read_unfiltered, "curated": read_curated}
-    table = readers[table](spark, source) if table else spark.read.parquet(source)
+    table = readers[table](spark, source) if table else read_stored_table(spark, source)
     W.write_plain(histogram(table), f"{out}/histogram")
     W.write_plain(top_values(table), f"{out}/top_values")
 
@@ -278,8 +297,10 @@ def parser():
     stage("lookup", lookup, "plugin", "calls_path", "default", "scores_path", "out")
     stage("integrate", unfiltered, "calls_path", "default", "plugins", "out", coverage=None, strict_key=False)
     stage("carriers", carriers, "source", "cohort", "batch", min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8)
-    stage("curate", curate, "source", "report", "out", others=None, contigs=None, cohort=None, denominator="chromosome", max_af=0.001,
-          min_samples=5000, min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8, min_splice=0.8, min_am=0.564)
+    thresholds = dict(denominator="chromosome", max_af=0.001, min_samples=5000, min_dp=20, min_gq=30, min_ratio=0.2, max_ratio=0.8,
+                      min_splice=0.8, min_am=0.564)
+    stage("curate", curate, "source", "report", "out", others=None, contigs=None, cohort=None, **thresholds)
+    stage("cohort", cohort, "calls_path", "default", "plugins", "report", "out", strict_key=False, contigs=None, **thresholds)
     stage("profile", profile, "source", "out", table=None)
     return p
 
