@@ -169,6 +169,13 @@ def test_topk_equals_brute_force(spark):
     assert sorted(got) == sorted(expected)
 
 
+def test_topk_of_repeated_ids_and_rows_without_one(spark):
+    rows = [(0, [2.0, 1.0]), (0, [1.0, 1.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [9.0, 9.0]), (2, [0.0, 1.0])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(vectors(spark, rows), k=5, scale=1, every=2).collect())
+    # id 0 asks with (1, 1), id 2 with (0, 1)
+    assert got == [(0, 1, 1, 1), (0, 2, 1, 1), (0, 3, 2, 1), (2, 1, 0, 1), (2, 2, 0, 1), (2, 3, 1, 0), (2, 4, 1, 0)]
+
+
 def test_topk_with_few_rows(spark):
     assert topk.top_k(vectors(spark, [])).collect() == []
     assert [(r.query_id, r.vec_id) for r in topk.top_k(vectors(spark, [(0, [1.0, 2.0]), (3, [1.0, 1.0])])).collect()] == [(0, 3)]

@@ -20,14 +20,6 @@ def text_rows(docs, id_col="doc_id", text_col="text", null_text=""):
                        (text if null_text is None else F.coalesce(text, F.lit(null_text))).alias("text"))
 
 
-def keyed(rows):
-    """Add ``k1, k2``: a join key that is never null and tells apart rows of one id with different texts.
-
-    Rows equal in id and text share a key, and so do the results for them.
-    """
-    return rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k1"), F.xxhash64("doc_id", "text").alias("k2"), "*")
-
-
 def fold(column, parts):
     """``crc32(id as text) mod parts``; a null id is in fold -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts, F.lit(-1)).cast("int")

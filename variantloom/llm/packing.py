@@ -1,15 +1,14 @@
 """Best-fit packing of tokenized documents into sequences of bounded length.
 
 Documents become pieces of at most ``limit`` tokens. Pieces of one length are interchangeable, and so
-are gaps of one size, so both are handled as runs: a length, its ranks, a count. Spark range-sorts the
-pieces and ranks them within their length; supersteps over lengths, longest first, then match runs:
-every piece of a length looks for its successor, the smallest gap that holds it; where more pieces
-than gaps meet, ranks decide which piece takes which gap, and the rest go to the next larger gap.
-The gaps filled in a superstep are shortened before the next one. Pieces that fit no gap open sequences.
+are gaps of one size, so both are handled as runs: a length, its ranks, a count. Spark ranks the pieces
+within their length. A plan over lengths, longest first, then matches runs, on the driver and one after the
+other: the pieces of a length go to the smallest gap that holds them; where more pieces than gaps meet, ranks
+decide which piece takes which gap, and the rest go to the next larger gap. Pieces that fit no gap open sequences.
 
-The state of the supersteps is a histogram over at most ``limit`` lengths and the runs made from it. Its
-size depends on ``limit``, not on the corpus, so the supersteps run on the driver and their plan is
-broadcast; pieces are only ranked and joined, in Spark.
+The plan's state is a histogram over at most ``limit`` lengths and the runs made from it. Its size depends on
+``limit``, not on the corpus. The plan is broadcast; pieces are ranked and joined in Spark. Texts of any length
+are tokenized whole by one task, which holds one document's ids.
 
 Null texts are empty texts: a document of the end token alone. Repeated rows are packed one by one.
 """
@@ -112,7 +111,7 @@ def token_pieces(docs, path, limit=2048, end_id=0, with_ids=False, id_col="doc_i
 
 
 def best_fit_runs(counts, limit):
-    """Supersteps of best fit over ``{length: pieces}``.
+    """Best fit, longest first, over ``{length: pieces}``.
 
     Returns rows ``(length, first_rank, pieces, first_sequence, offset)``: the piece of a length with
     rank ``first_rank + i`` lies in sequence ``first_sequence + i`` at ``offset``.

@@ -14,8 +14,9 @@ Queries are met with vectors in blocks; a block of queries or of vectors is of b
 block pair hands on is at most k entries a slice, then k exact scores, for each query.
 
 Vectors that are null, empty, or hold nulls or values that are not finite take no part, as queries or as
-candidates, nor do those that differ in length from most. A query meets every row but itself: rows that
-repeat a query's id are left out with it. Scores are integers; ties go to the smaller id.
+candidates, nor do those that differ in length from most, nor rows without an id. A query meets every row but
+itself: rows that repeat a query's id are left out with it, and the id asks once, with the least of its vectors. As
+candidates of other queries all rows of an id count. Scores are integers; ties go to the smaller id.
 """
 
 from __future__ import annotations
