@@ -202,3 +202,31 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     assert ids["line_dedup"] == ids["toxicity"] and ids["suffix_dedup"] == ids["simhash"] == ids["packing"]
     # 200 repeats document 1: its line went, and of the empty texts the smallest id stays
     assert 1 in ids["simhash"] and 200 in ids["simhash"] and not ids["simhash"] & {201, 202}
+
+
+@pytest.mark.parametrize("spread", [0.02, 5.0])
+def test_topk_multiplies_less_than_all(spread):
+    g = np.random.default_rng(5)
+    centres = g.normal(size=(40, 64))
+    v = np.floor(256 * np.concatenate([centres + g.normal(size=(40, 64)) * spread for _ in range(20)])).astype(np.int64)
+    ids, q = np.arange(len(v)), v[:64]
+    scores = np.where(np.arange(64)[:, None] == ids[None, :], -(1 << 55), q @ v.T)
+    bound = np.sort(scores, axis=1)[:, -5]
+    rows, found_ids, found, work = topk.resolve(q, ids[:64], bound, v, ids, 5)
+    expected = [(i, j, scores[i, j]) for i in range(64) for j in sorted(ids, key=lambda j: (-scores[i, j], j))[:5]]
+    assert list(zip(rows, found_ids, found)) == expected
+    assert work < q.size * len(ids) * (0.35 if spread < 1 else 0.9)
+
+
+def test_topk_counts_its_work_and_needs_no_gathered_block(spark, monkeypatch):
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", 20)
+    monkeypatch.setattr(topk, "GATHERED", 1000)
+    g = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(g.normal(size=(200, 16)))]
+    counted = spark.sparkContext.accumulator(0)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(vectors(spark, rows), every=10, multiplied=counted).collect()}
+    x = np.floor(256 * np.array([v for _, v in rows]).astype(np.float32).astype(np.float64)).astype(np.int64)
+    for i in range(0, 200, 10):
+        order = sorted((j for j in range(200) if j != i), key=lambda j: (-int(x[i] @ x[j]), j))[:5]
+        assert [got[i, n + 1] for n in range(5)] == [(j, int(x[i] @ x[j])) for j in order]
+    assert 0 < counted.value < 2 * 20 * 200 * 16

@@ -3,12 +3,14 @@
 A vector's components are cut into slices. A query's score is the sum of its partial scores in the
 slices, so each slice of each block of vectors is a list of local scores.
 
-1. Gather: each list gives the query its highest local scores. The vectors seen are scored in full; the
-   k-th best full score is a safe lower bound of the k-th best of all.
-2. Cutoff: the bound divided by the number of slices goes to every list. A vector below it in every
-   slice sums to less than the bound; entries at or above it are collected, and known partial scores
-   with the cutoff in place of the others bound each collected vector's full score from above.
-3. Resolve: what can still reach the bound is scored exactly and ranked.
+1. Gather: the lists of one vector block in ``GATHERED`` give the query their highest local scores. The vectors seen
+   are scored in full; the k-th best full score, of whichever vectors, is a safe lower bound of the k-th best of all.
+2. Cutoff: the bound and its share for one slice, the uniform cutoff, go to every list. Lists are read one after the
+   other. An entry is out, and neither read nor multiplied in the lists that follow, once its known local scores plus
+   the product of norms over the slices not read cannot reach the bound. A vector below the cutoff in every
+   slice sums to less than the bound, so before the last list only those are collected that reached the cutoff or may
+   reach it there.
+3. Resolve: the last list is read for collected entries alone, whose exact scores are ranked.
 
 Queries are met with vectors in blocks; a block of queries or of vectors is of bounded size, and what a
 block pair hands on is at most k entries a slice, then k exact scores, for each query.
@@ -28,7 +30,9 @@ from pyspark.sql import functions as F
 
 from variantloom.llm.common import stored
 
-SLICES = 4
+SLICES = 8
+GATHERED = 16
+DENSE = 8  # lists are read entry by entry once fewer than one in DENSE are left, before that by matrices
 QUERY_BLOCK, VECTOR_BLOCK, AT_ONCE = 8192, 4096, 512
 EXACT = 2.0 ** 53
 
@@ -81,7 +85,7 @@ def top(scores, count):
     return rows[real], columns[real]
 
 
-def block_pair(phase, count):
+def block_pair(phase, count, multiplied=None):
     """Function of one block of queries with one block of vectors: the phase's rows, a few queries at once."""
     def run(key, cell):
         queries, others = cell[cell["is_query"]], cell[~cell["is_query"]]
@@ -91,40 +95,65 @@ def block_pair(phase, count):
             for at in range(0, len(queries), AT_ONCE):
                 part = queries.iloc[at:at + AT_ONCE]
                 query_ids = part["vec_id"].to_numpy()
-                rows, columns, scores = phase(matrix(part["v"]), query_ids, part["bound"].to_numpy(), v, ids, count)
-                found.append(pd.DataFrame({"query_id": query_ids[rows], "vec_id": ids[columns], "score": scores}))
+                rows, found_ids, scores, work = phase(matrix(part["v"]), query_ids, part["bound"].to_numpy(), v, ids, count)
+                if multiplied is not None:
+                    multiplied.add(int(work))
+                found.append(pd.DataFrame({"query_id": query_ids[rows], "vec_id": found_ids, "score": scores}))
         return pd.concat(found)
 
     return run
 
 
 def gather(q, query_ids, bound, v, ids, count):
-    """Phase 1: each list's highest entries, scored in full."""
+    """Phase 1: each list's highest entries, scored in full. The last value counts multiplied components."""
     seen = [top(masked(product(q[:, s], v[:, s]), query_ids, ids), count) for s in slices(q.shape[1])]
     pairs = np.unique(np.concatenate([rows * len(ids) + columns for rows, columns in seen]))
     rows, columns = pairs // len(ids), pairs % len(ids)
-    return rows, columns, (q[rows] * v[columns]).sum(axis=1)
+    return rows, ids[columns], (q[rows] * v[columns]).sum(axis=1), q.size * len(ids) + len(rows) * q.shape[1]
+
+
+def norms(x):
+    """Euclidean norms, rounded up."""
+    return np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
 
 
 def resolve(q, query_ids, bound, v, ids, count):
-    """Phases 2 and 3: entries at the cutoff, their upper bounds, then exact scores."""
-    bound, parts = bound.astype(np.int64), slices(q.shape[1])
+    """Phases 2 and 3: lists read in turn for the entries that can still reach the bound, then exact scores."""
+    bound, parts = bound.astype(np.int64)[:, None], slices(q.shape[1])
     cutoff = -(-bound // len(parts))  # the least integer that is not below the bound's share
-    local = np.stack([masked(product(q[:, s], v[:, s]), query_ids, ids) for s in parts])
-    collected = local >= cutoff[None, :, None]
-    above = np.where(collected, local, cutoff[None, :, None] - 1).sum(axis=0)
-    rows, columns = np.nonzero(collected.any(axis=0) & (above >= bound[:, None]))
-    scores = local[:, rows, columns].sum(axis=0)
-    sure = scores >= bound[rows]
-    rows, columns, scores = rows[sure], columns[sure], scores[sure]
+    scores, collected, work = np.zeros((len(q), len(ids)), np.int64), np.zeros((len(q), len(ids)), bool), 0
+    left = query_ids[:, None] != ids[None, :]
+    # by matrices, over vectors that some query still asks for, while many entries are left
+    while parts and left.sum() * DENSE >= left.size > 0:
+        s = parts.pop(0)
+        local = product(q[:, s], v[:, s])
+        scores, collected, work = scores + local, collected | (local >= cutoff), work + local.size * (s.stop - s.start)
+        left &= scores + np.outer(norms(q[:, s.stop:]), norms(v[:, s.stop:])) >= bound
+        met = left.any(axis=0)
+        left, scores, collected, v, ids = left[:, met], scores[:, met], collected[:, met], v[met], ids[met]
+    rows, columns = np.nonzero(left)
+    scores, collected, bound, cutoff = scores[rows, columns], collected[rows, columns], bound[rows, 0], cutoff[rows, 0]
+    # entry by entry, once few are left
+    while parts:
+        s = parts.pop(0)
+        if not parts:  # not collected so far: the last list has to reach the cutoff
+            left = collected | (norms(q[:, s])[rows] * norms(v[:, s])[columns] >= cutoff)
+            rows, columns, scores, collected, bound, cutoff = (x[left] for x in (rows, columns, scores, collected, bound, cutoff))
+        local = (q[rows, s] * v[columns, s]).sum(axis=1)
+        scores, collected, work = scores + local, collected | (local >= cutoff), work + local.size * (s.stop - s.start)
+        left = scores + norms(q[:, s.stop:])[rows] * norms(v[:, s.stop:])[columns] >= bound
+        rows, columns, scores, collected, bound, cutoff = (x[left] for x in (rows, columns, scores, collected, bound, cutoff))
     order = np.lexsort((ids[columns], -scores, rows))
-    rows, columns, scores = rows[order], columns[order], scores[order]
+    rows, columns, scores, ids_of = rows[order], columns[order], scores[order], ids[columns[order]]
     best = np.arange(len(rows)) - np.searchsorted(rows, rows) < count
-    return rows[best], columns[best], scores[best]
+    return rows[best], ids_of[best], scores[best], work
+
 
+def top_k(vectors, k=5, every=50, scale=256, id_col="vec_id", vector_col="embedding", multiplied=None):
+    """``query_id, rank, vec_id, score``: the ``k`` best of all vectors for each whose id ``every`` divides.
 
-def top_k(vectors, k=5, every=50, scale=256, id_col="vec_id", vector_col="embedding"):
-    """``query_id, rank, vec_id, score``: the ``k`` best of all vectors for each whose id ``every`` divides."""
+    ``multiplied`` is an accumulator for the components multiplied in all phases; a task that is run again adds again.
+    """
     rows = stored(quantized(vectors, id_col, vector_col, scale))
     queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
     n_queries, n_rows = queries.count(), rows.count()
@@ -133,22 +162,24 @@ def top_k(vectors, k=5, every=50, scale=256, id_col="vec_id", vector_col="embedd
     of_vector = F.pmod(F.xxhash64(F.lit(7), "vec_id"), F.lit(vector_blocks)).cast("int").alias("vb")
     every_query = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb")
     every_vector = F.explode(F.sequence(F.lit(0), F.lit(vector_blocks - 1))).alias("vb")
+    no_reach = F.lit(-(1 << 52))
     no_bound = F.lit(None).cast("long").alias("bound")
     others = rows.select("vec_id", "v", no_bound, F.lit(False).alias("is_query"), every_query, of_vector)
 
-    def met(asked, phase):
+    def met(asked, phase, every_block=1):
         asked = asked.select("vec_id", "v", "bound", F.lit(True).alias("is_query"), of_query, every_vector)
-        return asked.unionByName(others).groupBy("qb", "vb").applyInPandas(
-            block_pair(phase, k), "query_id long, vec_id long, score long")
+        return asked.unionByName(others).filter(F.col("vb") % every_block == 0).groupBy("qb", "vb").applyInPandas(
+            block_pair(phase, k, multiplied), "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # a repeated id asks once, with the least of its vectors; as a candidate each of its rows counts
     asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    seen = met(asked.withColumn("bound", F.lit(None).cast("long")), gather)
+    seen = met(asked.withColumn("bound", F.lit(None).cast("long")), gather, GATHERED)
     ranked = seen.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    # fewer than k candidates in all: every one of them is in the answer
+    # fewer than k candidates gathered: no bound
     bounds = ranked.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
-    bounds = bounds.select("query_id", F.when(F.col("n") == k, F.col("least")).otherwise(F.lit(-(1 << 52))).alias("bound"))
-    bounded = asked.join(bounds, asked["vec_id"] == bounds["query_id"]).select("vec_id", "v", "bound")
+    bounds = bounds.select("query_id", F.when(F.col("n") == k, F.col("least")).alias("bound"))
+    bounded = asked.join(bounds, asked["vec_id"] == bounds["query_id"], "left").select(
+        "vec_id", "v", F.coalesce("bound", no_reach).alias("bound"))
     exact = met(bounded, resolve)
     return exact.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
