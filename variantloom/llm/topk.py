@@ -7,7 +7,7 @@ slices, so each slice of each block of vectors is a list of local scores.
    are scored in full; the k-th best full score, of whichever vectors, is a safe lower bound of the k-th best of all.
 2. Cutoff: the bound and its share for one slice, the uniform cutoff, go to every list. Lists are read one after the
    other. An entry is out, and neither read nor multiplied in the lists that follow, once its known local scores plus
-   the product of norms over the slices not read cannot reach the bound. A vector below the cutoff in every
+   the products of norms in the slices not read cannot reach the bound. A vector below the cutoff in every
    slice sums to less than the bound, so before the last list only those are collected that reached the cutoff or may
    reach it there.
 3. Resolve: the last list is read for collected entries alone, whose exact scores are ranked.
@@ -112,41 +112,49 @@ def gather(q, query_ids, bound, v, ids, count):
     return rows, ids[columns], (q[rows] * v[columns]).sum(axis=1), q.size * len(ids) + len(rows) * q.shape[1]
 
 
-def norms(x):
-    """Euclidean norms, rounded up."""
-    return np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9)
+def list_norms(x, parts):
+    """Euclidean norm of every vector's part in every list, rounded up."""
+    return np.stack([np.sqrt((x[:, s].astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9) for s in parts], axis=1)
 
 
 def resolve(q, query_ids, bound, v, ids, count):
     """Phases 2 and 3: lists read in turn for the entries that can still reach the bound, then exact scores."""
     bound, parts = bound.astype(np.int64)[:, None], slices(q.shape[1])
     cutoff = -(-bound // len(parts))  # the least integer that is not below the bound's share
-    scores, collected, work = np.zeros((len(q), len(ids)), np.int64), np.zeros((len(q), len(ids)), bool), 0
+    if float(np.abs(q).max()) * float(np.abs(v).max()) * q.shape[1] < EXACT:  # all sums are exact as doubles
+        q, v = q.astype(np.float64), v.astype(np.float64)
+    q_norms, v_norms = list_norms(q, parts), list_norms(v, parts)
+    scores, collected = np.zeros((len(q), len(ids)), v.dtype), np.zeros((len(q), len(ids)), bool)
     left = query_ids[:, None] != ids[None, :]
+    read = work = 0
     # by matrices, over vectors that some query still asks for, while many entries are left
-    while parts and left.sum() * DENSE >= left.size > 0:
-        s = parts.pop(0)
-        local = product(q[:, s], v[:, s])
-        scores, collected, work = scores + local, collected | (local >= cutoff), work + local.size * (s.stop - s.start)
-        left &= scores + np.outer(norms(q[:, s.stop:]), norms(v[:, s.stop:])) >= bound
+    while read < len(parts) and np.count_nonzero(left) * DENSE >= left.size > 0:
+        local = q[:, parts[read]] @ v[:, parts[read]].T
+        work += local.size * (parts[read].stop - parts[read].start)
+        collected |= local >= cutoff
+        scores += local
+        read += 1
+        left &= scores + q_norms[:, read:] @ v_norms[:, read:].T >= bound
         met = left.any(axis=0)
-        left, scores, collected, v, ids = left[:, met], scores[:, met], collected[:, met], v[met], ids[met]
+        if not met.all():
+            left, scores, collected = left[:, met], scores[:, met], collected[:, met]
+            v, v_norms, ids = v[met], v_norms[met], ids[met]
     rows, columns = np.nonzero(left)
     scores, collected, bound, cutoff = scores[rows, columns], collected[rows, columns], bound[rows, 0], cutoff[rows, 0]
     # entry by entry, once few are left
-    while parts:
-        s = parts.pop(0)
-        if not parts:  # not collected so far: the last list has to reach the cutoff
-            left = collected | (norms(q[:, s])[rows] * norms(v[:, s])[columns] >= cutoff)
+    for number in range(read, len(parts)):
+        if number == len(parts) - 1:  # what no list has collected so far has to reach the cutoff in the last one
+            left = collected | (q_norms[rows, number] * v_norms[columns, number] >= cutoff)
             rows, columns, scores, collected, bound, cutoff = (x[left] for x in (rows, columns, scores, collected, bound, cutoff))
-        local = (q[rows, s] * v[columns, s]).sum(axis=1)
-        scores, collected, work = scores + local, collected | (local >= cutoff), work + local.size * (s.stop - s.start)
-        left = scores + norms(q[:, s.stop:])[rows] * norms(v[:, s.stop:])[columns] >= bound
+        local = (q[rows, parts[number]] * v[columns, parts[number]]).sum(axis=1)
+        work += local.size * (parts[number].stop - parts[number].start)
+        scores, collected = scores + local, collected | (local >= cutoff)
+        left = scores + (q_norms[rows, number + 1:] * v_norms[columns, number + 1:]).sum(axis=1) >= bound
         rows, columns, scores, collected, bound, cutoff = (x[left] for x in (rows, columns, scores, collected, bound, cutoff))
     order = np.lexsort((ids[columns], -scores, rows))
-    rows, columns, scores, ids_of = rows[order], columns[order], scores[order], ids[columns[order]]
+    rows, found, scores = rows[order], ids[columns[order]], scores[order].astype(np.int64)
     best = np.arange(len(rows)) - np.searchsorted(rows, rows) < count
-    return rows[best], ids_of[best], scores[best], work
+    return rows[best], found[best], scores[best], work
 
 
 def top_k(vectors, k=5, every=50, scale=256, id_col="vec_id", vector_col="embedding", multiplied=None):
