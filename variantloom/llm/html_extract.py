@@ -61,7 +61,8 @@ NEGATED_BY = frozenset("with without has have no non not".split())
 READER_NAMES = frozenset("comment comments disqus replies respond".split())
 # A start tag of these ends an open element of the same kind.
 ENDS_SAME = frozenset("p li dt dd tr td th option h1 h2 h3 h4 h5 h6".split())
-SALTS = 16
+# Pages of a host that one task ranks, until hosts beyond it could be more than MOST_HOT: these are broadcast.
+HOST_PAGES, MOST_HOT = 5_000, 1_000
 
 
 class Element:
@@ -278,17 +279,22 @@ def page_paths(rows):
     return rows.select("k1", "k2", "host", "html").mapInArrow(run, "k1 long, k2 long, host string, path string, own boolean")
 
 
-def chosen_paths(rows):
+def chosen_paths(rows, host_pages=HOST_PAGES):
     """``k1, k2, path``: of a page's paths, the one with most votes of its host; of equal ones the first by name."""
-    found = stored(page_paths(rows)).withColumn("salt", F.pmod(F.col("k2"), F.lit(SALTS)).cast("int"))
-    votes = found.filter("own").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"))
-    salted = votes.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    ranked = found.join(salted, ["host", "path", "salt"])
+    found = stored(page_paths(rows))
+    votes = stored(found.filter("own").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes")))
+    pages = votes.agg(F.sum("votes").alias("n")).first()["n"] or 0
+    share = max(host_pages, -(-pages // MOST_HOT))
+    hot = votes.groupBy("host").agg(F.sum("votes").alias("n")).filter(F.col("n") > share).select(
+        "host", F.ceil(F.col("n") / share).cast("int").alias("salts"))
+    with_salts = lambda df: df.join(F.broadcast(hot), "host", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    salted = with_salts(votes).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    ranked = with_salts(found).withColumn("salt", F.pmod("k2", "salts").cast("int")).join(salted, ["host", "path", "salt"])
     return ranked.groupBy("k1", "k2").agg(F.min(F.struct(-F.col("votes"), "path"))["path"].alias("path"))
 
 
 def extract(pages, id_col="page_id", url_col="url", html_col="html"):
-    """``page_id, url, text`` of every row. Hosts are dealt out over salts, so a hot host is many tasks' work."""
+    """``page_id, url, text`` of every row. A host of many pages is dealt out over salts by their number, so it is many tasks' work."""
     rows = page_rows(pages, id_col, url_col, html_col).select(
         F.coalesce("page_id", F.lit(-(1 << 63))).alias("k1"), F.xxhash64("page_id", "url", "html").alias("k2"), "*")
     joined = rows.join(chosen_paths(rows), ["k1", "k2"], "left").select("page_id", "url", "html", "path")
