@@ -79,3 +79,16 @@ def test_jobs_from_score_files_to_plugin_tables(spark, tmp_path):
         ("chr1_100_A_G", "ENST1", "likely_pathogenic", 0.9, "chr1:100:G:G1:ENST1", "chr1")]
     found = read_annotation_table(spark, f"{d}/spliceai", "spliceai")
     assert records(found, "Feature", "SYMBOL", "DS_DL") == [("ENST1", "OTH", "0"), ("ENST1", "SYM", "0.9"), ("ENST2", "OTH", "0"), ("ENST2", "SYM", "0.9")]
+
+
+def test_files_follow_the_rows_and_not_the_parts(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("concat('chr', id % 2) CHROM", "CAST(id * 10 AS INT) POS", "'A' REF", "'C' ALT", "id / 2 AS score")
+    store_scores(rows, f"{tmp_path}/few", buckets=4, part_bp=100)  # 400 parts
+    store_scores(rows, f"{tmp_path}/cut", buckets=4, part_bp=100, file_rows=50)
+    variants = spark.createDataFrame([("v", "chr1", 15010, "A", "C"), ("none", "chr1", 15015, "A", "C"), ("off", "chr3", 10, "A", "C")], VARIANTS.replace(", Feature string", ""))
+    for name, folders in (("few", 2), ("cut", 10)):
+        assert len([f for f in os.listdir(f"{tmp_path}/{name}") if f.startswith("_part=")]) == folders
+        found = stored_score_lookup(variants, f"{tmp_path}/{name}")
+        assert records(found, "ID", "score") == [("none", None), ("off", None), ("v", 750.5)]
+        assert records(stored_score_lookup(rows.drop("score"), f"{tmp_path}/{name}"), *rows.columns) == records(rows)
+    assert "chr1_120)" in found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("]")[0]  # its first part
