@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from variantloom.schemas import ANNOTATION_KEYS, PLUGINS, annotation_columns
 from variantloom.operators.annotations import reshape_annotation
 from variantloom.operators.integrate import integrate
-from variantloom.sources.gvcf import gvcf_files
+from variantloom.sinks.text import write_gathered_gvcfs
 
 CHROM = "CASE WHEN {k} % 24 = 22 THEN 'chrX' WHEN {k} % 24 = 23 THEN 'chrY' ELSE concat('chr', CAST({k} % 24 + 1 AS STRING)) END"
 REF = "substr('ACGT', CAST(l_partkey % 4 AS INT) + 1, 1)"
@@ -154,9 +154,11 @@ def write_annotator_files(spark, sf_dir, plugin, path):
 
 
 def write_gvcfs(spark, sf_dir, path):
-    """A folder of gVCF files for each sample; returns the manifest that lists them."""
-    gvcf_lines(spark, sf_dir).repartition("SampleID").write.partitionBy("SampleID").option("compression", "gzip").text(path)
-    return gvcf_files(spark, path).select(F.regexp_extract("path", "SampleID=([^/]+)/", 1).alias("sampleID"), F.col("path").alias("Path"))
+    """One gVCF for each sample, gathered in files of bounded number; returns the manifest that lists the gVCFs."""
+    gvcf = "concat('/data/gvcf/', {sample}, '.gvcf.gz')"
+    write_gathered_gvcfs(gvcf_lines(spark, sf_dir).selectExpr(gvcf.format(sample="SampleID") + " AS path", "value"), path)
+    samples = table(spark, sf_dir, "orders").selectExpr("concat('S', CAST(o_custkey AS STRING)) AS sampleID").distinct()
+    return samples.selectExpr("sampleID", gvcf.format(sample="sampleID") + " AS Path")
 
 
 def manifest(spark, sf_dir):

@@ -4,11 +4,13 @@ import gzip
 
 import pytest
 from helpers import records
+from pyspark.sql import functions as F
 from variantloom import jobs
 from variantloom.schemas import annotation_columns
+from variantloom.sinks.text import write_cohort_tsvs, write_gathered_gvcfs
 from variantloom.sources.annotations import file_layouts, read_annotation_tsvs
-from variantloom.sources.calls import read_call_tsvs
-from variantloom.sources.gvcf import gvcf_files, missing_files, read_gvcf_lines, short_lines
+from variantloom.sources.calls import read_call_tsvs, read_cohort_tsvs
+from variantloom.sources.gvcf import attach_samples, gvcf_files, missing_files, parse_gvcf, read_gathered_gvcfs, read_gvcf_lines, short_lines
 from variantloom.sources.reference import read_reference_blocks
 
 ROW = {"Uploaded_variation": "chr1_5_A_G", "Location": "chr1:5", "Allele": "G", "Gene": "G1", "Feature": "T1", "LoF": "HC", "LoF_filter": "-",
@@ -113,3 +115,27 @@ def test_reference_lines_of_different_widths(spark, tmp_path):
         assert row.seq == contigs[name][0][first:(block + 1) * 24] and row.start == first + 1
     with pytest.raises(Exception, match="no multiple of the lines of chr1"):
         read_reference_blocks(spark, f"{tmp_path}/g.fa", f"{tmp_path}/g.fa.fai", block_bp=18).collect()
+
+
+def test_many_samples_share_call_files(spark, tmp_path):
+    names = [*[f"S{i}" for i in range(300)], "S 1+x", " padded ", "a\tb", 'qu"ote', "back\\", "#x", "", None]
+    rows = spark.createDataFrame([(n, "chr1", 5, "A", "G", "0/1", None, "12,8", 50) for n in names],
+                                 "SampleID string, CHROM string, POS int, REF string, ALT string, GT string, DP int, AD string, GQ int")
+    write_cohort_tsvs(rows, f"{tmp_path}/calls")
+    assert len(list(tmp_path.glob("calls/*.gz"))) < 20
+    assert records(read_cohort_tsvs(spark, f"{tmp_path}/calls"), *rows.columns) == records(rows)
+    for name in ("-", "a\nb"):
+        with pytest.raises(Exception, match="does not fit"):
+            write_cohort_tsvs(rows.limit(1).withColumn("SampleID", F.lit(name)), f"{tmp_path}/bad")
+
+
+def test_many_gvcfs_share_files(spark, tmp_path):
+    record = "chr1\t{}\t.\tA\tG\t.\t.\t.\tGT\t0/1"
+    lines = [(f"/d/S{i}.g.gz", text) for i in range(300) for text in ("#CHROM\tPOS", record.format(i), "", "short\tline")]
+    write_gathered_gvcfs(spark.createDataFrame(lines, "path string, value string"), f"{tmp_path}/g")
+    assert len(list(tmp_path.glob("g/*.gz"))) < 20
+    read = read_gathered_gvcfs(spark, f"{tmp_path}/g")
+    assert records(read, "path", "value") == sorted(lines)
+    manifest = spark.createDataFrame([(f"S{i}", f"/d/S{i}.g.gz") for i in range(299)], "sampleID string, Path string")
+    got = attach_samples(parse_gvcf(read), manifest)
+    assert records(got, "SampleID", "POS") == sorted((f"S{i}", i) for i in range(299))

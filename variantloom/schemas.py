@@ -57,6 +57,7 @@ def _struct(names):
 MANIFEST = T.StructType([T.StructField("sampleID", T.StringType()), T.StructField("Path", T.StringType())])
 
 CALL_TSV = _struct(CALL_TSV_COLUMNS)
+COHORT_TSV = _struct(["SampleID", *CALL_TSV_COLUMNS])
 
 CALLS = _struct(CALL_COLUMNS)
 

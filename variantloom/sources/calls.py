@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from variantloom.functions.text import decoded_path
-from variantloom.schemas import CALL_TSV, CALLS, CURATED, UNFILTERED
+from variantloom.schemas import CALL_TSV, CALLS, COHORT_TSV, CURATED, UNFILTERED
 
 CALL_FILES = "*.{tsv,csv}.gz"  # our own sink names its parts .csv.gz
 SAMPLE_FROM_FOLDER = r"/SampleID=([^/]+)/[^/]*$"
@@ -35,6 +35,17 @@ def read_call_tsvs(spark, path):
     )
 
 
+def read_cohort_tsvs(spark, path):
+    """Call TSVs of many samples a file, with ``SampleID`` as their first column (see ``write_cohort_tsvs``)."""
+    return (
+        spark.read.schema(COHORT_TSV)
+        .option("sep", "\t").option("header", True).option("nullValue", "-").option("enforceSchema", False)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", CALL_FILES)
+        .csv(path)
+        .select(*CALL_TSV.names, "SampleID")
+    )
+
+
 def read_calls(spark, *paths):
     """Calls tables (one or more batch folders) as one DataFrame."""
     return spark.read.schema(CALLS).parquet(*paths)

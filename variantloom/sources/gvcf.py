@@ -15,6 +15,16 @@ def read_gvcf_lines(spark, *paths):
     )
 
 
+def read_gathered_gvcfs(spark, *paths):
+    """As :func:`read_gvcf_lines`, from files that gather the lines of many gVCFs, each after its own path and a tab.
+
+    Opening a file costs far more than reading a sample's lines, so a cohort of very many samples is gathered once.
+    """
+    lines = read_gvcf_lines(spark, *paths).select("value")
+    tab = F.expr("locate('\t', value)")
+    return lines.select(F.expr("substr(value, locate('\t', value) + 1)").alias("value"), F.col("value").substr(F.lit(1), tab - 1).alias("path"))
+
+
 def is_short():
     """A line that is no header and has fewer than its ten columns."""
     return ~F.col("value").startswith("#") & F.get(F.split("value", "\t"), F.lit(9)).isNull()
