@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from variantloom.schemas import ANNOTATION_KEYS, PLUGINS, annotation_columns
 from variantloom.operators.annotations import reshape_annotation
 from variantloom.operators.integrate import integrate
+from variantloom.session import stored
 from variantloom.sinks.text import write_gathered_gvcfs
 
 CHROM = "CASE WHEN {k} % 24 = 22 THEN 'chrX' WHEN {k} % 24 = 23 THEN 'chrY' ELSE concat('chr', CAST({k} % 24 + 1 AS STRING)) END"
@@ -23,13 +24,17 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def calls(spark, sf_dir, helper=False):
-    """Calls from order lines: sample = customer, variant = part and supplier. ``helper`` keeps ``pk``."""
-    lines = table(spark, sf_dir, "lineitem").join(
+def order_lines(spark, sf_dir):
+    """Order lines with their customer, from which calls are made."""
+    return table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey")
     ).selectExpr("l_partkey", "l_suppkey", "l_linenumber", "o_custkey", "CAST(l_quantity AS INT) + 10 AS d0",
                  "d0 * CAST(round(l_discount * 100) AS INT) AS a0")
-    out = lines.selectExpr(
+
+
+def calls(spark, sf_dir, helper=False, lines=None):
+    """Calls from order lines: sample = customer, variant = part and supplier. ``helper`` keeps ``pk``."""
+    out = (order_lines(spark, sf_dir) if lines is None else lines).selectExpr(
         "concat('S', CAST(o_custkey AS STRING)) AS SampleID",
         CHROM.format(k="l_partkey") + " AS CHROM",
         "CAST(1000 + l_partkey * 10 AS INT) AS POS",
@@ -53,13 +58,18 @@ def raw_calls(spark, sf_dir):
                "ELSE concat(CAST(REF_AD AS STRING), ',', CAST(ALT_AD AS STRING)) END").alias("AD"))
 
 
-def vep(spark, sf_dir):
+def annotated_variants(spark, sf_dir, lines=None):
+    """``pk, ALT`` of the annotated variants: all their other columns follow from these."""
+    lines = order_lines(spark, sf_dir) if lines is None else lines
+    return lines.filter("l_partkey % 13 <> 0").selectExpr("l_partkey AS pk", ALT + " AS ALT").distinct()
+
+
+def vep(spark, sf_dir, variants=None):
     """Annotator rows, three transcripts per annotated variant, all payloads side by side."""
-    variants = (
-        calls(spark, sf_dir, helper=True).filter("pk % 13 <> 0")
-        .select("ID", "CHROM", "POS", "REF", "ALT", "pk").distinct()
-        .withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
-    )
+    chrom, ref = CHROM.format(k="pk"), REF.replace("l_partkey", "pk")
+    variants = (annotated_variants(spark, sf_dir) if variants is None else variants).selectExpr(
+        f"concat_ws('_', {chrom}, CAST(1000 + pk * 10 AS STRING), {ref}, ALT) AS ID", chrom + " AS CHROM",
+        "CAST(1000 + pk * 10 AS INT) AS POS", ref + " AS REF", "ALT", "pk", "explode(sequence(1, 3)) AS k")
     return variants.selectExpr(
         "ID", "concat(CHROM, ':', CAST(POS AS STRING)) AS Location",
         "CASE WHEN length(ALT) > 1 THEN substr(ALT, 2) ELSE ALT END AS Allele",
@@ -84,6 +94,12 @@ def vep(spark, sf_dir):
     )
 
 
+def calls_and_annotations(spark, sf_dir):
+    """Both from order lines that are joined once."""
+    lines = stored(order_lines(spark, sf_dir), "lines")
+    return calls(spark, sf_dir, lines=lines), annotations(spark, sf_dir, lines)
+
+
 def annotator_rows(spark, sf_dir, plugin, base=None):
     """Raw rows of one plugin's tab file; the frequency columns the view lacks are missing throughout."""
     base = base or vep(spark, sf_dir)
@@ -96,13 +112,14 @@ def annotator_rows(spark, sf_dir, plugin, base=None):
     return base.select(*[column(c) for c in annotation_columns(plugin)], "Chr")
 
 
-def annotation_tables(spark, sf_dir):
-    base = vep(spark, sf_dir)
+def annotation_tables(spark, sf_dir, lines=None):
+    """All plugins' tables, from variants made distinct once."""
+    base = vep(spark, sf_dir, stored(annotated_variants(spark, sf_dir, lines), "variants"))
     return {p: reshape_annotation(annotator_rows(spark, sf_dir, p, base), p) for p in ["default", *PLUGINS]}
 
 
-def annotations(spark, sf_dir):
-    tables = annotation_tables(spark, sf_dir)
+def annotations(spark, sf_dir, lines=None):
+    tables = annotation_tables(spark, sf_dir, lines)
     return integrate(tables["default"], [tables[p] for p in PLUGINS])
 
 

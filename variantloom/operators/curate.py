@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from variantloom.functions.variant import allele_ratio, is_damaging, max_splice_delta, variant_type
 from variantloom.operators.joins import splittable_join
+from variantloom.session import stored
 from variantloom.schemas import CURATED_COLUMNS, VARIANT_COLUMNS, VARIANT_TYPES
 
 MAX_AF = 0.001
@@ -242,6 +243,8 @@ def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denomina
     counted = with_counts(per_variant, counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("pairs_qc"), F.lit(2) * F.col("n_samples")))
     if frequencies is None:
+        # read by totals and by classes: stored, or each would aggregate all pairs for itself
+        counted = stored(counted, "variants")
         frequencies = counted.select(*VARIANT_COLUMNS, "n_samples", "dataset_AF")
     inside = _inside(max_af, min_samples)
     totals = counted.groupBy("CHROM").agg(
