@@ -197,25 +197,29 @@ def staged_files(spark, sf_dir):
                "CASE WHEN o_custkey % 2 = 0 THEN '.gatk.gvcf.gz' ELSE '.deepvariant.gvcf.gz' END)").alias("file"))
 
 
+# A call beside a hom-ref, a missing and a second carried entry, from the call's columns.
+ENTRIES = """array(
+  named_struct('s', concat({c}SampleID, 'r'), 'GT', named_struct('alleles', array(0, 0), 'phased', false), 'AD', array(30, 0), 'GQ', {c}GQ),
+  named_struct('s', {c}SampleID, 'GT', named_struct('alleles', CASE {c}GT WHEN '0/1' THEN array(0, 1) WHEN '1/0' THEN array(1, 0) ELSE array(1, 1) END, 'phased', POS % 3 = 0), 'AD', array({c}REF_AD, {c}ALT_AD), 'GQ', {c}GQ),
+  named_struct('s', concat({c}SampleID, 'm'), 'GT', CAST(NULL AS STRUCT<alleles: ARRAY<INT>, phased: BOOLEAN>), 'AD', CAST(NULL AS ARRAY<INT>), 'GQ', CAST(NULL AS INT)),
+  named_struct('s', concat({c}SampleID, 'h'), 'GT', named_struct('alleles', array(1, 1), 'phased', false), 'AD', CAST(NULL AS ARRAY<INT>), 'GQ', 99))"""
+
+
+def _matrix_rows(rows, entries):
+    return rows.select(F.struct(F.col("CHROM").alias("contig"), F.col("POS").alias("position")).alias("locus"),
+                       F.array("REF", "ALT").alias("alleles"), F.expr(entries).alias("entries"))
+
+
 def matrix(spark, sf_dir):
     """Matrix rows: each call beside a hom-ref, a missing and a second carried entry."""
-    return calls(spark, sf_dir).select(
-        F.struct(F.col("CHROM").alias("contig"), F.col("POS").alias("position")).alias("locus"),
-        F.array("REF", "ALT").alias("alleles"),
-        F.expr("""array(
-          named_struct('s', concat(SampleID, 'r'), 'GT', named_struct('alleles', array(0, 0), 'phased', false), 'AD', array(30, 0), 'GQ', GQ),
-          named_struct('s', SampleID, 'GT', named_struct('alleles', CASE GT WHEN '0/1' THEN array(0, 1) WHEN '1/0' THEN array(1, 0) ELSE array(1, 1) END, 'phased', POS % 3 = 0), 'AD', array(REF_AD, ALT_AD), 'GQ', GQ),
-          named_struct('s', concat(SampleID, 'm'), 'GT', CAST(NULL AS STRUCT<alleles: ARRAY<INT>, phased: BOOLEAN>), 'AD', CAST(NULL AS ARRAY<INT>), 'GQ', CAST(NULL AS INT)),
-          named_struct('s', concat(SampleID, 'h'), 'GT', named_struct('alleles', array(1, 1), 'phased', false), 'AD', CAST(NULL AS ARRAY<INT>), 'GQ', 99))""")
-        .alias("entries"))
+    return _matrix_rows(calls(spark, sf_dir), ENTRIES.format(c=""))
 
 
 def wide_matrix(spark, sf_dir):
-    """As :func:`matrix`, one row for each variant with the entries of all its samples."""
-    return (
-        matrix(spark, sf_dir).select("locus", "alleles", F.explode("entries").alias("entry"))
-        .groupBy("locus", "alleles").agg(F.collect_list("entry").alias("entries"))
-    )
+    """As :func:`matrix`, one row for each variant with the entries of all its samples, made after its calls are together."""
+    call = F.struct("SampleID", "GT", "REF_AD", "ALT_AD", "GQ")
+    together = calls(spark, sf_dir).groupBy("CHROM", "POS", "REF", "ALT").agg(F.collect_list(call).alias("of"))
+    return _matrix_rows(together, "flatten(transform(of, c -> " + ENTRIES.format(c="c.") + "))")
 
 
 def scores(spark, sf_dir):

@@ -3,8 +3,9 @@
 import os
 
 import pytest
-from helpers import call, unfiltered
+from helpers import call, records, unfiltered
 from __spark_entry__ import queries
+from checks import proxy as P
 from variantloom.operators import curate as C
 
 SF = "/root/testdata/sf0.001"
@@ -19,3 +20,14 @@ def test_order_lines_are_joined_once(spark, name):
 def test_funnel_aggregates_pairs_once(spark):
     plan = C.curation_funnel(unfiltered(spark, (call(), {})))._jdf.queryExecution().optimizedPlan().toString()
     assert "max(_rare_outside" not in plan
+
+
+def test_matrix_entries_are_made_after_the_shuffle(spark):
+    wide, plain = P.wide_matrix(spark, SF), P.matrix(spark, SF)
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "collect_list" in plan
+
+    def entries(df):
+        return df.selectExpr("locus", "alleles", "inline(entries)").groupBy("locus", "alleles", "s", "GT", "AD", "GQ").count()
+
+    assert wide.schema == plain.schema and records(entries(wide)) == records(entries(plain))
