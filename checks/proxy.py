@@ -243,9 +243,12 @@ def transcript_scores(spark, sf_dir):
 
 
 def versioned_transcripts(spark, sf_dir):
-    """Variants with the transcripts the annotator names, with another version at the end."""
-    return vep(spark, sf_dir).selectExpr("ID", "split(ID, '_')[0] AS CHROM", "CAST(split(ID, '_')[1] AS INT) AS POS",
-                                         "split(ID, '_')[2] AS REF", "split(ID, '_')[3] AS ALT", "concat(Feature, '.3') AS Feature")
+    """Variants with the transcripts the annotator names, with another version at the end; a lookup passes over them twice."""
+    variants = stored(annotated_variants(spark, sf_dir), "variants").selectExpr(
+        CHROM.format(k="pk") + " AS CHROM", "CAST(1000 + pk * 10 AS INT) AS POS", REF.replace("l_partkey", "pk") + " AS REF", "ALT", "pk")
+    return variants.selectExpr("concat_ws('_', CHROM, CAST(POS AS STRING), REF, ALT) AS ID", "CHROM", "POS", "REF", "ALT",
+                               "explode(array('.1.3', '.2.3', '.3.3')) AS v", "pk").selectExpr(
+        "ID", "CHROM", "POS", "REF", "ALT", "concat('ENST', CAST(pk AS STRING), v) AS Feature")
 
 
 BLOCK = 240

@@ -17,6 +17,16 @@ def test_order_lines_are_joined_once(spark, name):
     assert files and not [f for f in files if os.path.basename(f).startswith(("lineitem", "orders"))]
 
 
+def test_lookup_reads_its_variants_from_a_table(spark):
+    variants = P.versioned_transcripts(spark, SF)
+    files = variants.inputFiles()
+    assert files and not [f for f in files if os.path.basename(f).startswith(("lineitem", "orders"))]
+    plain = P.vep(spark, SF).selectExpr(
+        "ID", "split(ID, '_')[0] AS CHROM", "CAST(split(ID, '_')[1] AS INT) AS POS", "split(ID, '_')[2] AS REF",
+        "split(ID, '_')[3] AS ALT", "concat(Feature, '.3') AS Feature")
+    assert variants.columns == plain.columns and records(variants) == records(plain)
+
+
 def test_funnel_aggregates_pairs_once(spark):
     plan = C.curation_funnel(unfiltered(spark, (call(), {})))._jdf.queryExecution().optimizedPlan().toString()
     assert "max(_rare_outside" not in plan

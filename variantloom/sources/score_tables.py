@@ -54,7 +54,9 @@ def store_scores(scores, path, by_transcript=False, buckets=BUCKETS, part_bp=PAR
     """
     spark = scores.sparkSession
     keys = [*VARIANT_COLUMNS, TRANSCRIPT] if by_transcript else VARIANT_COLUMNS
-    rows = (unversioned(scores).drop("Feature") if by_transcript else scores).dropna(subset=keys)
+    # a transcript is missing exactly where its name is, so counting the parts takes no version off
+    full = scores.dropna(subset=[*VARIANT_COLUMNS, "Feature"] if by_transcript else keys)
+    rows = unversioned(full).drop("Feature") if by_transcript else full
     ensure_checkpoint_dir(spark)
     # stored, so that the table and its list of parts agree
     folders = part_folders(rows, part_bp, buckets * file_rows).checkpoint()
