@@ -3,10 +3,11 @@
 import os
 
 import pytest
-from helpers import call, records, unfiltered
+from helpers import call, calls, records, unfiltered
 from __spark_entry__ import queries
 from checks import proxy as P
 from variantloom.operators import curate as C
+from variantloom.operators import integrate as I
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,3 +42,29 @@ def test_matrix_entries_are_made_after_the_shuffle(spark):
         return df.selectExpr("locus", "alleles", "inline(entries)").groupBy("locus", "alleles", "s", "GT", "AD", "GQ").count()
 
     assert wide.schema == plain.schema and records(entries(wide)) == records(entries(plain))
+
+
+def test_call_shuffles_carry_neither_id_nor_hash(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for join in (I.annotate_calls, I.annotated_calls):
+            rows = join(P.calls(spark, SF), P.annotations(spark, SF).filter("Gene IS NOT NULL"))
+            join_node = rows._jdf.queryExecution().optimizedPlan()
+            while "Join" not in join_node.nodeName():
+                join_node = join_node.children().head()
+            carried = join_node.children().head().output().mkString(",")
+            assert "CHROM#" in carried and "ID#" not in carried.replace("SampleID#", "") and "_fresh" not in carried
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_ids_that_coordinates_do_not_spell_are_joined_as_they_are(spark):
+    rows = [call("S1"), call("S2")[:-1] + ("rs1",), call("S3")[:-1] + (None,), call("S4", ref=None)[:-1] + ("chr1_100_G",)]
+    ids = ["chr1_100_A_G", "rs1", "chr1_100_G", None]
+    known = spark.createDataFrame([("chr1", i, f"T{n}") for n, i in enumerate(ids)], "Chr string, ID string, Feature string")
+    made = calls(spark, *rows)
+    assert records(I.annotate_calls(made, known), "SampleID", "ID", "Feature") == [
+        ("S1", "chr1_100_A_G", "T0"), ("S2", "rs1", "T1"), ("S4", "chr1_100_G", "T2")]
+    semi = I.annotated_calls(made, known)
+    assert semi.columns == made.columns and [r[0] for r in records(semi)] == ["S1", "S2", "S4"]

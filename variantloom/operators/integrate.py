@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from variantloom.functions.variant import variant_id
 from variantloom.operators.annotations import primary_transcripts
 from variantloom.operators.joins import splittable_join
 
@@ -24,6 +25,13 @@ def integrate(default, plugins, strict_key=False):
                   plugins, primary_transcripts(default))
 
 
+def _join_calls(calls, known, how="inner"):
+    """Calls joined by ``CHROM, ID`` without the IDs in the shuffle: an ID that its coordinates do not spell stays beside the call."""
+    odd = F.when(~F.col("ID").eqNullSafe(variant_id()), F.struct("ID"))
+    spelled = F.when(F.col("_odd").isNull(), variant_id()).otherwise(F.col("_odd.ID"))
+    return splittable_join(calls.withColumn("_odd", odd).drop("ID"), known, ["CHROM", "ID"], how, {"ID": spelled}).drop("_odd")
+
+
 def annotate_calls(calls, annotations):
     """Calls inner-joined with their annotations: one row per call and primary transcript.
 
@@ -34,7 +42,7 @@ def annotate_calls(calls, annotations):
     payload = [c for c in annotations.columns if c not in ("ID", "ID_variant_gene", "Chr", "Location", "Allele")]
     known = annotations.select(F.col("Chr").alias("CHROM"), "ID", *payload)
     rest = [c for c in calls.columns if c != "ID"]
-    return splittable_join(calls, known, ["CHROM", "ID"]).select("ID", *rest, *payload)
+    return _join_calls(calls, known).select("ID", *rest, *payload)
 
 
 def annotated_ids(annotations):
@@ -48,7 +56,7 @@ def annotated_ids(annotations):
 
 def annotated_calls(calls, annotations):
     """Calls whose variant has at least one annotation, without the annotation columns."""
-    return splittable_join(calls, annotated_ids(annotations), ["CHROM", "ID"], "left_semi")
+    return _join_calls(calls, annotated_ids(annotations), "left_semi").select(*calls.columns)
 
 
 def id_coverage(calls, annotations):
