@@ -19,8 +19,8 @@ def splittable_join(left, right, keys, how="inner", made=None):
     made = made or {}
     ours, theirs = [made.get(k, F.col(k)) for k in keys], [F.col(f"_right_{k}") for k in keys]
     right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    # the hash last: a sort by the keys leaves rows that compress well
-    same = reduce(lambda a, b: a & b, [a == b for a, b in zip([*ours, F.xxhash64(*ours)], [*theirs, F.xxhash64(*theirs)])])
+    # the hash first: a sort tells nearly all rows apart by it, without making the other keys for every comparison
+    same = reduce(lambda a, b: a & b, [a == b for a, b in zip([F.xxhash64(*ours), *ours], [F.xxhash64(*theirs), *theirs])])
     joined = left.join(right, same, how)
     payload = [] if how == "left_semi" else [c for c in right.columns if not c.startswith("_right_")]
     return joined.select(*[a.alias(k) for a, k in zip(ours, keys)], *[c for c in left.columns if c not in keys], *payload)
