@@ -33,6 +33,12 @@ def test_funnel_aggregates_pairs_once(spark):
     assert "max(_rare_outside" not in plan
 
 
+def test_funnels_count_samples_once(spark):
+    for name in ("cohort_funnel", "curation_funnel"):
+        plan = queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "distinct SampleID" not in plan and "n_samples" in plan
+
+
 def test_matrix_entries_are_made_after_the_shuffle(spark):
     wide, plain = P.wide_matrix(spark, SF), P.matrix(spark, SF)
     plan = wide._jdf.queryExecution().optimizedPlan().toString()

@@ -232,7 +232,8 @@ def curation_funnel(unfiltered, max_af=MAX_AF, min_samples=MIN_SAMPLES, denomina
     given, so that the aggregation is in the plan once.
     """
     qc_args = _pick(thresholds, _QC)
-    counts = sliced_counts(unfiltered, denominator, contigs)
+    # a row for each chromosome, read by totals and by samples
+    counts = stored(sliced_counts(unfiltered, denominator, contigs), "counts")
     unfiltered = on_contigs(unfiltered, contigs)
     samples = counts if denominator == "chromosome" else sample_counts(unfiltered)
     flagged = _stage_rows(unfiltered, max_af, **qc_args).filter(F.col("SampleID").isNotNull() & F.col("ID").isNotNull())

@@ -9,6 +9,7 @@ from variantloom.operators import curate as C
 from variantloom.operators.integrate import annotate_calls, annotated_calls, integrate
 from variantloom.operators.joins import splittable_join
 from variantloom.schemas import CURATED_COLUMNS, PLUGINS, VARIANT_COLUMNS, VARIANT_TYPES
+from variantloom.session import stored
 
 
 def unfiltered(calls, tables, strict_key=False):
@@ -52,7 +53,8 @@ def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES
     per-variant call count and a per-variant annotation count. Calls are read twice and shuffled as
     partial counts; they never meet the annotation rows.
     """
-    counts = C.sliced_counts(annotated_calls(calls, annotations), denominator, contigs)
+    # read by totals and by samples: stored, or each would count all annotated calls for itself
+    counts = stored(C.sliced_counts(annotated_calls(calls, annotations), denominator, contigs), "counts")
     calls = C.on_contigs(calls, contigs)
     annotations = C.on_contigs(annotations, contigs, "Chr")
     qc = C.passes_qc(**C._pick(thresholds, C._QC))
