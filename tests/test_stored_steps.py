@@ -1,6 +1,7 @@
 """Steps that a query needs more than once are worked out once and stored."""
 
 import os
+import re
 
 import pytest
 from helpers import call, calls, records, unfiltered
@@ -74,3 +75,15 @@ def test_ids_that_coordinates_do_not_spell_are_joined_as_they_are(spark):
         ("S1", "chr1_100_A_G", "T0"), ("S2", "rs1", "T1"), ("S4", "chr1_100_G", "T2")]
     semi = I.annotated_calls(made, known)
     assert semi.columns == made.columns and [r[0] for r in records(semi)] == ["S1", "S2", "S4"]
+
+
+def test_carriers_are_joined_as_they_were_counted(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries()["curated_large"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert not re.search(r"Exchange hashpartitioning\(CHROM#\d+, POS#\d+, REF#\d+, ALT#\d+, \d+\)", plan)
+    # carriers, the annotation rows they join and the distinct IDs of the sample counts
+    assert len(re.findall(r"\bExchange hashpartitioning\(CHROM#\d+, ID#\d+, \d+\)", plan)) == 3

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from variantloom.functions.variant import is_damaging, max_splice_delta, variant_id, variant_type
+from variantloom.functions.variant import is_damaging, max_splice_delta, variant_type
 from variantloom.operators import curate as C
 from variantloom.operators.integrate import annotate_calls, annotated_calls, integrate
-from variantloom.operators.joins import splittable_join
 from variantloom.schemas import CURATED_COLUMNS, PLUGINS, VARIANT_COLUMNS, VARIANT_TYPES
 from variantloom.session import stored
 
@@ -17,32 +16,46 @@ def unfiltered(calls, tables, strict_key=False):
     return annotate_calls(calls, integrate(tables["default"], [tables[p] for p in PLUGINS if p in tables], strict_key))
 
 
+def _passing(calls, contigs, thresholds):
+    """Calls that pass quality control; without one of its coordinates a call has no frequency."""
+    return C.qc_filter(C.on_contigs(calls, contigs), **C._pick(thresholds, C._QC)).dropna(subset=VARIANT_COLUMNS)
+
+
+def _with_frequency(wanted, calls, annotations, denominator, contigs, thresholds):
+    """Annotation rows ``wanted`` with ``n_samples, dataset_AF`` of their variants.
+
+    Counts are made by ID, so that their join takes them as the aggregation leaves them. Relies on IDs made by ``normalize_calls``.
+    """
+    counts = C.sliced_counts(annotated_calls(calls, annotations), denominator, contigs)
+    carriers = _passing(calls, contigs, thresholds).groupBy("CHROM", "ID").agg(
+        F.count_distinct("SampleID").alias("_carriers"))
+    wanted = C.on_contigs(wanted, contigs, "Chr").withColumnRenamed("Chr", "CHROM")
+    return C.with_counts(wanted.join(carriers, ["CHROM", "ID"]), counts, contigs).withColumn(
+        "dataset_AF", F.try_divide(F.col("_carriers"), F.lit(2) * F.col("n_samples")))
+
+
+def _rare_rows(wanted, calls, annotations, max_af, min_samples, denominator, contigs, thresholds):
+    """Passing calls joined, once, with those of their ``wanted`` annotation rows that are rare inside the cohort too."""
+    rare = _with_frequency(wanted, calls, annotations, denominator, contigs, thresholds).filter(C.is_rare(max_af, min_samples))
+    return annotate_calls(_passing(calls, contigs, thresholds), rare.drop("_carriers").withColumnRenamed("CHROM", "Chr"))
+
+
+def _outside(annotations, max_af):
+    """Annotation rows that are rare outside the cohort, with class and highest splice delta."""
+    return annotations.filter(F.col("gnomAD_max_AF") <= max_af).withColumns(
+        {"Variant_Type": variant_type(), "Max_DS_SpliceAI": max_splice_delta()})
+
+
 def curated_cohort(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES, denominator="chromosome",
                    contigs=None, **thresholds):
     """The curated table from calls and integrated annotations; same rows as ``curate(unfiltered(...))``.
 
     Call quality depends on the call, class and impact on the annotation, frequency on the variant.
     So annotations are filtered, given their cohort frequency and filtered again for rarity before
-    the calls are joined, once, with the few that are left. Relies on IDs made by ``normalize_calls``.
+    the calls are joined, once, with the few that are left.
     """
-    counts = C.sliced_counts(annotated_calls(calls, annotations), denominator, contigs)
-    calls = C.on_contigs(calls, contigs)
-    annotations = C.on_contigs(annotations, contigs, "Chr")
-    qc = C.qc_filter(calls, **C._pick(thresholds, C._QC))
-    carriers = qc.groupBy(*VARIANT_COLUMNS).agg(F.count_distinct("SampleID").alias("_carriers")).withColumn(
-        "ID", variant_id())
-    wanted = (
-        annotations.filter(F.col("gnomAD_max_AF") <= max_af)
-        .withColumns({"Variant_Type": variant_type(), "Max_DS_SpliceAI": max_splice_delta()})
-        .filter(is_damaging(**C._pick(thresholds, C._IMPACT)))
-        .withColumnRenamed("Chr", "CHROM")
-    )
-    rare = C.with_counts(wanted.join(carriers, ["CHROM", "ID"]), counts, contigs).withColumn(
-        "dataset_AF", F.try_divide(F.col("_carriers"), F.lit(2) * F.col("n_samples"))
-    ).filter(C.is_rare(max_af, min_samples))
-    payload = ["Gene", "Feature", "CANONICAL", "MANE", "dataset_AF", "gnomAD_max_AF", "MAX_AF", "MAX_AF_POPS",
-               "Variant_Type", "am_pathogenicity", "Max_DS_SpliceAI"]
-    return splittable_join(qc, rare.select(*VARIANT_COLUMNS, *payload), VARIANT_COLUMNS).select(*CURATED_COLUMNS)
+    wanted = _outside(annotations, max_af).filter(is_damaging(**C._pick(thresholds, C._IMPACT)))
+    return _rare_rows(wanted, calls, annotations, max_af, min_samples, denominator, contigs, thresholds).select(*CURATED_COLUMNS)
 
 
 def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES, denominator="chromosome",
