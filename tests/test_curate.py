@@ -108,6 +108,25 @@ def test_fused_plans_equal_stored_ones(spark, options):
     assert records(cohort.cohort_funnel(calls, annotations, **options)) == funnel
 
 
+def _odd_cohort(spark):
+    """The cohort with a call without REF, which an annotation names all the same, and calls of no sample."""
+    calls, tables = _cohort(spark)
+    notes = I.integrate(tables["default"], [tables[p] for p in PLUGINS])
+    odd = [call("S1", pos=3, ref=None)[:-1] + ("chr1_3_G",), call("S7", pos=4), call(None, pos=4), call(None, pos=4)]
+    known = notes.filter("ID = 'chr1_3_A_G'").withColumn("ID", F.lit("chr1_3_G"))
+    return calls.unionByName(call_table(spark, *odd)), notes.unionByName(known)
+
+
+OPTIONS = [{}, {"min_samples": 5, "max_af": 0.2}, {"denominator": "cohort"}, {"contigs": ["chr1", "chrX"], "min_dp": 30}]
+
+
+@pytest.mark.parametrize("options", OPTIONS)
+def test_other_consequences_from_calls_equal_those_of_the_table(spark, options):
+    calls, annotations = _odd_cohort(spark)
+    expected = records(C.other_consequences(I.annotate_calls(calls, annotations), **options))
+    assert records(cohort.cohort_other_consequences(calls, annotations, **options)) == expected != []
+
+
 def test_funnel_is_monotone_and_agrees_with_tables(spark):
     calls, tables = _cohort(spark)
     stored = cohort.unfiltered(calls, tables).cache()

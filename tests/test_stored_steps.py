@@ -87,3 +87,9 @@ def test_carriers_are_joined_as_they_were_counted(spark):
     assert not re.search(r"Exchange hashpartitioning\(CHROM#\d+, POS#\d+, REF#\d+, ALT#\d+, \d+\)", plan)
     # carriers, the annotation rows they join and the distinct IDs of the sample counts
     assert len(re.findall(r"\bExchange hashpartitioning\(CHROM#\d+, ID#\d+, \d+\)", plan)) == 3
+
+
+@pytest.mark.parametrize("name", ["other_consequences"])
+def test_no_unfiltered_table_is_stored_on_the_way(spark, name):
+    files = queries()[name](spark, SF).inputFiles()
+    assert files and not [f for f in files if "/unfiltered-" in f]

@@ -22,13 +22,13 @@ def _passing(calls, contigs, thresholds):
 
 
 def _with_frequency(wanted, calls, annotations, denominator, contigs, thresholds):
-    """Annotation rows ``wanted`` with ``n_samples, dataset_AF`` of their variants.
+    """Annotation rows ``wanted`` with ``n_samples, dataset_AF`` of their variants, and ``_calls``: rows that pass quality control.
 
     Counts are made by ID, so that their join takes them as the aggregation leaves them. Relies on IDs made by ``normalize_calls``.
     """
     counts = C.sliced_counts(annotated_calls(calls, annotations), denominator, contigs)
     carriers = _passing(calls, contigs, thresholds).groupBy("CHROM", "ID").agg(
-        F.count_distinct("SampleID").alias("_carriers"))
+        F.count_distinct("SampleID").alias("_carriers"), F.count("*").alias("_calls"))
     wanted = C.on_contigs(wanted, contigs, "Chr").withColumnRenamed("Chr", "CHROM")
     return C.with_counts(wanted.join(carriers, ["CHROM", "ID"]), counts, contigs).withColumn(
         "dataset_AF", F.try_divide(F.col("_carriers"), F.lit(2) * F.col("n_samples")))
@@ -37,7 +37,7 @@ def _with_frequency(wanted, calls, annotations, denominator, contigs, thresholds
 def _rare_rows(wanted, calls, annotations, max_af, min_samples, denominator, contigs, thresholds):
     """Passing calls joined, once, with those of their ``wanted`` annotation rows that are rare inside the cohort too."""
     rare = _with_frequency(wanted, calls, annotations, denominator, contigs, thresholds).filter(C.is_rare(max_af, min_samples))
-    return annotate_calls(_passing(calls, contigs, thresholds), rare.drop("_carriers").withColumnRenamed("CHROM", "Chr"))
+    return annotate_calls(_passing(calls, contigs, thresholds), rare.drop("_carriers", "_calls").withColumnRenamed("CHROM", "Chr"))
 
 
 def _outside(annotations, max_af):
@@ -58,6 +58,30 @@ def curated_cohort(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLE
     return _rare_rows(wanted, calls, annotations, max_af, min_samples, denominator, contigs, thresholds).select(*CURATED_COLUMNS)
 
 
+def _class_counts(calls, annotations, column, max_af, min_samples, denominator, contigs, thresholds, keep=None):
+    """Rare rows per chromosome and class, before and after the impact filter.
+
+    Every passing call of a variant meets each of its annotation rows, so an annotation row counts as many rows as its
+    variant has such calls; call rows never meet annotation rows.
+    """
+    wanted = _outside(annotations, max_af)
+    if keep is not None:
+        wanted = wanted.filter(keep)
+    damaging = F.coalesce(is_damaging(**C._pick(thresholds, C._IMPACT)), F.lit(False))
+    wanted = wanted.select("Chr", "ID", column, damaging.alias("_damaging"))
+    rows = _with_frequency(wanted, calls, annotations, denominator, contigs, thresholds).filter(C._inside(max_af, min_samples))
+    return rows.groupBy("CHROM", column).agg(
+        F.sum("_calls").alias("before"), F.sum(F.when(F.col("_damaging"), F.col("_calls")).otherwise(0)).alias("after"))
+
+
+def cohort_other_consequences(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES, denominator="chromosome",
+                              contigs=None, **thresholds):
+    """Same rows as ``other_consequences(unfiltered(...))``."""
+    counts = _class_counts(calls, annotations, "Consequence", max_af, min_samples, denominator, contigs, thresholds,
+                           keep=F.col("Variant_Type") == "Other")
+    return counts.select("CHROM", "Consequence", F.col("before").alias("n")).orderBy("CHROM", F.desc("n"), "Consequence")
+
+
 def cohort_funnel(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES, denominator="chromosome",
                   contigs=None, **thresholds):
     """The funnel from calls and integrated annotations; same rows as ``curation_funnel(unfiltered(...))``.
