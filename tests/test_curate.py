@@ -127,6 +127,15 @@ def test_other_consequences_from_calls_equal_those_of_the_table(spark, options):
     assert records(cohort.cohort_other_consequences(calls, annotations, **options)) == expected != []
 
 
+@pytest.mark.parametrize("options", OPTIONS)
+def test_type_counts_from_calls_equal_those_of_the_table(spark, options):
+    calls, annotations = _odd_cohort(spark)
+    table = I.annotate_calls(calls, annotations).cache()
+    for damaging in (False, True):
+        expected = records(C.variant_type_counts(table, damaging_only=damaging, **options))
+        assert records(cohort.cohort_type_counts(calls, annotations, damaging_only=damaging, **options)) == expected != []
+
+
 def test_funnel_is_monotone_and_agrees_with_tables(spark):
     calls, tables = _cohort(spark)
     stored = cohort.unfiltered(calls, tables).cache()

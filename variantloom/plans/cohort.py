@@ -74,6 +74,14 @@ def _class_counts(calls, annotations, column, max_af, min_samples, denominator,
         F.sum("_calls").alias("before"), F.sum(F.when(F.col("_damaging"), F.col("_calls")).otherwise(0)).alias("after"))
 
 
+def cohort_type_counts(calls, annotations, damaging_only=False, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES,
+                       denominator="chromosome", contigs=None, **thresholds):
+    """Same rows as ``variant_type_counts(unfiltered(...))``."""
+    counts = _class_counts(calls, annotations, "Variant_Type", max_af, min_samples, denominator, contigs, thresholds)
+    n = F.col("after" if damaging_only else "before")
+    return counts.select("CHROM", "Variant_Type", n.alias("n")).filter(F.col("n") > 0)
+
+
 def cohort_other_consequences(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES, denominator="chromosome",
                               contigs=None, **thresholds):
     """Same rows as ``other_consequences(unfiltered(...))``."""
