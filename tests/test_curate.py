@@ -136,6 +136,17 @@ def test_type_counts_from_calls_equal_those_of_the_table(spark, options):
         assert records(cohort.cohort_type_counts(calls, annotations, damaging_only=damaging, **options)) == expected != []
 
 
+@pytest.mark.parametrize("options", [{}, {"min_samples": 5, "max_af": 0.2}, {"denominator": "cohort"}])
+def test_rare_rows_from_calls_equal_those_of_the_table(spark, options):
+    calls, annotations = _odd_cohort(spark)
+    counts = {k: v for k, v in options.items() if k == "denominator"}
+    table = I.annotate_calls(calls, annotations).cache()
+    rows = C.attach_frequencies(C.qc_filter(table), C.cohort_frequencies(table, **counts))
+    rare = C.classify(C.rare_filter(rows, **{k: v for k, v in options.items() if k != "denominator"}))
+    expected = records(rare, *sorted(rare.columns))
+    assert records(cohort.rare_cohort(calls, annotations, **options), *sorted(rare.columns)) == expected != []
+
+
 def test_funnel_is_monotone_and_agrees_with_tables(spark):
     calls, tables = _cohort(spark)
     stored = cohort.unfiltered(calls, tables).cache()

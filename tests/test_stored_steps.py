@@ -89,7 +89,7 @@ def test_carriers_are_joined_as_they_were_counted(spark):
     assert len(re.findall(r"\bExchange hashpartitioning\(CHROM#\d+, ID#\d+, \d+\)", plan)) == 3
 
 
-@pytest.mark.parametrize("name", ["other_consequences", "variant_type_counts_before", "variant_type_counts_after"])
+@pytest.mark.parametrize("name", ["other_consequences", "variant_type_counts_before", "variant_type_counts_after", "variant_type", "rare_small", "rare_large"])
 def test_no_unfiltered_table_is_stored_on_the_way(spark, name):
     files = queries()[name](spark, SF).inputFiles()
     assert files and not [f for f in files if "/unfiltered-" in f]

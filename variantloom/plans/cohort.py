@@ -58,6 +58,12 @@ def curated_cohort(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLE
     return _rare_rows(wanted, calls, annotations, max_af, min_samples, denominator, contigs, thresholds).select(*CURATED_COLUMNS)
 
 
+def rare_cohort(calls, annotations, max_af=C.MAX_AF, min_samples=C.MIN_SAMPLES, denominator="chromosome",
+                contigs=None, **thresholds):
+    """Rare rows of any impact, classified; same rows as ``classify(rare_filter(...))`` over the unfiltered table."""
+    return _rare_rows(_outside(annotations, max_af), calls, annotations, max_af, min_samples, denominator, contigs, thresholds)
+
+
 def _class_counts(calls, annotations, column, max_af, min_samples, denominator, contigs, thresholds, keep=None):
     """Rare rows per chromosome and class, before and after the impact filter.
 
